@@ -38,25 +38,34 @@ def _as_column(value: Column | float) -> Column:
     return value if isinstance(value, Column) else F.lit(float(value))
 
 
-def column_drift(
-    baseline: DataFrame,
-    current: DataFrame,
-    drop_pct: Column | float = DEFAULT_DROP_PCT,
-    spike_pct: Column | float = DEFAULT_SPIKE_PCT,
-    thresholds: DataFrame | None = None,
-) -> DataFrame:
-    """Per-column drift for the columns present in both profiles (JN1, SCL2).
+def paired(baseline: DataFrame, current: DataFrame) -> DataFrame:
+    """(table_name, column_name, baseline_entropy, current_entropy, _in_b, _in_c).
 
-    Columns on one side only are ignored (see ``unmatched_columns``). ``thresholds``
-    may hold per-table ``drop_pct`` / ``spike_pct`` columns keyed by ``table_name``;
-    tables absent from it use the scalar arguments.
+    One grouped aggregate over the union of both profiles instead of a join plus a
+    separate table list: each profile is referenced once, so neither is recomputed.
     """
-    b = baseline.select(*KEYS, F.col("entropy").alias("baseline_entropy"))
-    c = current.select(*KEYS, F.col("entropy").alias("current_entropy"))
-    joined = b.join(c, KEYS, "inner")
+    u = baseline.select(*KEYS, "entropy", F.lit(0).alias("_side")).unionByName(
+        current.select(*KEYS, "entropy", F.lit(1).alias("_side"))
+    )
+    return paired_union(u)
+
+
+def paired_union(u: DataFrame) -> DataFrame:
+    """``paired`` over one frame of both profiles with ``_side`` 0 (baseline) / 1 (current)."""
+    side = "_side"
+    u = u.withColumnRenamed("entropy", "_e")
+    return u.groupBy(*KEYS).agg(
+        F.max(F.when(F.col(side) == 0, F.col("_e"))).alias("baseline_entropy"),
+        F.max(F.when(F.col(side) == 1, F.col("_e"))).alias("current_entropy"),
+        (F.count_if(F.col(side) == 0) > 0).alias("_in_b"),
+        (F.count_if(F.col(side) == 1) > 0).alias("_in_c"),
+    )
+
+
+def _with_thresholds(pairs: DataFrame, drop_pct, spike_pct, thresholds: DataFrame | None):
     drop, spike = _as_column(drop_pct), _as_column(spike_pct)
     if thresholds is not None:
-        joined = joined.join(
+        pairs = pairs.join(
             thresholds.select(
                 "table_name", F.col("drop_pct").alias("_drop"), F.col("spike_pct").alias("_spike")
             ),
@@ -65,20 +74,40 @@ def column_drift(
         )
         drop = F.coalesce(F.col("_drop"), drop)
         spike = F.coalesce(F.col("_spike"), spike)
+    return pairs, drop, spike
+
+
+def _drift_of_pairs(pairs: DataFrame, drop_pct, spike_pct, thresholds) -> DataFrame:
+    """All paired rows with drift columns (NULL where a column is on one side only)."""
+    pairs, drop, spike = _with_thresholds(pairs, drop_pct, spike_pct, thresholds)
+    matched = F.col("_in_b") & F.col("_in_c")
     exprs = drift_columns(F.col("baseline_entropy"), F.col("current_entropy"), drop, spike)
-    return joined.withColumns(exprs).select(DRIFT_COLUMNS)
+    return pairs.withColumns({k: F.when(matched, v) for k, v in exprs.items()}).withColumn("_matched", matched)
+
+
+def column_drift(
+    baseline: DataFrame,
+    current: DataFrame,
+    drop_pct: Column | float = DEFAULT_DROP_PCT,
+    spike_pct: Column | float = DEFAULT_SPIKE_PCT,
+    thresholds: DataFrame | None = None,
+) -> DataFrame:
+    """Per-column drift for the columns present in both profiles (JN1, SCL2).
+
+    Columns on one side only are ignored (see ``unmatched_columns``). ``thresholds``
+    may hold per-table ``drop_pct`` / ``spike_pct`` columns keyed by ``table_name``;
+    tables absent from it use the scalar arguments.
+    """
+    d = _drift_of_pairs(paired(baseline, current), drop_pct, spike_pct, thresholds)
+    return d.filter(F.col("_matched")).select(DRIFT_COLUMNS)
 
 
 def unmatched_columns(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """Columns profiled on one side only: (table_name, column_name, side)."""
-    b = baseline.select(*KEYS, F.lit(True).alias("_b"))
-    c = current.select(*KEYS, F.lit(True).alias("_c"))
-    j = b.join(c, KEYS, "full_outer")
-    return j.filter(F.col("_b").isNull() | F.col("_c").isNull()).select(
+    p = paired(baseline, current)
+    return p.filter(~(F.col("_in_b") & F.col("_in_c"))).select(
         *KEYS,
-        F.when(F.col("_c").isNull(), F.lit("baseline_only"))
-        .otherwise(F.lit("current_only"))
-        .alias("side"),
+        F.when(F.col("_in_c"), F.lit("current_only")).otherwise(F.lit("baseline_only")).alias("side"),
     )
 
 
@@ -140,34 +169,43 @@ def health_from_drift(
     ``tables`` (a frame with ``table_name``) lists tables that must get a row even
     without common columns: score 0.0, not passed, 0 checked.
     """
-    weighted = _apply_weights(drift, weights)
+    d = drift.withColumn("_matched", F.lit(True))
+    if tables is not None:
+        extra = tables.select("table_name").withColumn("_matched", F.lit(False))
+        d = d.unionByName(extra, allowMissingColumns=True)
+    return _health(d, weights, health_floor, thresholds)
+
+
+def _health(d: DataFrame, weights, health_floor, thresholds) -> DataFrame:
+    """Health per table from rows with drift columns and ``_matched``; unmatched rows only
+    make their table appear."""
+    weighted = _apply_weights(d, weights)
+    m = F.col("_matched")
     w, stab = F.col("weight"), F.col("stability_score")
     detail = F.struct(*[F.col(c) for c in _DETAIL_FIELDS])
     agg = weighted.groupBy("table_name").agg(
-        F.sum(stab * w).alias("_ws"),
-        F.sum(w).alias("_w"),
-        F.count(F.lit(1)).alias("total_columns_checked"),
-        F.count_if(F.col("drift_detected")).alias("columns_drifted"),
-        F.sort_array(F.collect_list(detail)).alias("column_details"),
+        F.sum(F.when(m, stab * w)).alias("_ws"),
+        F.sum(F.when(m, w)).alias("_w"),
+        F.count_if(m).alias("total_columns_checked"),
+        F.count_if(m & F.col("drift_detected")).alias("columns_drifted"),
+        F.sort_array(F.collect_list(F.when(m, detail))).alias("column_details"),
     )
-    if tables is not None:
-        agg = tables.select("table_name").distinct().join(agg, "table_name", "left")
     floor = _as_column(health_floor)
     if thresholds is not None:
         agg = agg.join(
             thresholds.select("table_name", F.col("health_floor").alias("_floor")), "table_name", "left"
         )
         floor = F.coalesce(F.col("_floor"), floor)
-    score = F.when(F.col("_w") > 0, F.round(F.col("_ws") / F.col("_w"), 4)).otherwise(F.lit(0.0))
-    empty = F.array().cast(agg.schema["column_details"].dataType)
-    details = F.coalesce(F.col("column_details"), empty)
+    has_w = F.coalesce(F.col("_w"), F.lit(0.0)) > 0
+    score = F.when(has_w, F.round(F.col("_ws") / F.col("_w"), 4)).otherwise(F.lit(0.0))
+    details = F.col("column_details")
     return agg.select(
         "table_name",
         score.alias("health_score"),
         (score >= floor).alias("passed_gate"),
-        F.coalesce(F.col("total_columns_checked"), F.lit(0)).cast("int").alias("total_columns_checked"),
-        F.coalesce(F.col("columns_drifted"), F.lit(0)).cast("int").alias("columns_drifted"),
-        F.filter(details, lambda d: d["drift_detected"]).alias("flagged_columns"),
+        F.col("total_columns_checked").cast("int").alias("total_columns_checked"),
+        F.col("columns_drifted").cast("int").alias("columns_drifted"),
+        F.filter(details, lambda x: x["drift_detected"]).alias("flagged_columns"),
         details.alias("column_details"),
     )
 
@@ -183,12 +221,12 @@ def table_health(
 ) -> DataFrame:
     """Composite health per table of baseline vs current profiles (CMP2 core).
 
-    Every table that appears in either profile gets a row. ``thresholds`` may give
-    per-table ``drop_pct``, ``spike_pct`` and ``health_floor``.
+    Every table that appears in either profile gets a row; one without common columns
+    scores 0.0. ``thresholds`` may give per-table ``drop_pct``, ``spike_pct`` and
+    ``health_floor``. Each profile is read once (see ``paired``).
     """
-    drift = column_drift(baseline, current, drop_pct, spike_pct, thresholds)
-    tables = baseline.select("table_name").unionByName(current.select("table_name"))
-    return health_from_drift(drift, tables, weights, health_floor, thresholds)
+    d = _drift_of_pairs(paired(baseline, current), drop_pct, spike_pct, thresholds)
+    return _health(d, weights, health_floor, thresholds)
 
 
 def drifted_ratio(health: DataFrame) -> DataFrame:

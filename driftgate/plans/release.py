@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftgate.operators.drift import column_drift, health_from_drift
+from driftgate.functions.entropy import DEFAULT_DROP_PCT, DEFAULT_HEALTH_FLOOR, DEFAULT_SPIKE_PCT
+from driftgate.operators.drift import DRIFT_COLUMNS, _drift_of_pairs, _health, paired_union
 from driftgate.operators.fidelity import fidelity as fidelity_of
 from driftgate.operators.gates import evaluate_gates, run_metrics, verdicts
 from driftgate.operators.ledger import build_ledger, provenance_coverage
@@ -50,16 +51,24 @@ def measure_and_evaluate(
     weights: Mapping | DataFrame | None = None,
     thresholds: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Profiles of both loads (one job), per-column drift and table health (CMP2)."""
+    """Profiles of both loads (one job), per-column drift and table health (CMP2).
+
+    Health is persisted: it is a few rows per table and is read by the ledger, the
+    metrics and the verdict, which would otherwise each rescan both loads.
+    """
     both = profile_tables({_BASE: baseline, _CUR: current}, exclude_columns=exclude_columns)
-    relabel = lambda side: both.filter(F.col("table_name") == side).withColumn(
-        "table_name", F.lit(table_name)
+    sided = both.withColumns(
+        {"_side": F.when(F.col("table_name") == _BASE, 0).otherwise(1), "table_name": F.lit(table_name)}
     )
-    b, c = relabel(_BASE), relabel(_CUR)
-    drift = column_drift(b, c, thresholds=thresholds)
-    tables = b.select("table_name").unionByName(c.select("table_name"))
-    health = health_from_drift(drift, tables, weights, thresholds=thresholds)
-    return {"baseline_profile": b, "current_profile": c, "drift": drift, "health": health}
+    d = _drift_of_pairs(paired_union(sided), DEFAULT_DROP_PCT, DEFAULT_SPIKE_PCT, thresholds)
+    health = _health(d, weights, DEFAULT_HEALTH_FLOOR, thresholds).persist()
+    drift = d.filter(F.col("_matched")).select(DRIFT_COLUMNS)
+    return {
+        "baseline_profile": sided.filter(F.col("_side") == 0).drop("_side"),
+        "current_profile": sided.filter(F.col("_side") == 1).drop("_side"),
+        "drift": drift,
+        "health": health,
+    }
 
 
 @dataclass
