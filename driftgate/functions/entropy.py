@@ -67,13 +67,13 @@ def entropy_from_counts(n: Column, distinct: Column, sum_flogf: Column) -> Colum
     H = log2(n) - sum(f*log2 f)/n, rounded to 6 places; 0.0 when there is at most one group.
     """
     h = F.log2(n.cast("double")) - sum_flogf / n.cast("double")
-    return F.when(distinct <= 1, F.lit(0.0)).otherwise(F.round(h, 6))
+    return F.when(distinct <= 1, F.lit(0.0)).otherwise(round_exact(h, 6))
 
 
 def normalized_entropy(entropy: Column, distinct: Column) -> Column:
     """H / log2(distinct) of the already rounded H, rounded to 6; 0.0 when distinct <= 1."""
     return F.when(distinct <= 1, F.lit(0.0)).otherwise(
-        F.round(entropy / F.log2(distinct.cast("double")), 6)
+        round_exact(entropy / F.log2(distinct.cast("double")), 6)
     )
 
 
@@ -120,3 +120,29 @@ def drift_columns(
         "drift_magnitude": magnitude,
         "stability_score": stability,
     }
+
+
+def round_exact(x: Column, digits: int) -> Column:
+    """Round to ``digits`` places the way Python's ``round`` does: on the exact binary value
+    of the double, half-even only on exact ties.
+
+    Spark's ``round`` rounds HALF_UP on the shortest decimal string, so a value such as
+    1.953521 / 2 (binary 0.97676049999...) becomes 0.976761 instead of 0.97676. Here the
+    exact product x * 10^d is recovered as p + e with Dekker's two-product (Veltkamp
+    split), and the fraction of p decides, with e breaking apparent ties. Plain double
+    arithmetic only, so it stays inside whole-stage codegen.
+    """
+    scale = float(10 ** digits)
+    a = F.abs(x)
+    p = a * F.lit(scale)
+    c = a * F.lit(134217729.0)
+    hi = c - (c - a)
+    lo = a - hi
+    e = (hi * F.lit(scale) - p) + lo * F.lit(scale)
+    k = F.floor(p).cast("double")
+    t = (p - k) - F.lit(0.5)
+    up = F.when(t > 0, True).when(t < 0, False).when(e > 0, True).when(e < 0, False)
+    even_up = F.pmod(k, F.lit(2.0)) == F.lit(1.0)
+    n = F.when(F.coalesce(up, even_up), k + F.lit(1.0)).otherwise(k)
+    r = n / F.lit(scale)
+    return F.when(x < 0, -r).otherwise(r)

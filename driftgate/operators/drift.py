@@ -19,6 +19,7 @@ from driftgate.functions.entropy import (
     DEFAULT_HEALTH_FLOOR,
     DEFAULT_SPIKE_PCT,
     drift_columns,
+    round_exact,
 )
 
 KEYS = ["table_name", "column_name"]
@@ -197,7 +198,7 @@ def _health(d: DataFrame, weights, health_floor, thresholds) -> DataFrame:
         )
         floor = F.coalesce(F.col("_floor"), floor)
     has_w = F.coalesce(F.col("_w"), F.lit(0.0)) > 0
-    score = F.when(has_w, F.round(F.col("_ws") / F.col("_w"), 4)).otherwise(F.lit(0.0))
+    score = F.when(has_w, round_exact(F.col("_ws") / F.col("_w"), 4)).otherwise(F.lit(0.0))
     details = F.col("column_details")
     return agg.select(
         "table_name",

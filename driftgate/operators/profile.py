@@ -36,6 +36,7 @@ from driftgate.functions.entropy import (
     entropy_from_counts,
     group_key,
     normalized_entropy,
+    round_exact,
 )
 
 PROFILE_SCHEMA = StructType(
@@ -148,7 +149,7 @@ def _finish(joined: DataFrame) -> DataFrame:
     hn = normalized_entropy(F.col("entropy"), F.col("distinct_count"))
     null_ratio = F.when(
         F.col("total_count") > 0,
-        F.round(F.col("null_count") / F.col("total_count"), 4),
+        round_exact(F.col("null_count") / F.col("total_count"), 4),
     ).otherwise(F.lit(0.0))
     out = out.withColumns({"normalized_entropy": hn, "null_ratio": null_ratio})
     out = out.withColumn(

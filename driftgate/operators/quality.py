@@ -29,8 +29,9 @@ from pyspark.sql.types import (
 )
 
 from driftgate.functions.columns import ref
-from driftgate.functions.entropy import group_key
+from driftgate.functions.entropy import group_key, round_exact
 from driftgate.functions.rules import NO_ACTION, Duplicates, Rule
+from driftgate.session import ensure_checkpoint_dir
 
 REASON = "failure_reason"
 _POS = "_rule_pos"
@@ -62,8 +63,27 @@ def _dup_key(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    try:
+        return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # pragma: no cover - be safe when the plan cannot be inspected
+        return True
+
+
+def _stable_input(df: DataFrame) -> DataFrame:
+    """The input partition of a row must be the same in the ranking branch and in the
+    winner branch. File scans and narrow transformations guarantee that; an input that
+    already shuffles (whose partition sizes adaptive execution may coalesce differently
+    per branch) is cut with a reliable checkpoint into the shared checkpoint folder."""
+    if not _has_exchange(df):
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _mark_duplicates(df: DataFrame, pos: int, dup: Duplicates) -> DataFrame:
     """Set ``_rule_pos`` = pos on surviving rows after the first of their key."""
+    df = _stable_input(df)
     order = [ref(c) for c in dup.order_by]
     survivor = F.col(_POS).isNull()
     base = df.withColumns({"_dk": _dup_key(df, dup.keys), "_sp": F.spark_partition_id()})
@@ -111,7 +131,7 @@ class QualityOutcome:
 
     ``tagged`` is the single source of truth; ``clean`` and ``quarantine`` are filters
     of it. To materialise both sides in one pass, write ``tagged`` partitioned by
-    ``quarantined`` (see ``write_routed``).
+    route (see ``write_routed``).
     """
 
     tagged: DataFrame
@@ -177,7 +197,7 @@ class QualityOutcome:
         )
         j = spine.join(F.broadcast(per_rule), "rule_position")
         failed, total = F.col("failed"), F.col("total")
-        ratio = F.when(total > 0, F.round(failed / total, 4)).otherwise(F.lit(0.0))
+        ratio = F.when(total > 0, round_exact(failed / total, 4)).otherwise(F.lit(0.0))
         return j.select(
             "rule_position",
             "rule_name",
@@ -214,13 +234,15 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> QualityOutcome:
 
 
 def write_routed(outcome: QualityOutcome, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write clean and quarantined rows in one pass, partitioned by ``quarantined``."""
+    """Write clean and quarantined rows in one pass, partitioned by ``route``
+    (``route=clean`` / ``route=quarantine``)."""
     cols = [ref(c) for c in outcome.input_columns] + [F.col(REASON)]
+    route = F.when(F.col(REASON).isNull(), F.lit("clean")).otherwise(F.lit("quarantine"))
     (
-        outcome.tagged.select(*cols, F.col(REASON).isNotNull().alias("quarantined"))
+        outcome.tagged.select(*cols, route.alias("route"))
         .write.mode(mode)
         .format(fmt)
-        .partitionBy("quarantined")
+        .partitionBy("route")
         .save(path)
     )
 

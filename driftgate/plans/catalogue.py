@@ -479,7 +479,7 @@ def _results_sql(tagged: str, rules: list[tuple[int, str, str, str]]) -> str:
     return (
         "SELECT s.rule_position, s.rule_name, s.column_name, coalesce(f.n, 0) = 0 AS passed, "
         "CAST(t.total AS BIGINT) AS records_checked, CAST(coalesce(f.n, 0) AS BIGINT) AS records_failed, "
-        "CASE WHEN t.total > 0 THEN round(coalesce(f.n, 0) / t.total, 4) ELSE 0.0::DOUBLE END AS failure_ratio, "
+        f"CASE WHEN t.total > 0 THEN {O.rnd('coalesce(f.n, 0) / t.total', 4)} ELSE 0.0::DOUBLE END AS failure_ratio, "
         "CASE WHEN coalesce(f.n, 0) > 0 THEN s.action ELSE 'NONE' END AS action_taken "
         f"FROM ({spine}) s LEFT JOIN (SELECT failure_reason, count(*) AS n FROM ({tagged}) GROUP BY 1) f "
         f"ON s.rule_name = f.failure_reason, (SELECT count(*) AS total FROM ({tagged})) t"

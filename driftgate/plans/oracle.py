@@ -41,6 +41,23 @@ EVENTS_BASE = "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'"
 EVENTS_CURRENT = "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'"
 
 
+def rnd(x: str, digits: int) -> str:
+    """Python-style rounding of a DOUBLE (same arithmetic as functions.entropy.round_exact)."""
+    sc = f"{float(10 ** digits)!r}::DOUBLE"
+    a = f"abs(({x})::DOUBLE)"
+    p = f"({a} * {sc})"
+    c = f"({a} * 134217729.0::DOUBLE)"
+    hi = f"({c} - ({c} - {a}))"
+    lo = f"({a} - {hi})"
+    e = f"(({hi} * {sc} - {p}) + {lo} * {sc})"
+    k = f"floor({p})"
+    t = f"(({p} - {k}) - 0.5::DOUBLE)"
+    odd = f"({k} - 2.0::DOUBLE * floor({k} / 2.0::DOUBLE) = 1.0::DOUBLE)"
+    up = f"(CASE WHEN {t} > 0 THEN true WHEN {t} < 0 THEN false WHEN {e} > 0 THEN true WHEN {e} < 0 THEN false ELSE {odd} END)"
+    r = f"((CASE WHEN {up} THEN {k} + 1.0::DOUBLE ELSE {k} END) / {sc})"
+    return f"(CASE WHEN ({x}) < 0 THEN -{r} ELSE {r} END)"
+
+
 def q(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -61,7 +78,7 @@ def profile(table: str, source: str, columns: Sequence[str]) -> str:
     for c in columns:
         parts.append(
             f"SELECT {q(table)} AS table_name, {q(c)} AS column_name, "
-            "CASE WHEN count(*) <= 1 THEN 0.0::DOUBLE ELSE round(0.0 - sum(p * log2(p)), 6) END AS entropy, "
+            f"CASE WHEN count(*) <= 1 THEN 0.0::DOUBLE ELSE {rnd('0.0 - sum(p * log2(p))', 6)} END AS entropy, "
             "CAST(count(*) AS BIGINT) AS distinct_count, "
             "CAST(coalesce(sum(CASE WHEN v IS NULL THEN f END), 0) AS BIGINT) AS null_count, "
             "CAST(coalesce(sum(f), 0) AS BIGINT) AS total_count "
@@ -71,9 +88,9 @@ def profile(table: str, source: str, columns: Sequence[str]) -> str:
     inner = " UNION ALL ".join(parts)
     mid = (
         "SELECT table_name, column_name, entropy, "
-        "CASE WHEN distinct_count <= 1 THEN 0.0::DOUBLE ELSE round(entropy / log2(distinct_count), 6) END "
+        f"CASE WHEN distinct_count <= 1 THEN 0.0::DOUBLE ELSE {rnd('entropy / log2(distinct_count)', 6)} END "
         "AS normalized_entropy, distinct_count, null_count, "
-        "CASE WHEN total_count > 0 THEN round(null_count / total_count, 4) ELSE 0.0::DOUBLE END AS null_ratio, "
+        f"CASE WHEN total_count > 0 THEN {rnd('null_count / total_count', 4)} ELSE 0.0::DOUBLE END AS null_ratio, "
         f"total_count FROM ({inner})"
     )
     return f"SELECT *, {CLASS_SQL} AS entropy_class FROM ({mid})"
@@ -119,8 +136,8 @@ def health(drift_sql: str, tables_sql: str, weights: dict[str, float] | None = N
     )
     return (
         "SELECT t.table_name, "
-        "CASE WHEN coalesce(a.w, 0) > 0 THEN round(a.ws / a.w, 4) ELSE 0.0::DOUBLE END AS health_score, "
-        f"(CASE WHEN coalesce(a.w, 0) > 0 THEN round(a.ws / a.w, 4) ELSE 0.0::DOUBLE END) >= {floor} AS passed_gate, "
+        f"CASE WHEN coalesce(a.w, 0) > 0 THEN {rnd('a.ws / a.w', 4)} ELSE 0.0::DOUBLE END AS health_score, "
+        f"(CASE WHEN coalesce(a.w, 0) > 0 THEN {rnd('a.ws / a.w', 4)} ELSE 0.0::DOUBLE END) >= {floor} AS passed_gate, "
         "CAST(coalesce(a.n, 0) AS INTEGER) AS total_columns_checked, "
         "CAST(coalesce(a.nd, 0) AS INTEGER) AS columns_drifted, "
         "coalesce(a.flagged, '') AS flagged, coalesce(a.directions, '') AS directions "
