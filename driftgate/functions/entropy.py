@@ -7,7 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from driftgate.functions.columns import ref
 
@@ -49,6 +62,52 @@ def category(name: str, data_type: DataType) -> Column:
     return c.cast("string")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def category_key_sql(name: str, data_type: DataType) -> str:
+    """SQL text of ``category_key`` (built as one expression: one call to the JVM)."""
+    c = _q(name)
+    nl, nd, ns = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
+    if isinstance(data_type, (ByteType, ShortType, IntegerType, LongType)):
+        parts = (f"CAST({c} AS BIGINT)", nd, ns, "false")
+    elif isinstance(data_type, BooleanType):
+        parts = (f"CAST(CAST({c} AS INT) AS BIGINT)", nd, ns, "false")
+    elif isinstance(data_type, DateType):
+        parts = (f"CAST(unix_date({c}) AS BIGINT)", nd, ns, "false")
+    elif isinstance(data_type, TimestampType):
+        parts = (f"unix_micros({c})", nd, ns, "false")
+    elif isinstance(data_type, TimestampNTZType):
+        parts = (f"unix_micros(CAST({c} AS TIMESTAMP))", nd, ns, "false")
+    elif isinstance(data_type, (DoubleType, FloatType)):
+        parts = (nl, f"CAST({c} AS DOUBLE)", ns, "false")
+    else:
+        text = f"base64({c})" if isinstance(data_type, BinaryType) else f"CAST({c} AS STRING)"
+        is_long = f"(octet_length({text}) > {FINGERPRINT_MIN_BYTES})"
+        parts = (nl, nd, f"CASE WHEN {is_long} THEN sha2({text}, 256) ELSE {text} END", is_long)
+    fields = ", ".join(f"'{n}', {p}" for n, p in zip(("l", "d", "s", "h"), parts))
+    return f"CASE WHEN {c} IS NULL THEN CAST(NULL AS {key_type()}) ELSE named_struct({fields}) END"
+
+
+def category_key(name: str, data_type: DataType) -> Column:
+    """A typed, exact grouping key for the category of a value; NULL for NULL.
+
+    struct<l bigint, d double, s string, h boolean>: integers, booleans, dates and
+    timestamps go to ``l`` (timestamps as microseconds), floating point to ``d`` (Spark
+    folds -0.0 into 0.0 and groups NaN in grouping keys), everything else to ``s`` as its
+    string form (binary as base64), where values longer than FINGERPRINT_MIN_BYTES are
+    replaced by their SHA-256 with ``h`` set. Typed fields avoid formatting numbers as
+    text and shuffle 8 bytes instead of a string per numeric value; grouping by the key
+    equals grouping by the value (up to SHA-256 collisions for long text).
+    """
+    return F.expr(category_key_sql(name, data_type))
+
+
+def key_type() -> str:
+    return "struct<l:bigint,d:double,s:string,h:boolean>"
+
+
 def group_key(value: Column) -> tuple[Column, Column]:
     """(is_long, key): the shuffle key of a category value.
 
@@ -77,6 +136,15 @@ def normalized_entropy(entropy: Column, distinct: Column) -> Column:
     )
 
 
+def entropy_class_sql(entropy: str, normalized: str, distinct: str) -> str:
+    """SQL text of ``entropy_class``."""
+    whens = " ".join(f"WHEN {normalized} < {bound} THEN '{label}'" for label, bound in CLASS_BOUNDS)
+    return (
+        f"CASE WHEN {distinct} <= 1 OR {entropy} = 0.0 THEN '{CLASS_CONSTANT}' {whens} "
+        f"ELSE '{CLASS_TOP}' END"
+    )
+
+
 def entropy_class(entropy: Column, normalized: Column, distinct: Column) -> Column:
     """Human label of an entropy level (SCL1)."""
     expr = F.when((distinct <= 1) | (entropy == 0.0), F.lit(CLASS_CONSTANT))
@@ -122,16 +190,39 @@ def drift_columns(
     }
 
 
-def round_exact(x: Column, digits: int) -> Column:
+def round_exact_sql(x: str, digits: int) -> str:
+    """SQL text of ``round_exact`` for the SQL expression ``x``."""
+    sc = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
+    a = f"abs(CAST(({x}) AS DOUBLE))"
+    p = f"({a} * {sc})"
+    c = f"({a} * CAST(134217729.0 AS DOUBLE))"
+    hi = f"({c} - ({c} - {a}))"
+    lo = f"({a} - {hi})"
+    e = f"(({hi} * {sc} - {p}) + {lo} * {sc})"
+    k = f"CAST(floor({p}) AS DOUBLE)"
+    t = f"(({p} - {k}) - CAST(0.5 AS DOUBLE))"
+    odd = f"(pmod({k}, CAST(2.0 AS DOUBLE)) = CAST(1.0 AS DOUBLE))"
+    up = f"(CASE WHEN {t} > 0 THEN true WHEN {t} < 0 THEN false WHEN {e} > 0 THEN true WHEN {e} < 0 THEN false ELSE {odd} END)"
+    r = f"((CASE WHEN {up} THEN {k} + CAST(1.0 AS DOUBLE) ELSE {k} END) / {sc})"
+    return f"(CASE WHEN ({x}) < 0 THEN -{r} ELSE {r} END)"
+
+
+def round_exact(x: Column | str, digits: int) -> Column:
     """Round to ``digits`` places the way Python's ``round`` does: on the exact binary value
     of the double, half-even only on exact ties.
 
-    Spark's ``round`` rounds HALF_UP on the shortest decimal string, so a value such as
-    1.953521 / 2 (binary 0.97676049999...) becomes 0.976761 instead of 0.97676. Here the
-    exact product x * 10^d is recovered as p + e with Dekker's two-product (Veltkamp
-    split), and the fraction of p decides, with e breaking apparent ties. Plain double
-    arithmetic only, so it stays inside whole-stage codegen.
+    Spark's ``round`` rounds HALF_UP on the shortest decimal string. Here the exact
+    product x * 10^d is recovered as p + e with Dekker's two-product (Veltkamp split),
+    and the fraction of p decides, with e breaking apparent ties. Plain double
+    arithmetic only, so it stays inside whole-stage codegen. ``x`` may be a Column or
+    SQL text (cheaper to build: one call to the JVM).
     """
+    if isinstance(x, str):
+        return F.expr(round_exact_sql(x, digits))
+    return _round_column(x, digits)
+
+
+def _round_column(x: Column, digits: int) -> Column:
     scale = float(10 ** digits)
     a = F.abs(x)
     p = a * F.lit(scale)

@@ -32,11 +32,9 @@ from pyspark.sql.types import (
 from driftgate.functions.columns import monitored_columns
 from driftgate.functions.entropy import (
     category,
-    entropy_class,
-    entropy_from_counts,
-    group_key,
-    normalized_entropy,
-    round_exact,
+    category_key,
+    entropy_class_sql,
+    round_exact_sql,
 )
 
 PROFILE_SCHEMA = StructType(
@@ -64,10 +62,32 @@ _SPINE_SCHEMA = StructType(
 )
 
 
-def _long_form(df: DataFrame, cols: Sequence[str], table_index: int) -> DataFrame:
-    """(_t, _c, _v): one row per (row, monitored column), value as its category string."""
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer partitions than the cluster has cores (a small
+    table stored as one row group) before the per-row work. Hashing the row id keeps the
+    split deterministic on retry and splits even a group of identical rows. Inputs with
+    enough partitions, i.e. every large table, are left alone: no extra shuffle."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    try:
+        n = df._jdf.rdd().getNumPartitions()
+    except Exception:  # pragma: no cover
+        return df
+    if n * 2 > target:
+        return df
+    return df.repartition(target, F.monotonically_increasing_id())
+
+
+def _long_form(df: DataFrame, cols: Sequence[str], table_index: int, typed: bool = True) -> DataFrame:
+    """(_t, _c, _v): one row per (row, monitored column).
+
+    ``_v`` is the typed category key (``typed``) or the category string (for outputs that
+    show values).
+    """
+    df = _spread(df)
     types = {f.name: f.dataType for f in df.schema.fields}
-    wide = df.select([category(c, types[c]).alias(str(i)) for i, c in enumerate(cols)])
+    make = category_key if typed else category
+    wide = df.select([make(c, types[c]).alias(str(i)) for i, c in enumerate(cols)])
     long = wide.unpivot([], [str(i) for i in range(len(cols))], "_c", "_v")
     return long.select(
         F.lit(table_index).alias("_t"), F.col("_c").cast("int").alias("_c"), F.col("_v")
@@ -117,10 +137,7 @@ def profile_tables(
         return spark.createDataFrame([], PROFILE_SCHEMA)
 
     long = _union_all(longs)
-    is_long, key = group_key(F.col("_v"))
-    freq = long.groupBy(
-        "_t", "_c", is_long.alias("_long"), key.alias("_k")
-    ).agg(F.count(F.lit(1)).alias("_f"))
+    freq = long.groupBy("_t", "_c", F.col("_v").alias("_k")).agg(F.count(F.lit(1)).alias("_f"))
     f = F.col("_f")
     stats = freq.groupBy("_t", "_c").agg(
         F.sum(f).alias("_n"),
@@ -133,30 +150,30 @@ def profile_tables(
 
 
 def _finish(joined: DataFrame) -> DataFrame:
-    n = F.coalesce(F.col("_n"), F.lit(0)).cast("long")
-    d = F.coalesce(F.col("_d"), F.lit(0)).cast("long")
-    nulls = F.coalesce(F.col("_null"), F.lit(0)).cast("long")
-    s = F.coalesce(F.col("_s"), F.lit(0.0))
-    h = entropy_from_counts(n, d, s)
-    out = joined.select(
+    """Profile columns from the per-column sums, as three SQL projections (cheap to build)."""
+    base = joined.selectExpr(
         "table_name",
         "column_name",
-        h.alias("entropy"),
-        d.alias("distinct_count"),
-        nulls.alias("null_count"),
-        n.alias("total_count"),
+        "CAST(coalesce(_n, 0) AS BIGINT) AS total_count",
+        "CAST(coalesce(_d, 0) AS BIGINT) AS distinct_count",
+        "CAST(coalesce(_null, 0) AS BIGINT) AS null_count",
+        "CAST(coalesce(_s, 0.0) AS DOUBLE) AS _s",
+    )
+    h = round_exact_sql("log2(CAST(total_count AS DOUBLE)) - _s / CAST(total_count AS DOUBLE)", 6)
+    hn = round_exact_sql("entropy / log2(CAST(distinct_count AS DOUBLE))", 6)
+    ratio = round_exact_sql("null_count / total_count", 4)
+    with_h = base.selectExpr(
+        "*", f"CASE WHEN distinct_count <= 1 THEN CAST(0.0 AS DOUBLE) ELSE {h} END AS entropy"
+    )
+    with_n = with_h.selectExpr(
+        "*",
+        f"CASE WHEN distinct_count <= 1 THEN CAST(0.0 AS DOUBLE) ELSE {hn} END AS normalized_entropy",
+        f"CASE WHEN total_count > 0 THEN {ratio} ELSE CAST(0.0 AS DOUBLE) END AS null_ratio",
     )
-    hn = normalized_entropy(F.col("entropy"), F.col("distinct_count"))
-    null_ratio = F.when(
-        F.col("total_count") > 0,
-        round_exact(F.col("null_count") / F.col("total_count"), 4),
-    ).otherwise(F.lit(0.0))
-    out = out.withColumns({"normalized_entropy": hn, "null_ratio": null_ratio})
-    out = out.withColumn(
-        "entropy_class",
-        entropy_class(F.col("entropy"), F.col("normalized_entropy"), F.col("distinct_count")),
+    return with_n.selectExpr(
+        *PROFILE_COLUMNS[:-1],
+        f"{entropy_class_sql('entropy', 'normalized_entropy', 'distinct_count')} AS entropy_class",
     )
-    return out.select(PROFILE_COLUMNS)
 
 
 def profile(
@@ -185,7 +202,7 @@ def value_frequencies(
         schema = "table_name string, column_name string, value string, frequency bigint"
         return spark.createDataFrame([], schema)
     freq = (
-        _long_form(df, cols, 0)
+        _long_form(df, cols, 0, typed=False)
         .groupBy("_t", "_c", "_v")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )

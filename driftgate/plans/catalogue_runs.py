@@ -214,7 +214,12 @@ def sql_provenance_coverage():
 
 
 def q_run_ledger(spark, sf):
-    led = Scenario(spark, sf).ledger
+    from driftgate.session import scratch_path
+    from driftgate.sources import sinks
+
+    path = scratch_path(spark, "run-ledger")
+    ledger.append_ledger(Scenario(spark, sf).ledger, path)  # append-only run history (SNK6)
+    led = sinks.read(spark, path)
     return led.select(
         "experiment_id", "run_id", "git_commit", "git_branch", "catalog_name", "operator",
         "started_at_utc", "completed_at_utc", "entropy_health_score",
@@ -351,3 +356,22 @@ def sql_release_control():
 
 def sql_release_control_healthy():
     return _release_sql("SELECT * FROM orders")
+
+
+# ============================================================================ streaming audit
+
+def q_stream_audit_log(spark, sf):
+    """The events table as a file stream: each micro-batch (one file here) is one load cycle."""
+    from driftgate.session import scratch_path
+    from driftgate.streaming.audit import audit_stream, read_stream_audit
+
+    schema = fx.table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf}/events[.]parquet")
+    target = scratch_path(spark, "stream-audit")
+    audit_stream(stream, "events", target, exclude_columns=[]).awaitTermination()
+    return read_stream_audit(spark, target).drop("measurement_ts")
+
+
+def sql_stream_audit_log():
+    p = O.profile("events", "SELECT * FROM events", O.EVENTS_COLS)
+    return f"SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({p})"

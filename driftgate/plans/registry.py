@@ -32,6 +32,8 @@ NAMES = [
     "category_comparison", "category_comparison_others", "spot_checks", "simulated_drift",
     # end to end (CMP2, CMP4)
     "release_control", "release_control_healthy",
+    # Structured Streaming: audit log per micro-batch (SNK2 per load cycle)
+    "stream_audit_log",
 ]
 
 
