@@ -16,8 +16,13 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_profile_is_one_scan_two_exchanges(spark):
-    orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
+def test_profile_is_one_scan_two_exchanges(spark, tmp_path):
+    # A table stored in many files (as every large table is): no extra exchange.
+    src = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
+    path = str(tmp_path / "orders_multi")
+    src.repartition(32).write.parquet(path)
+    orders = spark.read.parquet(path)
+    assert orders._jdf.rdd().getNumPartitions() * 2 > spark.sparkContext.defaultParallelism
     p = plan_of(profile(orders, "orders", columns=["o_orderstatus", "o_orderpriority"]))
     assert p.count("FileScan parquet") == 1
     assert p.count("Exchange hashpartitioning") == 2
@@ -25,6 +30,14 @@ def test_profile_is_one_scan_two_exchanges(spark):
     assert "Window" not in p and "PythonUDF" not in p and "BatchEvalPython" not in p
 
 
+def test_single_partition_input_is_spread_once(spark):
+    orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
+    p = plan_of(profile(orders, "orders", columns=["o_orderstatus"]))
+    assert p.count("FileScan parquet") == 1
+    assert p.count("Exchange hashpartitioning") == 3
+    assert "monotonically_increasing_id" in p
+
+
 def test_latest_baseline_prunes_partitions(spark, tmp_path):
     orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
     path = str(tmp_path / "hist")
