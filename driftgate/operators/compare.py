@@ -23,19 +23,16 @@ OTHERS = "Others"
 
 
 def category_counts(baseline: DataFrame, current: DataFrame, column: str) -> DataFrame:
-    """(value, baseline_count, current_count) over the values of both loads (JN5)."""
-    b = baseline.groupBy(ref(column).cast("string").alias("value")).agg(
-        F.count(F.lit(1)).alias("baseline_count")
-    )
-    c = current.groupBy(ref(column).cast("string").alias("value")).agg(
-        F.count(F.lit(1)).alias("current_count")
-    )
-    c = c.withColumnRenamed("value", "_cv")
-    j = b.join(c, F.col("value").eqNullSafe(F.col("_cv")), "full_outer")
-    return j.select(
-        F.coalesce(F.col("value"), F.col("_cv")).alias("value"),
-        F.coalesce(F.col("baseline_count"), F.lit(0)).alias("baseline_count"),
-        F.coalesce(F.col("current_count"), F.lit(0)).alias("current_count"),
+    """(value, baseline_count, current_count) over the values of both loads (JN5).
+
+    One grouped count over the union of both loads (side flag per row) instead of a full
+    outer join of two counts: a single exchange, which every later branch reuses.
+    """
+    side = lambda df, s: df.select(ref(column).cast("string").alias("value"), F.lit(s).alias("_s"))
+    u = side(baseline, 0).unionByName(side(current, 1))
+    return u.groupBy("value").agg(
+        F.count_if(F.col("_s") == 0).alias("baseline_count"),
+        F.count_if(F.col("_s") == 1).alias("current_count"),
     )
 
 
