@@ -177,7 +177,7 @@ def health_from_drift(
     return _health(d, weights, health_floor, thresholds)
 
 
-def _health(d: DataFrame, weights, health_floor, thresholds) -> DataFrame:
+def _health(d: DataFrame, weights, health_floor, thresholds, rounded: bool = True) -> DataFrame:
     """Health per table from rows with drift columns and ``_matched``; unmatched rows only
     make their table appear."""
     weighted = _apply_weights(d, weights)
@@ -198,7 +198,8 @@ def _health(d: DataFrame, weights, health_floor, thresholds) -> DataFrame:
         )
         floor = F.coalesce(F.col("_floor"), floor)
     has_w = F.coalesce(F.col("_w"), F.lit(0.0)) > 0
-    score = F.when(has_w, round_exact(F.col("_ws") / F.col("_w"), 4)).otherwise(F.lit(0.0))
+    mean = F.col("_ws") / F.col("_w")
+    score = F.when(has_w, round_exact(mean, 4) if rounded else mean).otherwise(F.lit(0.0))
     details = F.col("column_details")
     return agg.select(
         "table_name",
@@ -219,15 +220,18 @@ def table_health(
     spike_pct: Column | float = DEFAULT_SPIKE_PCT,
     health_floor: Column | float = DEFAULT_HEALTH_FLOOR,
     thresholds: DataFrame | None = None,
+    rounded: bool = True,
 ) -> DataFrame:
     """Composite health per table of baseline vs current profiles (CMP2 core).
 
+    ``rounded=False`` keeps the unrounded mean (the notebook's composite score, AGG10).
+
     Every table that appears in either profile gets a row; one without common columns
     scores 0.0. ``thresholds`` may give per-table ``drop_pct``, ``spike_pct`` and
     ``health_floor``. Each profile is read once (see ``paired``).
     """
     d = _drift_of_pairs(paired(baseline, current), drop_pct, spike_pct, thresholds)
-    return _health(d, weights, health_floor, thresholds)
+    return _health(d, weights, health_floor, thresholds, rounded)
 
 
 def drifted_ratio(health: DataFrame) -> DataFrame:

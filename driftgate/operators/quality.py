@@ -102,9 +102,19 @@ def _mark_duplicates(df: DataFrame, pos: int, dup: Duplicates) -> DataFrame:
     return joined.withColumn(_POS, marked).drop("_dk", "_sp", "_rn", "_win")
 
 
-def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Input rows plus ``failure_reason`` (NULL = clean) and ``_rule_pos`` (1-based)."""
+def tag(df: DataFrame, rules: Sequence[Rule], all_failures: bool = False) -> DataFrame:
+    """Input rows plus ``failure_reason`` (NULL = clean) and ``_rule_pos`` (1-based).
+
+    ``all_failures`` adds ``all_failures array<string>``: every row rule the row fails,
+    each evaluated on the row as it is (duplicate rules are not part of it).
+    """
     cur = df
+    if all_failures:
+        names = [F.when(r.failing(), F.lit(r.name)) for r in rules if not r.is_duplicates]
+        cur = cur.withColumn(
+            "all_failures",
+            F.filter(F.array(*names), lambda x: x.isNotNull()) if names else F.array().cast("array<string>"),
+        )
     pending: Column | None = None
     for pos, rule in enumerate(rules, start=1):
         if rule.is_duplicates:
@@ -137,6 +147,7 @@ class QualityOutcome:
     tagged: DataFrame
     rules: tuple[Rule, ...]
     input_columns: tuple[str, ...]
+    quarantine_columns: tuple[str, ...] = ()
 
     @property
     def clean(self) -> DataFrame:
@@ -144,7 +155,7 @@ class QualityOutcome:
 
     @property
     def quarantine(self) -> DataFrame:
-        cols = [ref(c) for c in self.input_columns] + [F.col(REASON)]
+        cols = [ref(c) for c in (self.quarantine_columns or self.input_columns)] + [F.col(REASON)]
         return self.tagged.filter(F.col(REASON).isNotNull()).select(cols)
 
     @property
@@ -223,14 +234,20 @@ class QualityOutcome:
         )
 
 
-def evaluate(df: DataFrame, rules: Sequence[Rule]) -> QualityOutcome:
-    """Apply ``rules`` in order; see ``QualityOutcome`` for the outputs."""
+def evaluate(df: DataFrame, rules: Sequence[Rule], all_failures: bool = False) -> QualityOutcome:
+    """Apply ``rules`` in order; see ``QualityOutcome`` for the outputs.
+
+    With ``all_failures`` the quarantine also lists every row rule a row fails.
+    """
     names = [r.name for r in rules]
     if REASON in df.columns or _POS in df.columns:
         raise ValueError(f"input already has a {REASON!r} or {_POS!r} column")
     if len(set(names)) != len(names):
         raise ValueError(f"rule names must be unique: {names}")
-    return QualityOutcome(tag(df, rules), tuple(rules), tuple(df.columns))
+    cols = tuple(df.columns) + (("all_failures",) if all_failures else ())
+    outcome = QualityOutcome(tag(df, rules, all_failures), tuple(rules), tuple(df.columns))
+    outcome.quarantine_columns = cols
+    return outcome
 
 
 def write_routed(outcome: QualityOutcome, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

@@ -103,3 +103,9 @@ def test_unmatched_and_ratio(spark):
     assert rows == {("b", "baseline_only"), ("c", "current_only")}
     h = drift.table_health(prof(spark, [("x", 1.0)], "t"), prof(spark, [("y", 1.0)], "t"))
     assert drift.drifted_ratio(h).collect()[0].drifted_ratio is None
+
+
+def test_unrounded_composite(spark):
+    base, cur = [("a", 3.0), ("b", 3.0), ("c", 3.0)], [("a", 2.0), ("b", 3.0), ("c", 3.0)]
+    h = drift.table_health(prof(spark, base), prof(spark, cur), rounded=False).collect()[0]
+    assert h.health_score == pytest.approx((2 / 3 + 1 + 1) / 3, abs=1e-12) and h.health_score != round(h.health_score, 4)

@@ -89,3 +89,11 @@ def test_write_routed(spark, tmp_path):
 def test_rule_validation():
     with pytest.raises(ValueError):
         R.Rule("r", "c", lambda c: None, action="DROP")
+
+
+def test_all_failures_lists_every_row_rule(spark):
+    rules = [R.not_null("k"), R.positive("x"), R.valid_date_range("d", as_of="2021-01-01")]
+    df = spark.createDataFrame([(1, None, -1.0, None)], "id int, k string, x double, d date")
+    q = quality.evaluate(df, rules, all_failures=True).quarantine.collect()[0]
+    assert q.failure_reason == "k_not_null"
+    assert q.all_failures == ["k_not_null", "x_positive", "d_date_range"]
