@@ -62,6 +62,10 @@ _SPINE_SCHEMA = StructType(
 )
 
 
+# Inputs smaller than this (Catalyst's size estimate) are profiled where they are read.
+SPREAD_MIN_BYTES = 8 << 20
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """Spread an input that arrives in fewer partitions than the cluster has cores (a small
     table stored as one row group) before the per-row work. Hashing the row id keeps the
@@ -70,6 +74,9 @@ def _spread(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     target = sc.defaultParallelism
     try:
+        qe = df._jdf.queryExecution()
+        if int(str(qe.optimizedPlan().stats().sizeInBytes())) < SPREAD_MIN_BYTES:
+            return df  # too small for the extra shuffle to pay off
         n = df._jdf.rdd().getNumPartitions()
     except Exception:  # pragma: no cover
         return df

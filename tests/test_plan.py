@@ -31,8 +31,16 @@ def test_profile_is_one_scan_two_exchanges(spark, tmp_path):
 
 
 def test_single_partition_input_is_spread_once(spark):
+    from driftgate.operators import profile as P
+
     orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
-    p = plan_of(profile(orders, "orders", columns=["o_orderstatus"]))
+    small = plan_of(profile(orders, "orders", columns=["o_orderstatus"]))
+    assert small.count("Exchange hashpartitioning") == 2  # tiny input: no spread
+    old, P.SPREAD_MIN_BYTES = P.SPREAD_MIN_BYTES, 0
+    try:
+        p = plan_of(profile(orders, "orders", columns=["o_orderstatus"]))
+    finally:
+        P.SPREAD_MIN_BYTES = old
     assert p.count("FileScan parquet") == 1
     assert p.count("Exchange hashpartitioning") == 3
     assert "monotonically_increasing_id" in p
