@@ -15,12 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.functions import rules as R
-from driftgate.operators import bronze, compare, drift, fidelity, gates, ledger, quality, simulate
+from driftgate.operators import bronze, drift, fidelity, quality
 from driftgate.operators.baseline import latest_baseline
 from driftgate.operators.profile import PROFILE_COLUMNS, column_entropy, profile, profile_tables, value_frequencies
 from driftgate.plans import fixtures as fx
 from driftgate.plans import oracle as O
-from driftgate.plans.release import release_control, runs_frame
 from driftgate.session import scratch_path
 from driftgate.sources import readers, sinks
 

@@ -16,14 +16,14 @@ from driftgate.operators.simulate import collapse, override_where
 EVENTS_SPLIT = "2024-01-16"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read once per session and path: the same DataFrame (and so the same
     scan node) is reused, which also lets Spark reuse exchanges between branches."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
+    key = (str(spark._jsparkSession.sessionUUID()), path)
     df = _READS.get(key)
     if df is None:
         df = _READS[key] = spark.read.parquet(path)
