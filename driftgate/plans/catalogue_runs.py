@@ -15,6 +15,7 @@ from driftgate.plans import fixtures as fx
 from driftgate.plans import oracle as O
 from driftgate.plans.catalogue import LOADS, ORDER_KEYS, _many_profiles, _many_profiles_sql, _r6, config_frame
 from driftgate.plans.release import release_control, runs_frame
+from driftgate.session import materialize_small
 from driftgate.sources import readers
 
 EXPERIMENT = "DRIFTGATE_DEMO"
@@ -58,7 +59,7 @@ class Scenario:
         runs = runs_frame(spark, RUNS)
         base, cur = _many_profiles(spark, sf)
         # a few rows per table, read by the ledger and by the metrics: computed once
-        health = drift.table_health(base, cur).persist().join(runs.select("run_id", "table_name"), "table_name")
+        health = materialize_small(drift.table_health(base, cur)).join(runs.select("run_id", "table_name"), "table_name")
         fid = fidelity.row_fidelity_many(
             {t: (v[0](spark, sf), v[1](spark, sf)) for t, v in LOADS.items()}
         ).join(runs.select("run_id", "table_name"), "table_name")

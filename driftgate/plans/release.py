@@ -19,6 +19,7 @@ from driftgate.operators.fidelity import fidelity as fidelity_of
 from driftgate.operators.gates import evaluate_gates, run_metrics, verdicts
 from driftgate.operators.ledger import build_ledger, provenance_coverage
 from driftgate.operators.profile import profile_tables
+from driftgate.session import materialize_small
 from driftgate.sources.readers import gates_frame, thresholds_frame
 
 RUN_FIELDS = (
@@ -53,15 +54,15 @@ def measure_and_evaluate(
 ) -> dict[str, DataFrame]:
     """Profiles of both loads (one job), per-column drift and table health (CMP2).
 
-    Health is persisted: it is a few rows per table and is read by the ledger, the
-    metrics and the verdict, which would otherwise each rescan both loads.
+    Health is materialised (a few rows per table, checkpointed): the ledger, the metrics
+    and the verdict all read it, and would otherwise each rescan both loads.
     """
     both = profile_tables({_BASE: baseline, _CUR: current}, exclude_columns=exclude_columns)
     sided = both.withColumns(
         {"_side": F.when(F.col("table_name") == _BASE, 0).otherwise(1), "table_name": F.lit(table_name)}
     )
     d = _drift_of_pairs(paired_union(sided), DEFAULT_DROP_PCT, DEFAULT_SPIKE_PCT, thresholds)
-    health = _health(d, weights, DEFAULT_HEALTH_FLOOR, thresholds).persist()
+    health = materialize_small(_health(d, weights, DEFAULT_HEALTH_FLOOR, thresholds))
     drift = d.filter(F.col("_matched")).select(DRIFT_COLUMNS)
     return {
         "baseline_profile": sided.filter(F.col("_side") == 0).drop("_side"),

@@ -54,3 +54,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "driftgate", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize_small(df):
+    """Compute a small result once and cut its lineage with a reliable checkpoint in the
+    shared checkpoint folder: later steps read a few rows instead of re-running (and
+    re-planning) the scans behind them, and a lost executor cannot force a recompute."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
