@@ -1,8 +1,10 @@
 """Append-only sinks: baselines, audit log, run ledger (SNK1, SNK2, SNK6).
 
 A target is either a catalog table name or a storage path (anything containing "/").
-History tables are partitioned by ``table_name`` so that ``latest_baseline`` for one
-table prunes to that table's files.
+History tables are partitioned by (``table_name``, ``measurement_ts``): ``latest_baseline``
+for one table prunes to that table's files, and a measurement written again with the same
+time replaces its own partition (dynamic overwrite), so re-running a capture after a
+failure never duplicates rows.
 """
 
 from __future__ import annotations
@@ -22,15 +24,31 @@ AUDIT_SCHEMA = StructType(
 BASELINE_SCHEMA = StructType(
     AUDIT_SCHEMA.fields + [StructField("baseline_version", IntegerType(), False)]
 )
+HISTORY_PARTITIONS = ("table_name", "measurement_ts")
 
 
 def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Append ``df`` to a table or path."""
-    writer = df.write.mode("append").format(fmt)
+def append(
+    df: DataFrame,
+    target: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    replace_partitions: bool = False,
+) -> None:
+    """Append ``df`` to a table or path.
+
+    ``replace_partitions`` overwrites only the partitions ``df`` writes to (dynamic
+    partition overwrite): re-running the same write replaces its rows instead of adding
+    them twice, and every other partition stays.
+    """
+    writer = df.write.format(fmt)
+    if replace_partitions:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if _is_path(target):
@@ -46,7 +64,8 @@ def read(spark: SparkSession, target: str, fmt: str = "parquet", schema: StructT
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(target)
+    df = reader.load(target)
+    return df.select(schema.fieldNames()) if schema is not None else df
 
 
 def _now_literal() -> _dt.datetime:
@@ -74,14 +93,17 @@ def capture_baseline(
     measurement_ts: _dt.datetime | str | None = None,
     baseline_version: int = 1,
     fmt: str = "parquet",
+    replace_same_time: bool = True,
 ) -> DataFrame:
     """Profile the tables and append the profiles to the baseline history (SNK1).
 
-    Returns the stored rows (read back), not a lazily recomputed profile.
+    Returns the stored rows (read back), not a lazily recomputed profile. With
+    ``replace_same_time`` (default) a capture with the same table and time as an earlier
+    one replaces it, so a retried capture is not stored twice; ``False`` appends.
     """
     measured, ts = _measure(frames, columns, exclude_columns, measurement_ts)
     rows = measured.withColumn("baseline_version", F.lit(baseline_version).cast("int"))
-    append(rows.select(BASELINE_SCHEMA.fieldNames()), target, fmt, ["table_name"])
+    append(rows.select(BASELINE_SCHEMA.fieldNames()), target, fmt, HISTORY_PARTITIONS, replace_same_time)
     spark = rows.sparkSession
     return _stored(spark, target, fmt, BASELINE_SCHEMA, frames.keys(), ts)
 
@@ -93,10 +115,12 @@ def log_measurement(
     exclude_columns: Iterable[str] | None = None,
     measurement_ts: _dt.datetime | str | None = None,
     fmt: str = "parquet",
+    replace_same_time: bool = True,
 ) -> DataFrame:
-    """Profile the tables and append the profiles to the audit log (SNK2)."""
+    """Profile the tables and append the profiles to the audit log (SNK2); see
+    ``capture_baseline`` for ``replace_same_time``."""
     measured, ts = _measure(frames, columns, exclude_columns, measurement_ts)
-    append(measured.select(AUDIT_SCHEMA.fieldNames()), target, fmt, ["table_name"])
+    append(measured.select(AUDIT_SCHEMA.fieldNames()), target, fmt, HISTORY_PARTITIONS, replace_same_time)
     return _stored(measured.sparkSession, target, fmt, AUDIT_SCHEMA, frames.keys(), ts)
 
 

@@ -76,7 +76,9 @@ def test_latest_baseline_keeps_ties_and_many_tables(spark, tmp_path):
     cols = ["o_orderstatus", "o_orderpriority"]
     sinks.capture_baseline({"orders": o}, path, columns=cols, measurement_ts="2024-01-01 00:00:00")
     sinks.capture_baseline({"orders": o.limit(10)}, path, columns=cols, measurement_ts="2024-02-01 00:00:00")
-    sinks.capture_baseline({"orders": o, "nation": o}, path, columns=cols, measurement_ts="2024-02-01 00:00:00")
+    sinks.capture_baseline(
+        {"orders": o, "nation": o}, path, columns=cols, measurement_ts="2024-02-01 00:00:00", replace_same_time=False
+    )
     latest = latest_baseline(sinks.read_baselines(spark, path))
     per = {}
     for r in latest.collect():
@@ -112,3 +114,15 @@ def test_release_control_outputs(spark):
     assert (v.overall_verdict, v.gold_allowed, v.health_score) == ("PASS", True, 1.0)
     assert rel.evaluations.count() == 6 and rel.fidelity.collect()[0].row_count_ratio == 1.0
     assert rel.ledger.collect()[0].provenance_field_coverage == 1.0
+
+
+def test_capture_is_idempotent_per_measurement(spark, tmp_path):
+    o = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
+    path = str(tmp_path / "hist")
+    cols = ["o_orderstatus", "o_orderpriority"]
+    for _ in range(2):  # e.g. a retried load cycle
+        sinks.capture_baseline({"orders": o}, path, columns=cols, measurement_ts="2024-01-01 00:00:00")
+    sinks.capture_baseline({"orders": o}, path, columns=cols, measurement_ts="2024-01-02 00:00:00")
+    hist = sinks.read_baselines(spark, path)
+    assert hist.count() == 4 and hist.select("measurement_ts").distinct().count() == 2
+    assert hist.columns == list(sinks.BASELINE_SCHEMA.fieldNames())
