@@ -7,7 +7,7 @@ is read from a small configuration file) and their measured metrics by a left jo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftgate.functions import gates as G
@@ -41,39 +41,41 @@ def run_metrics(
     quality: DataFrame | None = None,
     coverage: DataFrame | None = None,
 ) -> DataFrame:
-    """Measured metrics per run, long form, from per-run frames keyed by ``run_id``.
+    """Measured metrics per run, long form (run_id, metric, value), from per-run frames
+    keyed by ``run_id``.
 
     ``health``: health_score, columns_drifted, total_columns_checked.
     ``fidelity``: row_count_ratio. ``quality``: quality_pass_ratio, quarantine_ratio.
-    ``coverage``: provenance_field_coverage. Absent inputs leave their metrics NULL.
+    ``coverage``: provenance_field_coverage. Each input contributes its own rows and the
+    parts are unioned, so no join is needed: a run missing from an input (or a NULL
+    value) simply has no measured value, which the gate join reports as NOT_MEASURED.
     """
-    wide = runs.select("run_id")
-    null = F.lit(None).cast("double")
-    cols = {m: null for m in G.METRICS}
+
+    def long(df: DataFrame, pairs: dict[str, Column]) -> DataFrame:
+        rows = [F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in pairs.items()]
+        return df.select("run_id", F.inline(F.array(*rows)))
+
+    parts = []
     if health is not None:
-        wide = wide.join(
-            health.select("run_id", "health_score", "columns_drifted", "total_columns_checked"),
-            "run_id",
-            "left",
-        )
-        cols["entropy_health_score"] = F.col("health_score")
-        cols["entropy_columns_drifted_ratio"] = F.try_divide(
-            F.col("columns_drifted").cast("double"), F.col("total_columns_checked").cast("double")
-        )
+        ratio = F.try_divide(F.col("columns_drifted").cast("double"), F.col("total_columns_checked").cast("double"))
+        parts.append(long(health, {"entropy_health_score": F.col("health_score"), "entropy_columns_drifted_ratio": ratio}))
     if fidelity is not None:
-        wide = wide.join(fidelity.select("run_id", "row_count_ratio"), "run_id", "left")
-        cols["bronze_record_fidelity_ratio"] = F.col("row_count_ratio")
+        parts.append(long(fidelity, {"bronze_record_fidelity_ratio": F.col("row_count_ratio")}))
     if quality is not None:
-        wide = wide.join(
-            quality.select("run_id", "quality_pass_ratio", "quarantine_ratio"), "run_id", "left"
+        parts.append(
+            long(
+                quality,
+                {"silver_quality_pass_ratio": F.col("quality_pass_ratio"), "silver_quarantine_ratio": F.col("quarantine_ratio")},
+            )
         )
-        cols["silver_quality_pass_ratio"] = F.col("quality_pass_ratio")
-        cols["silver_quarantine_ratio"] = F.col("quarantine_ratio")
     if coverage is not None:
-        wide = wide.join(coverage.select("run_id", "provenance_field_coverage"), "run_id", "left")
-        cols["provenance_field_coverage"] = F.col("provenance_field_coverage")
-    wide = wide.select("run_id", *[c.cast("double").alias(m) for m, c in cols.items()])
-    return metrics_long(wide)
+        parts.append(long(coverage, {"provenance_field_coverage": F.col("provenance_field_coverage")}))
+    if not parts:
+        return runs.sparkSession.createDataFrame([], "run_id string, metric string, value double")
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def evaluate_gates(gates: DataFrame, runs: DataFrame, metrics: DataFrame) -> DataFrame:
