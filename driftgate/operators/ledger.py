@@ -89,6 +89,13 @@ def build_ledger(
     )
 
 
-def append_ledger(ledger: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Append ledger rows (append-only run history)."""
-    append(ledger.select(LEDGER_COLUMNS), target, fmt)
+def append_ledger(ledger: DataFrame, target: str, fmt: str = "parquet", replace_runs: bool = False) -> None:
+    """Append ledger rows (append-only run history).
+
+    ``replace_runs`` partitions the ledger by ``run_id`` and overwrites only the runs
+    being written, so re-recording a run after a failure keeps one row per run.
+    """
+    if replace_runs:
+        append(ledger.select(LEDGER_COLUMNS), target, fmt, ("run_id",), replace_partitions=True)
+    else:
+        append(ledger.select(LEDGER_COLUMNS), target, fmt)

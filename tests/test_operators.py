@@ -126,3 +126,16 @@ def test_capture_is_idempotent_per_measurement(spark, tmp_path):
     hist = sinks.read_baselines(spark, path)
     assert hist.count() == 4 and hist.select("measurement_ts").distinct().count() == 2
     assert hist.columns == list(sinks.BASELINE_SCHEMA.fieldNames())
+
+
+def test_ledger_append_and_replace(spark, tmp_path):
+    runs = spark.createDataFrame(
+        [("E", "r1", "s"), ("E", "r2", "s")], "experiment_id string, run_id string, status string"
+    )
+    led = ledger.build_ledger(runs)
+    plain, replaced = str(tmp_path / "plain"), str(tmp_path / "replaced")
+    for _ in range(2):
+        ledger.append_ledger(led, plain)
+        ledger.append_ledger(led, replaced, replace_runs=True)
+    assert sinks.read(spark, plain).count() == 4  # append-only history
+    assert sinks.read(spark, replaced).count() == 2  # one row per run
