@@ -177,14 +177,14 @@ def health_from_drift(
     return _health(d, weights, health_floor, thresholds)
 
 
-def _health(d: DataFrame, weights, health_floor, thresholds, rounded: bool = True) -> DataFrame:
+def _health(d: DataFrame, weights, health_floor, thresholds, rounded: bool = True, by=("table_name",)) -> DataFrame:
     """Health per table from rows with drift columns and ``_matched``; unmatched rows only
     make their table appear."""
     weighted = _apply_weights(d, weights)
     m = F.col("_matched")
     w, stab = F.col("weight"), F.col("stability_score")
     detail = F.struct(*[F.col(c) for c in _DETAIL_FIELDS])
-    agg = weighted.groupBy("table_name").agg(
+    agg = weighted.groupBy(*by).agg(
         F.sum(F.when(m, stab * w)).alias("_ws"),
         F.sum(F.when(m, w)).alias("_w"),
         F.count_if(m).alias("total_columns_checked"),
@@ -202,7 +202,7 @@ def _health(d: DataFrame, weights, health_floor, thresholds, rounded: bool = Tru
     score = F.when(has_w, round_exact(mean, 4) if rounded else mean).otherwise(F.lit(0.0))
     details = F.col("column_details")
     return agg.select(
-        "table_name",
+        *by,
         score.alias("health_score"),
         (score >= floor).alias("passed_gate"),
         F.col("total_columns_checked").cast("int").alias("total_columns_checked"),
@@ -234,6 +234,32 @@ def table_health(
     return _health(d, weights, health_floor, thresholds, rounded)
 
 
+def health_history(
+    baseline: DataFrame,
+    history: DataFrame,
+    weights: DataFrame | Mapping | None = None,
+    drop_pct: Column | float = DEFAULT_DROP_PCT,
+    spike_pct: Column | float = DEFAULT_SPIKE_PCT,
+    health_floor: Column | float = DEFAULT_HEALTH_FLOOR,
+    thresholds: DataFrame | None = None,
+) -> DataFrame:
+    """Health of every measurement in an audit history against its table's baseline, in
+    one job: one row per (table_name, measurement_ts) — the entropy trend of each table.
+
+    ``baseline`` holds one profile per table (e.g. ``latest_baseline``); ``history`` holds
+    many (``read_audit_log``). The baseline side is a few rows per column and the history is
+    joined to it on (table, column); adaptive execution broadcasts it when it is small.
+    Columns of a load without a baseline are ignored; a load with no common column scores 0.
+    """
+    b = baseline.select(*KEYS, F.col("entropy").alias("baseline_entropy"))
+    h = history.select("table_name", "measurement_ts", "column_name", F.col("entropy").alias("current_entropy"))
+    j = h.join(b, KEYS, "left").withColumns(
+        {"_in_b": F.col("baseline_entropy").isNotNull(), "_in_c": F.lit(True)}
+    )
+    d = _drift_of_pairs(j, drop_pct, spike_pct, thresholds)
+    return _health(d, weights, health_floor, thresholds, by=("table_name", "measurement_ts"))
+
+
 def drifted_ratio(health: DataFrame) -> DataFrame:
     """(table_name, drifted_ratio): drifted / checked, NULL when nothing was checked (AGG11)."""
     return health.select(

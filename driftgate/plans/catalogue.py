@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CONFIG_PATH = os.path.join(os.path.dirname(__file__), "..", "..", "config", "kpi_thresholds.json")
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+_HEALTH_COLS = ["table_name", "health_score", "passed_gate", "total_columns_checked", "columns_drifted"]
 ORDER_KEYS = ["o_orderkey", "o_custkey"]
 ORDERS_MONITORED = ["o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -192,6 +193,30 @@ def sql_latest_baseline():
     return f"({a}) UNION ALL ({b})"
 
 
+T3 = "2024-03-01 00:00:00"
+
+
+def q_health_history(spark, sf):
+    path = scratch_path(spark, "audit-trend")
+    base = profile(fx.orders(spark, sf), "orders", exclude_columns=ORDER_KEYS)
+    for ts, load in ((T1, fx.orders), (T2, fx.orders_drifted), (T3, fx.orders_nulls)):
+        sinks.log_measurement({"orders": load(spark, sf)}, path, exclude_columns=ORDER_KEYS, measurement_ts=ts)
+    h = drift.health_history(base, sinks.read_audit_log(spark, path))
+    return h.select(
+        "table_name", F.col("measurement_ts").cast("string").alias("measurement_ts"), *_HEALTH_COLS[1:]
+    )
+
+
+def sql_health_history():
+    b = O.profile("orders", "SELECT * FROM orders", ORDERS_MONITORED)
+    parts = []
+    for ts, src in ((T1, "SELECT * FROM orders"), (T2, O.ORDERS_DRIFTED), (T3, O.ORDERS_NULLS)):
+        c = O.profile("orders", src, ORDERS_MONITORED)
+        h = O.health(O.drift(b, c), f"SELECT table_name FROM ({c})")
+        parts.append(f"SELECT table_name, {O.q(ts)} AS measurement_ts, {', '.join(_HEALTH_COLS[1:])} FROM ({h})")
+    return " UNION ALL ".join(parts)
+
+
 # ============================================================================ drift and health
 
 def _orders_profiles(spark, sf):
@@ -248,7 +273,6 @@ def sql_drift_unmatched_columns():
     )
 
 
-_HEALTH_COLS = ["table_name", "health_score", "passed_gate", "total_columns_checked", "columns_drifted"]
 
 
 def q_table_health(spark, sf):

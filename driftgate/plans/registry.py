@@ -18,7 +18,7 @@ NAMES = [
     # drift and health (JN1, JN2, SCL2, SCL3, AGG8-AGG11)
     "column_drift", "column_drift_thresholds", "drift_unmatched_columns",
     "table_health", "table_health_weighted", "table_health_no_common", "table_health_many",
-    "flagged_columns", "drifted_ratio",
+    "flagged_columns", "drifted_ratio", "health_history",
     # quality (QR1-QR5, WIN1, CMP1, AGG12, AGG18, SET1, SET2)
     "rule_not_null", "rule_positive", "rule_date_range", "rule_no_duplicates", "rule_custom",
     "quality_clean", "quality_quarantine", "quality_results", "quality_ratios",

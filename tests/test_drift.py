@@ -109,3 +109,17 @@ def test_unrounded_composite(spark):
     base, cur = [("a", 3.0), ("b", 3.0), ("c", 3.0)], [("a", 2.0), ("b", 3.0), ("c", 3.0)]
     h = drift.table_health(prof(spark, base), prof(spark, cur), rounded=False).collect()[0]
     assert h.health_score == pytest.approx((2 / 3 + 1 + 1) / 3, abs=1e-12) and h.health_score != round(h.health_score, 4)
+
+
+def test_health_history_scores_every_load(spark):
+    base = prof(spark, [("a", 4.0), ("b", 2.0)])
+    hist = spark.createDataFrame(
+        [
+            ("t", "2024-01-01", "a", 4.0), ("t", "2024-01-01", "b", 2.0),
+            ("t", "2024-01-02", "a", 0.0), ("t", "2024-01-02", "b", 2.0),
+            ("t", "2024-01-03", "zzz", 1.0),
+        ],
+        "table_name string, measurement_ts string, column_name string, entropy double",
+    )
+    got = {r.measurement_ts: (r.health_score, r.columns_drifted, r.total_columns_checked) for r in drift.health_history(base, hist).collect()}
+    assert got == {"2024-01-01": (1.0, 0, 2), "2024-01-02": (0.5, 1, 2), "2024-01-03": (0.0, 0, 0)}
