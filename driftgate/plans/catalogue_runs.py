@@ -10,13 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.functions import rules as R
-from driftgate.operators import compare, drift, fidelity, gates, ledger, quality, simulate
+from driftgate.operators import compare, ledger, quality, simulate
 from driftgate.plans import fixtures as fx
 from driftgate.plans import oracle as O
-from driftgate.plans.catalogue import LOADS, ORDER_KEYS, _many_profiles, _many_profiles_sql, _r6, config_frame
-from driftgate.plans.release import release_control, runs_frame
-from driftgate.session import materialize_small
-from driftgate.sources import readers
+from driftgate.plans.catalogue import LOADS, ORDER_KEYS, _many_profiles_sql, _r6, config_frame
+from driftgate.plans.release import release_control, release_many
 
 EXPERIMENT = "DRIFTGATE_DEMO"
 _CTX = dict(
@@ -53,31 +51,19 @@ GATES_SQL = (
 
 
 class Scenario:
-    """Lazily built frames of the multi-run scenario."""
+    """Frames of the multi-run scenario (``plans.release.release_many`` over four loads)."""
 
     def __init__(self, spark: SparkSession, sf: str):
-        runs = runs_frame(spark, RUNS)
-        base, cur = _many_profiles(spark, sf)
-        # a few rows per table, read by the ledger and by the metrics: computed once
-        health = materialize_small(drift.table_health(base, cur)).join(runs.select("run_id", "table_name"), "table_name")
-        fid = fidelity.row_fidelity_many(
-            {t: (v[0](spark, sf), v[1](spark, sf)) for t, v in LOADS.items()}
-        ).join(runs.select("run_id", "table_name"), "table_name")
-        ratios = [
-            quality.evaluate(LOADS[t][1](spark, sf), rules).ratios.withColumn("table_name", F.lit(t))
-            for t, rules in RUN_RULES.items()
-        ]
-        qual = ratios[0]
-        for r in ratios[1:]:
-            qual = qual.unionByName(r)
-        qual = qual.join(runs.select("run_id", "table_name"), "table_name")
-        self.runs = runs
-        self.ledger = ledger.provenance_coverage(
-            ledger.build_ledger(runs, health, runs.select("run_id", "table_name"))
+        rel = release_many(
+            {t: (v[0](spark, sf), v[1](spark, sf)) for t, v in LOADS.items()},
+            config_frame(spark),
+            RUNS,
+            columns={t: v[2] for t, v in LOADS.items()},
+            rules=RUN_RULES,
         )
-        metrics = gates.run_metrics(runs, health=health, fidelity=fid, quality=qual, coverage=self.ledger)
-        self.evaluations = gates.evaluate_gates(readers.gates_frame(config_frame(spark)), runs, metrics)
-        self.verdicts = gates.verdicts(runs, self.evaluations)
+        self.ledger = rel.ledger
+        self.evaluations = rel.evaluations
+        self.verdicts = rel.verdicts
 
 
 def _runs_sql() -> str:

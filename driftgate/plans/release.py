@@ -141,3 +141,62 @@ def release_control(
         evaluations,
         verdict,
     )
+
+
+@dataclass
+class ReleaseMany:
+    health: DataFrame
+    fidelity: DataFrame
+    quality: DataFrame
+    ledger: DataFrame
+    metrics: DataFrame
+    evaluations: DataFrame
+    verdicts: DataFrame
+
+
+def release_many(
+    loads: Mapping[str, tuple[DataFrame, DataFrame]],
+    config: DataFrame,
+    runs: Iterable[Mapping],
+    columns: Mapping[str, Iterable[str]] | None = None,
+    exclude_columns: Iterable[str] | Mapping[str, Iterable[str]] | None = None,
+    rules: Mapping[str, list] | None = None,
+    weights: Mapping | DataFrame | None = None,
+) -> ReleaseMany:
+    """Release decisions for many tables (one run each) in one set of jobs.
+
+    ``loads`` maps a table name to (baseline, current). ``runs`` carries the run context
+    per run with its ``table_name``. All baselines are profiled in one job, all currents
+    in another; all row counts in one job; quality ratios come from ``rules`` per table
+    (tables without rules leave their quality gates NOT_MEASURED).
+    """
+    from driftgate.operators import quality as Q
+    from driftgate.operators.drift import table_health
+    from driftgate.operators.fidelity import row_fidelity_many
+
+    spark = config.sparkSession
+    run_rows = runs_frame(spark, runs)
+    keys = run_rows.select("run_id", "table_name")
+    cols = {t: list(c) for t, c in columns.items()} if columns else None
+    base = profile_tables({t: b for t, (b, _) in loads.items()}, cols, exclude_columns)
+    cur = profile_tables({t: c for t, (_, c) in loads.items()}, cols, exclude_columns)
+    th = run_rows.select("experiment_id", "table_name").join(thresholds_frame(config), "experiment_id", "left")
+    # a few rows per table, read by the ledger and by the metrics: computed once
+    health = materialize_small(table_health(base, cur, weights, thresholds=th)).join(keys, "table_name")
+    fid = row_fidelity_many(loads).join(keys, "table_name")
+    ratios = [
+        Q.evaluate(loads[t][1], r).ratios.withColumn("table_name", F.lit(t))
+        for t, r in (rules or {}).items()
+        if r
+    ]
+    if ratios:
+        qual = ratios[0]
+        for r in ratios[1:]:
+            qual = qual.unionByName(r)
+        qual = qual.join(keys, "table_name")
+    else:
+        qual = spark.createDataFrame([], "run_id string, quality_pass_ratio double, quarantine_ratio double")
+    ledger = provenance_coverage(build_ledger(run_rows, health, keys))
+    metrics = run_metrics(run_rows, health=health, fidelity=fid, quality=qual, coverage=ledger)
+    evaluations = evaluate_gates(gates_frame(config), run_rows, metrics)
+    return ReleaseMany(health, fid, qual, ledger, metrics, evaluations, verdicts(run_rows, evaluations))
