@@ -139,3 +139,25 @@ def test_ledger_append_and_replace(spark, tmp_path):
         ledger.append_ledger(led, replaced, replace_runs=True)
     assert sinks.read(spark, plain).count() == 4  # append-only history
     assert sinks.read(spark, replaced).count() == 2  # one row per run
+
+
+def test_release_many_runs_in_one_call(spark):
+    from driftgate.plans.release import release_many
+    from driftgate.functions import rules as R
+
+    o = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
+    drifted = o.withColumn("o_orderstatus", F.lit("F"))
+    ctx = {"experiment_id": "DRIFTGATE_DEMO", "git_commit": "c", "git_branch": "b", "catalog_name": "k",
+           "operator": "o", "started_at_utc": "t", "status": "EXECUTION_COMPLETED"}
+    rel = release_many(
+        {"same": (o, o), "drifted": (o, drifted)},
+        catalogue.config_frame(spark),
+        [{**ctx, "run_id": "r-same", "table_name": "same"}, {**ctx, "run_id": "r-drifted", "table_name": "drifted"}],
+        columns={"same": ["o_orderstatus", "o_orderpriority"], "drifted": ["o_orderstatus", "o_orderpriority"]},
+        rules={"same": [R.not_null("o_orderpriority")]},  # no rules for "drifted": quality not measured
+    )
+    v = {r.run_id: (r.overall_verdict, r.unmeasured_gates) for r in rel.verdicts.collect()}
+    assert v["r-same"] == ("PASS", [])
+    assert v["r-drifted"] == ("INCOMPLETE", ["FAIL-3", "WARN-6"])
+    h = {r.table_name: r.health_score for r in rel.health.collect()}
+    assert h["same"] == 1.0 and h["drifted"] == 0.5
