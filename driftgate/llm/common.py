@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,11 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(importlib.import_module(module))
 
 
+def bucket(key: bytes, n: int) -> int:
+    """A hash bucket of a byte string."""
+    return xxhash.xxh64_intdigest(key) % n
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array (null and empty texts: none)."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

@@ -7,13 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftgate.llm import decision_list, decontaminate, simhash_ring, site_lines
+from driftgate.llm import (
+    decision_list,
+    decontaminate,
+    host_reputation,
+    nested_secrets,
+    piece_lattice,
+    simhash_ring,
+    site_lines,
+    token_attribution,
+    token_frames,
+)
 from driftgate.llm.common import read
+from driftgate.session import scratch_path
+
+
+def tokenizer(name: str) -> str:
+    """The default place of the public vocabulary files; every operator takes a path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_attribution.attribute(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nested_secrets.find(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_layers", "deepest", "n_cut_layers"
+    )
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token_files")
+    manifest = token_frames.write(read(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"))
+    return token_frames.checksums(token_frames.read(spark, manifest))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_lattice.load(tokenizer("piece_bpe_32k.model"))
+    encoded = piece_lattice.encode(read(spark, sf_dir, "documents"), model)
+    return piece_lattice.digest(piece_lattice.decode(encoded, model))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    out = site_lines.drop_boilerplate(docs, "source", "text", counts=True)
+    out = site_lines.drop_boilerplate(docs, "source", "text", lines_col="n_lines", dropped_col="n_dropped")
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -21,6 +62,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes are the given labels of the page's record id: bad if of low quality or toxic."""
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0)
+    outcomes = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return host_reputation.judge(read(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict", "host_labels", "bad_rate_bound")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ring.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -81,8 +129,13 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_secret_scans": op2_secret_scans,
+    "op3_token_files": op3_token_files,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_url_filters": op8_url_filters,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

@@ -40,9 +40,9 @@ def boilerplate(docs: DataFrame, host_col: str, text_col: str, ratio: float = RA
     return over.groupBy("f.host").agg(F.first("n_pages").alias("n_pages"), F.collect_set("line").alias("lines"))
 
 
-def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
-    """``docs`` with the boilerplate lines gone from ``text_col``; with ``counts``, also the
-    columns ``n_lines`` and ``n_dropped``."""
+def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, lines_col: str | None = None, dropped_col: str | None = None) -> DataFrame:
+    """``docs`` with the boilerplate lines gone from ``text_col`` and, where names are given, columns
+    with the number of lines and of dropped lines."""
     found = boilerplate(docs, host_col, text_col, ratio, min_pages)
     found = found.select(F.col("host").alias("__dg_host"), F.col("lines").alias("__dg_lines"))
     marked = docs.join(found, docs[host_col].eqNullSafe(F.col("__dg_host")), "left")
@@ -51,9 +51,9 @@ def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str =
     marked = marked.withColumn("__dg_kept", F.when(F.col("__dg_lines").isNotNull(), keeps))
     text = F.when(F.col("__dg_kept").isNull(), F.col(text_col)).otherwise(F.array_join("__dg_kept", "\n"))
     columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    if counts:
-        n_lines = F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long")
-        n_lines = F.when(F.col(text_col).isNull(), F.lit(0).cast("long")).otherwise(n_lines)
-        dropped = F.when(F.col("__dg_kept").isNull(), F.lit(0).cast("long")).otherwise(n_lines - F.size("__dg_kept"))
-        columns += [n_lines.alias("n_lines"), dropped.alias("n_dropped")]
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(all_lines)).cast("long")
+    if lines_col:
+        columns.append(n_lines.alias(lines_col))
+    if dropped_col:
+        columns.append(F.when(F.col("__dg_kept").isNull(), 0).otherwise(n_lines - F.size("__dg_kept")).cast("long").alias(dropped_col))
     return marked.select(*columns)
