@@ -233,5 +233,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     thin = with_statistics(docs.select(F.col(id_col).alias("__dg_id"), F.col(text_col).alias("__dg_text")), "__dg_text")
     rules = learn(written(thin.drop("__dg_text").withColumnRenamed("__dg_id", id_col), "statistics"), labels, id_col)
     judged = docs.select(F.struct(*docs.columns).alias("__dg_row"), F.col(text_col).alias("__dg_text"))
-    good = with_statistics(judged, "__dg_text").filter(~base_failed() & rejected_by(rules).isNull())
-    return good.select("__dg_row.*")
+    # A filter on the statistics would be pushed below them, computing them anew for every use; a
+    # generated row (none for a rejected text) is not.
+    good = F.when(~base_failed() & rejected_by(rules).isNull(), F.array("__dg_row"))
+    kept = with_statistics(judged, "__dg_text").select(F.explode_outer(good).alias("__dg_row"))
+    return kept.filter(F.col("__dg_row").isNotNull()).select("__dg_row.*")

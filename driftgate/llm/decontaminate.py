@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +33,6 @@ from driftgate.session import written
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 BITMAP_BITS = 24
-#: Words remembered by a worker with their hash, so that frequent words are hashed once.
-WORD_CACHE = 500_000
 
 _LOWER_OR_GAP = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -47,31 +44,6 @@ def tokenize(text: bytes) -> list[bytes]:
     return text.translate(_LOWER_OR_GAP).split()
 
 
-class WordHashes(dict):
-    """Word -> 64-bit hash, remembering up to ``WORD_CACHE`` words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` consecutive words, from the words' hashes."""
-    n = len(hashes) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    out = np.full(n, k, np.uint64)
-    for i in range(k):
-        out = (out ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out
-
-
 WINDOW_SCHEMA = "item_id string, window string, n int, offset int, k int, h long"
 HIT_SCHEMA = "id {id}, th long, n_words long, pos long, h long, lead int, context string"
 
@@ -80,7 +52,7 @@ def item_shingles(benchmark: DataFrame, id_col: str, text_col: str, window_words
     """One row per item, window and shingle of the window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = common.WordHashes()
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
@@ -89,7 +61,7 @@ def item_shingles(benchmark: DataFrame, id_col: str, text_col: str, window_words
                     continue
                 n = min(window_words, len(words))
                 k = min(SHINGLE_WORDS, n)
-                hashes = shingle_hashes(known.of(words), k).view(np.int64).tolist()
+                hashes = common.shingle_hashes(known.of(words), k).view(np.int64).tolist()
                 for start in range(len(words) - n + 1):
                     window = b" ".join(words[start : start + n]).decode()
                     rows += [(item, window, n, i, k, hashes[start + i]) for i in range(n - k + 1)]
@@ -125,7 +97,7 @@ def document_hits(docs: DataFrame, id_col: str, text_col: str, shingles: DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint64)
-        known = WordHashes()
+        known = common.WordHashes()
         for batch in batches:
             at, n_words, pos, hashes, lead, context = [], [], [], [], [], []
             for i, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
@@ -136,7 +108,7 @@ def document_hits(docs: DataFrame, id_col: str, text_col: str, shingles: DataFra
                     column.append(None)
                 own = known.of(words)
                 for k in sizes:
-                    found = shingle_hashes(own, k)
+                    found = common.shingle_hashes(own, k)
                     slots = found >> np.uint64(64 - BITMAP_BITS)
                     hit = np.flatnonzero((bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1))
                     for p, h in zip(hit.tolist(), found[hit].view(np.int64).tolist(), strict=True):

@@ -136,19 +136,6 @@ def encode_long(model: Model, chunk: str) -> list[int]:
     return spell(model, [s for s in symbols if s])
 
 
-def pack(parts: list[bytes]) -> bytes:
-    lengths = np.fromiter(map(len, parts), np.uint32, len(parts))
-    return zstandard.ZstdCompressor(3).compress(np.uint32(len(parts)).tobytes() + lengths.tobytes() + b"".join(parts))
-
-
-def unpack(blob: bytes) -> list[bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw[:4], np.uint32)[0])
-    ends = np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64) + 4 + 4 * n
-    at = [4 + 4 * n, *ends.tolist()]
-    return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-
-
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """(piece, id, score); the empty piece keeps a chunk that matches nothing else."""
     rows = [(p, i, float(s)) for p, (i, s) in model.scores.items()] + [("", -1, 0.0)]
@@ -209,13 +196,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     id_type = thin.schema["id"].dataType.simpleString()
     thin = thin.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)).alias("block"))
 
-    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeezer = zstandard.ZstdCompressor(3)
-        for batch in batches:
-            blobs = [squeezer.compress(t or b"") for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary()), batch.column(2)], names=["id", "blob", "block"])
-
-    blocks = thin.mapInArrow(squeeze, f"id {id_type}, blob binary, block long")
+    blocks = common.squeezed(thin)
 
     def texts(table: pa.Table) -> Iterator[str]:
         opener = zstandard.ZstdDecompressor()
@@ -231,7 +212,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         return out
 
     def ask(table: pa.Table) -> pa.Table:
-        rows = [(i, pack(words)) for i, words in enumerate(dealt(table)) if words]
+        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(table)) if words]
         block = table.column("block")[0].as_py()
         return pa.table({
             "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([i for i, _ in rows], pa.int64()),
@@ -241,7 +222,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     asked = blocks.groupBy("block").applyInArrow(ask, "block long, bucket long, words binary")
 
     def distinct(table: pa.Table) -> pa.Table:
-        words = sorted({w for blob in table.column("words").to_pylist() for w in unpack(blob)})
+        words = sorted({w for blob in table.column("words").to_pylist() for w in common.unpack(blob)})
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(words), pa.int64()), "word": pa.array(words, pa.binary()).cast(pa.string())})
 
     words = asked.groupBy("bucket").applyInArrow(distinct, "bucket long, word string").repartition("bucket")
@@ -252,7 +233,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         values, ends = column.values.to_numpy(zero_copy_only=False).astype(np.int32), column.offsets.to_numpy()
         names = entries.column("word").combine_chunks().cast(pa.binary()).to_pylist()
         table = {w: values[a:b].tobytes() for w, a, b in zip(names, ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
-        replies = [pack([table[w] for w in unpack(blob)]) for blob in questions.column("words").to_pylist()]
+        replies = [common.pack([table[w] for w in common.unpack(blob)]) for blob in questions.column("words").to_pylist()]
         return pa.table({"block": questions.column("block"), "bucket": questions.column("bucket"), "ids": pa.array(replies, pa.binary())})
 
     replies = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block long, bucket long, ids binary")
@@ -260,7 +241,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
         asked_words, table = dealt(rows), {}
         for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
-            table |= zip([w.decode() for w in asked_words[bucket]], unpack(blob), strict=True)
+            table |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
         encoded = []
         for text in texts(rows):
             own = chunks(text, model.prefix)

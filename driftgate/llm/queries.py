@@ -12,6 +12,7 @@ from driftgate.llm import (
     decontaminate,
     host_reputation,
     nested_secrets,
+    phrase_automata,
     piece_lattice,
     simhash_ring,
     site_lines,
@@ -46,6 +47,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.checksums(token_frames.read(spark, manifest))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_automata.dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_lattice.load(tokenizer("piece_bpe_32k.model"))
     encoded = piece_lattice.encode(read(spark, sf_dir, "documents"), model)
@@ -83,6 +89,21 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 SQL = {}
 
+SQL["op4_substring_dedup"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+owned AS (SELECT t, min(doc_id) AS owner FROM win GROUP BY t),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS k FROM win JOIN owned USING (t) WHERE owner < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS k FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS text
+  FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 SQL["op6_line_dedup"] = f"""
 WITH l AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS lines,
@@ -132,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scans": op2_secret_scans,
     "op3_token_files": op3_token_files,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,

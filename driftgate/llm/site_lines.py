@@ -29,7 +29,7 @@ _HAS_WORD = r"[^\x20\x09-\x0D]"
 def boilerplate(docs: DataFrame, host_col: str, text_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """Rows (host, n_pages, lines): the hashes of each host's boilerplate lines."""
     lines = F.transform(F.filter(F.split(text_col, "\n"), lambda x: x.rlike(_HAS_WORD)), lambda x: F.xxhash64(x))
-    pages = docs.select(F.col(host_col).alias("host"), lines.alias("lines")).filter(F.col("lines").isNotNull()).distinct()
+    pages = docs.filter(F.col(text_col).isNotNull()).select(F.col(host_col).alias("host"), lines.alias("lines")).distinct()
     totals = pages.groupBy("host").agg(F.count("*").alias("n_pages"))
     found = (
         pages.select("host", F.explode(F.array_distinct("lines")).alias("line"))
