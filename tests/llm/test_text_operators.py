@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from driftgate.llm import nested_secrets, piece_lattice, token_attribution, token_frames, tokens
 from driftgate.llm.queries import QUERIES, tokenizer
 from driftgate.session import scratch_path
+from llm_fixtures import docs, no_docs, rows  # noqa: F401
 
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -134,7 +135,7 @@ def base(text):
 
 
 def test_secret_base_spans_whole_table(spark):
-    sf = "/root/testdata/sf0.001"
+    sf = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in QUERIES["op2_secret_scans"](spark, sf).collect()}
     rows = spark.read.parquet(f"{sf}/documents.parquet").collect()
     assert len(got) == len(rows) and sum(r.n_assign for r in got.values()) > 0
