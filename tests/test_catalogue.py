@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from driftgate.plans import registry
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
-NAMES = list(E.queries())
+NAMES = list(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
