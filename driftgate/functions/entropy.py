@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     BooleanType,
     ByteType,
@@ -17,17 +18,15 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    MapType,
     ShortType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
 
 from driftgate.functions.columns import ref
 
-# Values longer than this many bytes are grouped by their SHA-256 digest instead of the
-# full text, so that the shuffle carries 64 bytes per distinct long value, not the value.
-FINGERPRINT_MIN_BYTES = 64
-
 # Fixed values that must equal the reference's: entropy class labels and the upper bounds
 # of normalised entropy for each class (CONSTANT when distinct <= 1 or H == 0).
 CLASS_BOUNDS = (
@@ -69,55 +68,52 @@ def _q(name: str) -> str:
 def category_key_sql(name: str, data_type: DataType) -> str:
     """SQL text of ``category_key`` (built as one expression: one call to the JVM)."""
     c = _q(name)
-    nl, nd, ns = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
+    nl, nd, ns = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS BINARY)"
     if isinstance(data_type, (ByteType, ShortType, IntegerType, LongType)):
-        parts = (f"CAST({c} AS BIGINT)", nd, ns, "false")
+        parts = (f"CAST({c} AS BIGINT)", nd, ns)
     elif isinstance(data_type, BooleanType):
-        parts = (f"CAST(CAST({c} AS INT) AS BIGINT)", nd, ns, "false")
+        parts = (f"CAST(CAST({c} AS INT) AS BIGINT)", nd, ns)
     elif isinstance(data_type, DateType):
-        parts = (f"CAST(unix_date({c}) AS BIGINT)", nd, ns, "false")
+        parts = (f"CAST(unix_date({c}) AS BIGINT)", nd, ns)
     elif isinstance(data_type, TimestampType):
-        parts = (f"unix_micros({c})", nd, ns, "false")
+        parts = (f"unix_micros({c})", nd, ns)
     elif isinstance(data_type, TimestampNTZType):
-        parts = (f"unix_micros(CAST({c} AS TIMESTAMP))", nd, ns, "false")
+        # From the calendar fields, so that the session's time zone has no part in it.
+        micros = f"unix_date(CAST({c} AS DATE)) * 86400000000L + hour({c}) * 3600000000L + minute({c}) * 60000000L"
+        parts = (f"({micros} + CAST(extract(SECOND FROM {c}) * 1000000 AS BIGINT))", nd, ns)
     elif isinstance(data_type, (DoubleType, FloatType)):
-        parts = (nl, f"CAST({c} AS DOUBLE)", ns, "false")
+        parts = (nl, f"CAST({c} AS DOUBLE)", ns)
     else:
-        text = f"base64({c})" if isinstance(data_type, BinaryType) else f"CAST({c} AS STRING)"
-        is_long = f"(octet_length({text}) > {FINGERPRINT_MIN_BYTES})"
-        parts = (nl, nd, f"CASE WHEN {is_long} THEN sha2({text}, 256) ELSE {text} END", is_long)
-    fields = ", ".join(f"'{n}', {p}" for n, p in zip(("l", "d", "s", "h"), parts))
+        if isinstance(data_type, BinaryType):
+            text = f"base64({c})"
+        elif isinstance(data_type, (ArrayType, StructType, MapType)):
+            text = f"to_json(named_struct('v', {c}), map('ignoreNullFields', 'false'))"
+        else:
+            text = f"CAST({c} AS STRING)"
+        parts = (nl, nd, f"unhex(sha2({text}, 256))")
+    fields = ", ".join(f"'{n}', {p}" for n, p in zip(("l", "d", "s"), parts))
     return f"CASE WHEN {c} IS NULL THEN CAST(NULL AS {key_type()}) ELSE named_struct({fields}) END"
 
 
 def category_key(name: str, data_type: DataType) -> Column:
     """A typed, exact grouping key for the category of a value; NULL for NULL.
 
-    struct<l bigint, d double, s string, h boolean>: integers, booleans, dates and
-    timestamps go to ``l`` (timestamps as microseconds), floating point to ``d`` (Spark
-    folds -0.0 into 0.0 and groups NaN in grouping keys), everything else to ``s`` as its
-    string form (binary as base64), where values longer than FINGERPRINT_MIN_BYTES are
-    replaced by their SHA-256 with ``h`` set. Typed fields avoid formatting numbers as
-    text and shuffle 8 bytes instead of a string per numeric value; grouping by the key
-    equals grouping by the value (up to SHA-256 collisions for long text).
+    struct<l bigint, d double, s binary>: integers, booleans, dates and timestamps go to
+    ``l`` (timestamps as microseconds), floating point to ``d`` (Spark folds -0.0 into 0.0
+    and groups NaN in grouping keys), everything else to ``s`` as the SHA-256 digest of its
+    text (binary as base64, arrays, structs and maps as JSON, which tells ``["a, b"]`` from
+    ``["a", "b"]``). Grouping by the key equals grouping by the value up to SHA-256 collisions.
     """
     return F.expr(category_key_sql(name, data_type))
 
 
 def key_type() -> str:
-    return "struct<l:bigint,d:double,s:string,h:boolean>"
-
+    return "struct<l:bigint,d:double,s:binary>"
 
-def group_key(value: Column) -> tuple[Column, Column]:
-    """(is_long, key): the shuffle key of a category value.
 
-    Short values are their own key; long values are keyed by SHA-256 of the whole
-    value. ``is_long`` keeps the two key spaces apart, so grouping stays exact up to
-    SHA-256 collisions.
-    """
-    is_long = F.octet_length(value) > F.lit(FINGERPRINT_MIN_BYTES)
-    key = F.when(is_long, F.sha2(value, 256)).otherwise(value)
-    return is_long, key
+def group_key(value: Column) -> Column:
+    """The shuffle key of a text value: the SHA-256 digest of the whole value, 32 bytes."""
+    return F.unhex(F.sha2(value, 256))
 
 
 def entropy_from_counts(n: Column, distinct: Column, sum_flogf: Column) -> Column:

@@ -78,27 +78,45 @@ def run_metrics(
     return out
 
 
-def evaluate_gates(gates: DataFrame, runs: DataFrame, metrics: DataFrame) -> DataFrame:
+UNMATCHED = "UNMATCHED"
+
+
+def evaluate_gates(gates: DataFrame, runs: DataFrame, metrics: DataFrame, config: DataFrame | None = None) -> DataFrame:
     """One row per (run, gate): measured value, passed (NULL if unmeasured or unknown op),
-    details text and display label."""
-    pairs = runs.select("run_id", "experiment_id").join(gates, "experiment_id")
+    details text and display label.
+
+    A run whose experiment has no gates (an unknown or NULL id) gets one unmeasured row,
+    gate id ``UNMATCHED`` at position 0, so that it cannot pass; only an experiment that
+    ``config`` lists with an empty array of gates is let through without any. A metric with
+    several values (a run over several tables) counts once, at its worst: unmeasured, then
+    not passed, then passed.
+    """
+    pairs = runs.select("run_id", "experiment_id").join(gates.withColumnRenamed("experiment_id", "_x"), F.col("experiment_id") == F.col("_x"), "left")
+    if config is not None:
+        listed = config.filter(F.size("gates") == 0).select(F.coalesce("experiment_id", F.lit("")).alias("_none")).distinct()
+        pairs = pairs.join(listed, F.col("experiment_id") == F.col("_none"), "left").filter(F.col("_x").isNotNull() | F.col("_none").isNull()).drop("_none")
+    pairs = pairs.withColumns({"position": F.coalesce("position", F.lit(0)), "gate_id": F.coalesce("gate_id", F.lit(UNMATCHED))}).drop("_x")
     m = metrics.select("run_id", "metric", F.col("value").cast("double").alias("measured_value"))
     j = pairs.join(m, ["run_id", "metric"], "left")
     v, op, t = F.col("measured_value"), F.col("op"), F.col("threshold")
     passed = F.when(v.isNull(), F.lit(None).cast("boolean")).otherwise(G.compare(v, op, t))
-    return (
+    rows = (
         j.withColumn("passed", passed)
         .withColumn("details", G.details(v, op, t))
         .withColumn("label", G.label(F.col("passed"), F.col("gate_type")))
         .select(EVALUATION_COLUMNS)
     )
+    rank = F.when(v.isNull(), 0).when(~F.col("passed"), 1).when(F.col("passed").isNull(), 2).otherwise(3)
+    return rows.groupBy("run_id", "position", "gate_id").agg(
+        F.min_by(F.struct(*EVALUATION_COLUMNS), F.struct(rank, v)).alias("_e")
+    ).select("_e.*")
 
 
 def verdicts(runs: DataFrame, evaluations: DataFrame) -> DataFrame:
     """One row per run (AGG15, AGG16, SCL6).
 
     INCOMPLETE if any gate is unmeasured; else FAIL if a FAIL gate did not pass; else
-    WARN if a WARN gate did not pass; else PASS (also for a run without gates). An unknown
+    WARN if a WARN gate did not pass; else PASS (also for a run whose experiment lists no gates). An unknown
     op gives passed NULL, which does not vote.
     """
     v = F.col("measured_value")
@@ -107,7 +125,7 @@ def verdicts(runs: DataFrame, evaluations: DataFrame) -> DataFrame:
         F.count_if(v.isNull()).alias("_unmeasured"),
         F.count_if(failed & (F.col("gate_type") == G.FAIL)).alias("_fail"),
         F.count_if(failed & (F.col("gate_type") == G.WARN)).alias("_warn"),
-        F.count(F.lit(1)).alias("gates_evaluated"),
+        F.count_if(F.col("position") > 0).alias("gates_evaluated"),
         F.sort_array(
             F.collect_list(F.when(v.isNull(), F.struct(F.col("position"), F.col("gate_id"))))
         ).alias("_um"),

@@ -62,36 +62,12 @@ _SPINE_SCHEMA = StructType(
 )
 
 
-# Inputs smaller than this (Catalyst's size estimate) are profiled where they are read.
-SPREAD_MIN_BYTES = 8 << 20
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than the cluster has cores (a small
-    table stored as one row group) before the per-row work. Hashing the row id keeps the
-    split deterministic on retry and splits even a group of identical rows. Inputs with
-    enough partitions, i.e. every large table, are left alone: no extra shuffle."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    try:
-        qe = df._jdf.queryExecution()
-        if int(str(qe.optimizedPlan().stats().sizeInBytes())) < SPREAD_MIN_BYTES:
-            return df  # too small for the extra shuffle to pay off
-        n = df._jdf.rdd().getNumPartitions()
-    except Exception:  # pragma: no cover
-        return df
-    if n * 2 > target:
-        return df
-    return df.repartition(target, F.monotonically_increasing_id())
-
-
 def _long_form(df: DataFrame, cols: Sequence[str], table_index: int, typed: bool = True) -> DataFrame:
     """(_t, _c, _v): one row per (row, monitored column).
 
     ``_v`` is the typed category key (``typed``) or the category string (for outputs that
     show values).
     """
-    df = _spread(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     make = category_key if typed else category
     wide = df.select([make(c, types[c]).alias(str(i)) for i, c in enumerate(cols)])

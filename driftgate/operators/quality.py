@@ -4,11 +4,10 @@ A row is attributed to the first rule it fails; later rules only see rows that p
 all earlier ones. Row rules become one ``coalesce(when(rule1), when(rule2), ...)``
 projection; no per-rule EXCEPT, no per-rule action.
 
-Duplicate rules rank rows by key without a window over the whole key: rows are ranked
-inside (key, input partition), so a key holding a third of all rows is split across as
-many tasks as it spans input partitions. A small per-key aggregate picks the winning
-partition, and the join back uses the same (key, partition) hash partitioning as the
-ranking, so the big side is shuffled once.
+Duplicate rules rank rows by key in two steps of one branch: first inside (key, input
+partition), so a key holding a third of all rows is split across as many tasks as it spans
+input partitions, then the first rows of a key's partitions among each other. Rows are never
+joined back and nothing runs while the outputs are being built.
 """
 
 from __future__ import annotations
@@ -31,7 +30,6 @@ from pyspark.sql.types import (
 from driftgate.functions.columns import ref
 from driftgate.functions.entropy import group_key, round_exact
 from driftgate.functions.rules import NO_ACTION, Duplicates, Rule
-from driftgate.session import ensure_checkpoint_dir
 
 REASON = "failure_reason"
 _POS = "_rule_pos"
@@ -51,55 +49,30 @@ RESULT_SCHEMA = StructType(
 
 
 def _dup_key(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe composite key; long strings are keyed by their SHA-256 (see group_key)."""
+    """Null-safe composite key; strings are keyed by their SHA-256 digest (see group_key)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
     for i, k in enumerate(keys):
         if isinstance(types[k], StringType):
-            is_long, key = group_key(ref(k))
-            parts += [is_long.alias(f"l{i}"), key.alias(f"k{i}")]
+            parts.append(group_key(ref(k)).alias(f"k{i}"))
         else:
             parts.append(ref(k).alias(f"k{i}"))
     return F.struct(*parts)
 
 
-def _has_exchange(df: DataFrame) -> bool:
-    try:
-        return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
-    except Exception:  # pragma: no cover - be safe when the plan cannot be inspected
-        return True
-
-
-def _stable_input(df: DataFrame) -> DataFrame:
-    """The input partition of a row must be the same in the ranking branch and in the
-    winner branch. File scans and narrow transformations guarantee that; an input that
-    already shuffles (whose partition sizes adaptive execution may coalesce differently
-    per branch) is cut with a reliable checkpoint into the shared checkpoint folder."""
-    if not _has_exchange(df):
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _mark_duplicates(df: DataFrame, pos: int, dup: Duplicates) -> DataFrame:
-    """Set ``_rule_pos`` = pos on surviving rows after the first of their key."""
-    df = _stable_input(df)
-    order = [ref(c) for c in dup.order_by]
+    """Set ``_rule_pos`` = pos on surviving rows after the first of their key (of rows that tie
+    in the order, any one is the first)."""
     survivor = F.col(_POS).isNull()
+    order = [survivor.desc(), *[ref(c) for c in dup.order_by]]
     base = df.withColumns({"_dk": _dup_key(df, dup.keys), "_sp": F.spark_partition_id()})
-    w = Window.partitionBy("_dk", "_sp").orderBy(survivor.desc(), *order)
-    ranked = base.withColumn("_rn", F.row_number().over(w))
-    first_key = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col("_sp").alias("sp"))
-    winners = (
-        ranked.filter(survivor & (F.col("_rn") == 1))
-        .groupBy("_dk")
-        .agg(F.min(first_key).alias("_m"))
-        .select("_dk", F.col("_m.sp").alias("_sp"), F.lit(True).alias("_win"))
-    )
-    joined = ranked.join(winners, ["_dk", "_sp"], "left")
-    is_first = (F.col("_rn") == 1) & F.coalesce(F.col("_win"), F.lit(False))
+    local = base.withColumn("_rn", F.row_number().over(Window.partitionBy("_dk", "_sp").orderBy(*order)))
+    # One group of a key holds the first rows of its partitions; its other rows stay apart.
+    local = local.withColumn("_sg", F.when(F.col("_rn") == 1, F.lit(-1)).otherwise(F.col("_sp")))
+    ranked = local.withColumn("_rk", F.row_number().over(Window.partitionBy("_dk", "_sg").orderBy(*order, "_sp")))
+    is_first = (F.col("_rn") == 1) & (F.col("_rk") == 1)
     marked = F.when(survivor & ~is_first, F.lit(pos)).otherwise(F.col(_POS))
-    return joined.withColumn(_POS, marked).drop("_dk", "_sp", "_rn", "_win")
+    return ranked.withColumn(_POS, marked).drop("_dk", "_sp", "_rn", "_sg", "_rk")
 
 
 def tag(df: DataFrame, rules: Sequence[Rule], all_failures: bool = False) -> DataFrame:

@@ -125,7 +125,7 @@ def release_control(
     ledger = provenance_coverage(build_ledger(runs, health, tables))
     metrics = run_metrics(runs, health=health, fidelity=fid, quality=quality, coverage=ledger)
     gates = gates_frame(config)
-    evaluations = evaluate_gates(gates, runs, metrics)
+    evaluations = evaluate_gates(gates, runs, metrics, config)
     verdict = verdicts(runs, evaluations).join(
         health.select("run_id", "table_name", "health_score", "columns_drifted", "total_columns_checked"),
         "run_id",
@@ -198,5 +198,5 @@ def release_many(
         qual = spark.createDataFrame([], "run_id string, quality_pass_ratio double, quarantine_ratio double")
     ledger = provenance_coverage(build_ledger(run_rows, health, keys))
     metrics = run_metrics(run_rows, health=health, fidelity=fid, quality=qual, coverage=ledger)
-    evaluations = evaluate_gates(gates_frame(config), run_rows, metrics)
+    evaluations = evaluate_gates(gates_frame(config), run_rows, metrics, config)
     return ReleaseMany(health, fid, qual, ledger, metrics, evaluations, verdicts(run_rows, evaluations))

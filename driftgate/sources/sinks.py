@@ -24,7 +24,9 @@ AUDIT_SCHEMA = StructType(
 BASELINE_SCHEMA = StructType(
     AUDIT_SCHEMA.fields + [StructField("baseline_version", IntegerType(), False)]
 )
-HISTORY_PARTITIONS = ("table_name", "measurement_ts")
+#: The time as microseconds, not as text in the writer's zone; ``measurement_ts`` stays a column.
+MEASURED_US = "measured_us"
+HISTORY_PARTITIONS = ("table_name", MEASURED_US)
 
 
 def _is_path(target: str) -> bool:
@@ -51,8 +53,13 @@ def append(
         writer = writer.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    spark = df.sparkSession
     if _is_path(target):
         writer.save(target)
+    elif replace_partitions and spark.catalog.tableExists(target):
+        # saveAsTable would replace the whole table; inserting replaces the partitions only.
+        insert = df.select(*spark.read.table(target).columns).write.mode("overwrite")
+        insert.option("partitionOverwriteMode", "dynamic").insertInto(target)
     else:
         writer.saveAsTable(target)
 
@@ -60,7 +67,8 @@ def append(
 def read(spark: SparkSession, target: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
     """Read a table or path written by ``append``."""
     if not _is_path(target):
-        return spark.read.table(target)
+        df = spark.read.table(target)
+        return df.select(schema.fieldNames()) if schema is not None else df
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
@@ -70,7 +78,7 @@ def read(spark: SparkSession, target: str, fmt: str = "parquet", schema: StructT
 
 def _now_literal() -> _dt.datetime:
     # Captured once per call, so the stored rows and the returned rows carry the same time.
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return _dt.datetime.now(_dt.timezone.utc)
 
 
 def _measure(frames, columns, exclude_columns, measurement_ts):
@@ -79,6 +87,10 @@ def _measure(frames, columns, exclude_columns, measurement_ts):
     return with_measurement(prof, F.lit(ts).cast("timestamp")), ts
 
 
+def _timed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(MEASURED_US, F.unix_micros("measurement_ts"))
+
+
 def _stored(spark, target, fmt, schema, names, ts) -> DataFrame:
     return read(spark, target, fmt, schema).filter(
         F.col("table_name").isin(list(names)) & (F.col("measurement_ts") == F.lit(ts).cast("timestamp"))
@@ -103,7 +115,7 @@ def capture_baseline(
     """
     measured, ts = _measure(frames, columns, exclude_columns, measurement_ts)
     rows = measured.withColumn("baseline_version", F.lit(baseline_version).cast("int"))
-    append(rows.select(BASELINE_SCHEMA.fieldNames()), target, fmt, HISTORY_PARTITIONS, replace_same_time)
+    append(_timed(rows.select(BASELINE_SCHEMA.fieldNames())), target, fmt, HISTORY_PARTITIONS, replace_same_time)
     spark = rows.sparkSession
     return _stored(spark, target, fmt, BASELINE_SCHEMA, frames.keys(), ts)
 
@@ -120,7 +132,7 @@ def log_measurement(
     """Profile the tables and append the profiles to the audit log (SNK2); see
     ``capture_baseline`` for ``replace_same_time``."""
     measured, ts = _measure(frames, columns, exclude_columns, measurement_ts)
-    append(measured.select(AUDIT_SCHEMA.fieldNames()), target, fmt, HISTORY_PARTITIONS, replace_same_time)
+    append(_timed(measured.select(AUDIT_SCHEMA.fieldNames())), target, fmt, HISTORY_PARTITIONS, replace_same_time)
     return _stored(measured.sparkSession, target, fmt, AUDIT_SCHEMA, frames.keys(), ts)
 
 

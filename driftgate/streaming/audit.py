@@ -25,7 +25,7 @@ STREAM_AUDIT_SCHEMA = StructType(AUDIT_SCHEMA.fields + [StructField("batch_id",
 
 def _writer(table_name: str, target: str, columns, exclude_columns, fmt: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        ts = _dt.datetime.now(_dt.timezone.utc)
         prof = with_measurement(profile_tables({table_name: batch}, columns, exclude_columns), F.lit(ts).cast("timestamp"))
         rows = prof.withColumn("batch_id", F.lit(batch_id).cast("long")).select(STREAM_AUDIT_SCHEMA.fieldNames())
         (

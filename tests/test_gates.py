@@ -77,7 +77,7 @@ def test_warn_gate(spark):
 
 def test_no_gates_pass(spark):
     r = runs(spark)
-    ev = gates.evaluate_gates(readers.gates_frame(config(spark, [])), r, metrics(spark, x=1.0))
+    ev = gates.evaluate_gates(readers.gates_frame(config(spark, [])), r, metrics(spark, x=1.0), config(spark, []))
     assert gates.verdicts(r, ev).collect()[0].overall_verdict == "PASS"
 
 

@@ -16,13 +16,8 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_profile_is_one_scan_two_exchanges(spark, tmp_path):
-    # A table stored in many files (as every large table is): no extra exchange.
-    src = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
-    path = str(tmp_path / "orders_multi")
-    src.repartition(32).write.parquet(path)
-    orders = spark.read.parquet(path)
-    assert orders._jdf.rdd().getNumPartitions() * 2 > spark.sparkContext.defaultParallelism
+def test_profile_is_one_scan_two_exchanges(spark):
+    orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
     p = plan_of(profile(orders, "orders", columns=["o_orderstatus", "o_orderpriority"]))
     assert p.count("FileScan parquet") == 1
     assert p.count("Exchange hashpartitioning") == 2
@@ -30,20 +25,31 @@ def test_profile_is_one_scan_two_exchanges(spark, tmp_path):
     assert "Window" not in p and "PythonUDF" not in p and "BatchEvalPython" not in p
 
 
-def test_single_partition_input_is_spread_once(spark):
-    from driftgate.operators import profile as P
-
-    orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
-    small = plan_of(profile(orders, "orders", columns=["o_orderstatus"]))
-    assert small.count("Exchange hashpartitioning") == 2  # tiny input: no spread
-    old, P.SPREAD_MIN_BYTES = P.SPREAD_MIN_BYTES, 0
+def jobs_of(spark, build) -> int:
+    """Spark jobs that ``build`` starts."""
+    sc, group = spark.sparkContext, "build-only"
+    sc.setJobGroup(group, group)
     try:
-        p = plan_of(profile(orders, "orders", columns=["o_orderstatus"]))
+        build()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
     finally:
-        P.SPREAD_MIN_BYTES = old
-    assert p.count("FileScan parquet") == 1
-    assert p.count("Exchange hashpartitioning") == 3
-    assert "monotonically_increasing_id" in p
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_nothing_runs_while_building(spark):
+    from driftgate.functions import rules as R
+    from driftgate.operators import quality
+
+    orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
+    items = spark.read.parquet(os.path.join(SF_SMALL, "lineitem.parquet"))
+    joined = orders.join(items, orders["o_orderkey"] == items["l_orderkey"])
+    counts = joined.groupBy("o_custkey", "o_orderstatus").agg(F.sum("l_quantity").alias("q"))
+    narrow = orders.join(F.broadcast(items.limit(10).select("l_orderkey")), orders["o_orderkey"] == items["l_orderkey"])
+    two = [R.no_duplicates("o_orderkey", "o_orderkey"), R.no_duplicates("o_custkey", "o_orderkey")]
+    assert jobs_of(spark, lambda: profile(counts, "t")) == 0
+    assert jobs_of(spark, lambda: quality.evaluate(narrow, two)) == 0
+    assert jobs_of(spark, lambda: quality.evaluate(joined, two).clean) == 0
+    assert jobs_of(spark, lambda: orders.count()) > 0
 
 
 def test_latest_baseline_prunes_partitions(spark, tmp_path):
@@ -63,5 +69,5 @@ def test_duplicate_rule_has_no_window_over_the_bare_key(spark):
 
     docs = spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet"))
     p = plan_of(quality.evaluate(docs, [R.no_duplicates("text", "doc_id")]).tagged)
-    assert "hashpartitioning(_dk" in p and "_sp" in p
-    assert "sha2" in p  # long texts are shuffled as digests, not as text
+    assert "hashpartitioning(_dk" in p and "_sp" in p and "Join" not in p
+    assert "sha2" in p  # keys are digests
