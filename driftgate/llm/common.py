@@ -54,16 +54,29 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = a * np.uint64(0x9E3779B97F4A7C15)
+    out ^= b
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    return out
+
+
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` consecutive words, from the words' hashes."""
+    """Hash of each run of ``k`` consecutive words, from the words' hashes, by runs of 2, 4, 8..."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, k, np.uint64)
-    for i in range(k):
-        out = (out ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out
+    runs, size = [hashes], 1
+    while 2 * size <= k:
+        runs.append(_mixed(runs[-1][:-size], runs[-1][size:]))
+        size *= 2
+    out, at = runs[-1][:n], size
+    for i in reversed(range(len(runs) - 1)):
+        if k >> i & 1:
+            out = _mixed(out, runs[i][at : at + n])
+            at += 1 << i
+    return out ^ np.uint64(k)
 
 
 def pack(parts: list[bytes]) -> bytes:

@@ -38,9 +38,9 @@ from driftgate.llm import common
 
 WINDOW = 13
 PHRASE = (WINDOW + 1) // 2
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 SHARD_CHARS = 2_000_000
-_KEEP_BITS = np.uint64(40)  # of a hash in the first round
+KEEP_BITS = 40  # of a hash within its bucket, in the first round
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -64,43 +64,41 @@ def unpack_ids(blob: bytes) -> np.ndarray:
 
 
 class Block:
-    """The documents of a block as words, and the distinct windows of those with an id: their
-    hashes in order, the smallest id that has each, where it first stands there, and whether
-    several ids have it."""
+    """The documents of a block as words, in order of id, and the distinct windows of those with
+    an id: their hashes in order, the smallest id that has each, where it first stands there, and
+    whether several ids have it."""
 
     def __init__(self, rows: pa.Table):
         opener = zstandard.ZstdDecompressor()
-        self.ids = rows.column("id").to_pylist()
-        self.words = [opener.decompress(b).split() for b in rows.column("blob").to_pylist()]
+        pairs = zip(rows.column("id").to_pylist(), rows.column("blob").to_pylist(), strict=True)
+        pairs = sorted(pairs, key=lambda x: (x[0] is None, x[0] or 0))
+        self.numbers = np.array([i or 0 for i, _ in pairs], np.int64)
+        self.nulls = np.array([i is None for i, _ in pairs], bool)
+        self.words = [opener.decompress(b).split() for _, b in pairs]
         self.first = np.concatenate([[0], np.cumsum([len(w) for w in self.words])]).astype(np.int64)
 
     def index(self, hashes: common.WordHashes) -> None:
-        parts, places, owners = [], [], []
-        for i, (doc_id, words) in enumerate(zip(self.ids, self.words, strict=True)):
-            if doc_id is None or len(words) < WINDOW:
-                continue
-            parts.append(common.shingle_hashes(hashes.of(words), WINDOW))
-            places.append(self.first[i] + np.arange(len(parts[-1])))
-            owners.append(np.full(len(parts[-1]), doc_id, np.int64))
-        every = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        place = np.concatenate(places) if places else np.zeros(0, np.int64)
-        owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-        order = np.lexsort((place, owner, every))
-        every, place, owner = every[order], place[order], owner[order]
+        """Documents stand in order of id, so a window's first place is in its smallest id."""
+        every = common.shingle_hashes(hashes.of([w for words in self.words for w in words]), WINDOW)
+        doc = np.repeat(np.arange(len(self.words)), np.diff(self.first))[: len(every)]
+        place = np.flatnonzero((np.arange(len(every)) + WINDOW <= self.first[1:][doc]) & ~self.nulls[doc])
+        order = place[np.argsort(every[place])]
+        every = every[order]
         starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-        ends = np.append(starts[1:], len(every))[: len(starts)]
-        self.hashes, self.places, self.owners = every[starts], place[starts], owner[starts]
-        self.several = owner[ends - 1] != self.owners
-
-    def by_bucket(self, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(bucket, positions in ``hashes``, truncated hashes), sorted by the latter."""
-        bucket = (self.hashes % np.uint64(n)).astype(np.int64)
-        short = (self.hashes // np.uint64(n)) & ((np.uint64(1) << _KEEP_BITS) - np.uint64(1))
-        order = np.lexsort((short, bucket))
-        cuts = np.searchsorted(bucket[order], np.arange(n + 1))
+        self.hashes = every[starts]
+        self.places = np.minimum.reduceat(order, starts) if len(starts) else starts
+        last = np.maximum.reduceat(order, starts) if len(starts) else starts
+        self.owners = self.numbers[doc[self.places]]
+        self.several = self.numbers[doc[last]] != self.owners
+
+    def by_bucket(self, n: int) -> Iterator[tuple[int, slice, np.ndarray]]:
+        """(bucket, its part of ``hashes``, truncated hashes): buckets are ranges of hashes."""
+        bucket = ((self.hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+        short = self.hashes >> np.uint64(max(0, 64 - KEEP_BITS - n.bit_length()))
+        cuts = np.searchsorted(bucket, np.arange(n + 1).astype(np.uint64))
         for b in range(n):
             if cuts[b] < cuts[b + 1]:
-                own = order[cuts[b] : cuts[b + 1]]
+                own = slice(int(cuts[b]), int(cuts[b + 1]))
                 yield b, own, short[own]
 
 
@@ -179,9 +177,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     def elsewhere(rows: pa.Table) -> pa.Table:
         lists = [unpack_sorted(x) for x in rows.column("short").to_pylist()]
         # A block may hold two windows of one truncated hash: count blocks, not entries.
-        every = np.sort(np.concatenate([np.unique(x) for x in lists]))
-        shared = np.unique(every[1:][every[1:] == every[:-1]])
-        masks = [zstandard.ZstdCompressor(1).compress(np.packbits(np.isin(x, shared)).tobytes()) for x in lists]
+        every = np.sort(np.concatenate([x[np.concatenate([[True], x[1:] != x[:-1]])] for x in lists]))
+        shared = every[1:][every[1:] == every[:-1]]
+        shared = np.append(shared[np.concatenate([[True], shared[1:] != shared[:-1]])] if len(shared) else shared, np.uint64(2**64 - 1))
+        masks = []
+        for x in lists:
+            hit = shared[np.minimum(np.searchsorted(shared, x), len(shared) - 1)] == x
+            masks.append(zstandard.ZstdCompressor(1).compress(np.packbits(hit).tobytes()))
         return pa.table({"block": rows.column("block"), "bucket": rows.column("bucket"), "mask": pa.array(masks, pa.binary())})
 
     masks = asked.groupBy("bucket").applyInArrow(elsewhere, "block long, bucket long, mask binary")
@@ -193,9 +195,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
         own.index(common.WordHashes())
         mask = dict(zip(replies.column("bucket").to_pylist(), replies.column("mask").to_pylist(), strict=True))
         out = []
-        for b, at, _ in own.by_bucket(n):
+        for b, part, _ in own.by_bucket(n):
             bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(mask[b]), np.uint8)
-            at = np.sort(at[np.unpackbits(bits, count=len(at)).astype(bool) | own.several[at]])
+            at = part.start + np.flatnonzero(np.unpackbits(bits, count=part.stop - part.start).astype(bool) | own.several[part])
             if len(at):
                 out.append((block_of(rows), b, pack_sorted(own.hashes[at]), pack_ids(own.owners[at]), np.packbits(own.several[at]).tobytes()))
         return _table(out, ["block", "bucket", "hashes", "owners", "several"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
@@ -222,11 +224,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
         home, target, every = home[needs], block[needs], every[needs]
         order = np.lexsort((every, target, home))
         home, target, every = home[order], target[order], every[order]
-        cuts = np.flatnonzero(np.concatenate([[True], (home[1:] != home[:-1]) | (target[1:] != target[:-1])])) if len(home) else np.zeros(0, np.int64)
-        out = [(int(home[a]), int(target[a]), pack_sorted(every[a:b])) for a, b in zip(cuts, np.append(cuts[1:], len(home)), strict=False)]
-        return _table(out, ["block", "target", "hashes"], [pa.int64(), pa.int64(), pa.binary()])
+        cuts = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]])) if len(home) else np.zeros(0, np.int64)
+        # One row for each home block, with (target, hash) pairs: not one for each pair of blocks.
+        out = [(int(home[a]), pack_ids(target[a:b]), pack_ids(every[a:b].view(np.int64))) for a, b in zip(cuts, np.append(cuts[1:], len(home)), strict=False)]
+        return _table(out, ["block", "targets", "hashes"], [pa.int64(), pa.binary(), pa.binary()])
 
-    needed = claims.groupBy("bucket").applyInArrow(assign, "block long, target long, hashes binary")
+    needed = claims.groupBy("bucket").applyInArrow(assign, "block long, targets binary, hashes binary")
 
     def passages(rows: pa.Table, wanted: pa.Table) -> pa.Table:
         out = []
@@ -234,8 +237,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
             own = Block(rows)
             own.index(common.WordHashes())
             targets: dict[int, list[np.ndarray]] = {}
-            for target, hashes in zip(wanted.column("target").to_pylist(), wanted.column("hashes").to_pylist(), strict=True):
-                targets.setdefault(target, []).append(unpack_sorted(hashes))
+            for packed, hashes in zip(wanted.column("targets").to_pylist(), wanted.column("hashes").to_pylist(), strict=True):
+                target, every = unpack_ids(packed), unpack_ids(hashes).view(np.uint64)
+                cuts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
+                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(target)], strict=True):
+                    targets.setdefault(int(target[a]), []).append(every[a:b])
             for target, lists in targets.items():
                 at = np.sort(own.places[np.searchsorted(own.hashes, np.concatenate(lists))])
                 cuts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
@@ -244,7 +250,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
                     doc = int(np.searchsorted(own.first, at[a], side="right")) - 1
                     start = int(at[a] - own.first[doc])
                     words = own.words[doc][start : start + int(at[b - 1] - at[a]) + WINDOW]
-                    found.append(int(own.ids[doc]).to_bytes(8, "little", signed=True) + b" ".join(words))
+                    found.append(int(own.numbers[doc]).to_bytes(8, "little", signed=True) + b" ".join(words))
                 out.append((target, common.pack(found)))
         return _table(out, ["block", "passages"], [pa.int64(), pa.binary()])
 
