@@ -15,7 +15,7 @@ grouped by chunk, and folded with Spark's ``aggregate``:
 To bring the ids back without moving every word of the corpus, documents are dealt to blocks by
 hash and travel compressed; a block asks each hash bucket of the vocabulary for its distinct
 chunks, once each, and gets packed ids back in the order asked. Group sizes: a block holds about
-``BLOCK_CHARS`` of text, a bucket about as many chunks as a block, whatever the corpus. A chunk
+``BLOCK_CHARS`` of text, a bucket the chunks of a fraction of a block, whatever the corpus. A chunk
 of over ``LONG_CHUNK`` characters is encoded where its document is, by the same merges on a heap.
 
 Defined results: null and empty texts have no ids; characters outside the vocabulary are spelt
@@ -41,7 +41,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from driftgate.llm import common
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 10_000_000
+#: Buckets of the vocabulary per block of documents, so that a bucket's edges sort in memory.
+BUCKETS_A_BLOCK = 4
 LONG_CHUNK = 64
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -193,6 +195,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = thin.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     n_blocks = total // block_chars + 1
+    n_buckets = BUCKETS_A_BLOCK * n_blocks
     id_type = thin.schema["id"].dataType.simpleString()
     thin = thin.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)).alias("block"))
 
@@ -206,9 +209,9 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def dealt(table: pa.Table) -> list[list[bytes]]:
         """The block's distinct chunks for each bucket, sorted."""
         distinct = {c for t in texts(table) for c in chunks(t, model.prefix) if len(c) <= LONG_CHUNK}
-        out: list[list[bytes]] = [[] for _ in range(n_blocks)]
+        out: list[list[bytes]] = [[] for _ in range(n_buckets)]
         for c in sorted(c.encode() for c in distinct):
-            out[common.bucket(c, n_blocks)].append(c)
+            out[common.bucket(c, n_buckets)].append(c)
         return out
 
     def ask(table: pa.Table) -> pa.Table:
@@ -219,13 +222,13 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             "words": pa.array([w for _, w in rows], pa.binary()),
         })
 
-    asked = blocks.groupBy("block").applyInArrow(ask, "block long, bucket long, words binary")
+    asked = blocks.groupBy("block").applyInArrow(ask, "block long, bucket long, words binary").repartition(n_buckets, "bucket")
 
     def distinct(table: pa.Table) -> pa.Table:
         words = sorted({w for blob in table.column("words").to_pylist() for w in common.unpack(blob)})
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(words), pa.int64()), "word": pa.array(words, pa.binary()).cast(pa.string())})
 
-    words = asked.groupBy("bucket").applyInArrow(distinct, "bucket long, word string").repartition("bucket")
+    words = asked.groupBy("bucket").applyInArrow(distinct, "bucket long, word string").repartition(n_buckets, "bucket")
     known = lattice_ids(words, model)
 
     def answer(questions: pa.Table, entries: pa.Table) -> pa.Table:
