@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import struct
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -207,13 +206,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def checksums(documents: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of the documents read."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(x) for x in batch.column(3).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], crc], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return documents.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 common.ship(__name__)

@@ -15,28 +15,32 @@ import os
 import re
 import sys
 import types
+from array import array
 
 import numpy as np
 
 from driftgate.llm import common
 
-#: Distinct units remembered by a worker.
-CACHE_UNITS = 1_000_000
+#: Distinct units in a generation of a worker's cache; it holds two generations.
+CACHE_UNITS = 300_000
 _RUNS = re.compile(r"(\s{2,})")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class _Units(dict):
-    """Unit -> packed int32 rows (id, start, end), or ids only; offsets within the unit."""
+    """Unit -> packed int32 rows (id, start, end), or ids only; offsets within the unit. A full
+    generation becomes the older one; units still in use come back from there."""
 
     def __init__(self, encode, prefix: str):
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.encode, self.prefix, self.older = encode, prefix, {}
 
     def __missing__(self, unit: str) -> bytes:
         if len(self) >= CACHE_UNITS:
+            self.older = dict(self)
             self.clear()
-        self[unit] = packed = self.encode(self.prefix + unit)
+        packed = self.older.get(unit)
+        self[unit] = packed = self.encode(self.prefix + unit) if packed is None else packed
         return packed
 
 
@@ -50,9 +54,10 @@ class Encoder:
         self.plain, self.spaced = _Units(self._encode, ""), _Units(self._encode, " ")
 
     def _encode(self, text: str) -> bytes:
-        found = self.tokenizer.encode(text, add_special_tokens=False)
         if not self.offsets:
-            return np.array(found.ids, np.int32).tobytes()
+            (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            return array("i", found.ids).tobytes()
+        found = self.tokenizer.encode(text, add_special_tokens=False)
         rows = np.empty((len(found.ids), 3), np.int32)
         rows[:, 0] = found.ids
         rows[:, 1:] = np.array(found.offsets, np.int32).reshape(-1, 2)
