@@ -13,7 +13,7 @@ from driftgate.operators.gates import evaluate_gates, run_metrics, verdicts
 from driftgate.operators.ledger import build_ledger, provenance_coverage
 from driftgate.operators.profile import column_entropy, profile, profile_tables, value_frequencies
 from driftgate.operators.quality import evaluate as evaluate_quality
-from driftgate.plans.release import release_control, release_many
+from driftgate.plans.release import release_control, release_many, release_stored
 from driftgate.sources.readers import gates_frame, read_config, read_csv_strings, thresholds_frame
 from driftgate.sources.sinks import capture_baseline, log_measurement
 
@@ -41,6 +41,7 @@ __all__ = [
     "evaluate_quality",
     "release_control",
     "release_many",
+    "release_stored",
     "gates_frame",
     "read_config",
     "read_csv_strings",

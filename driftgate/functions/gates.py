@@ -5,27 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's: verdicts, the not-measured marker, the gate
-# display labels, and the publication conclusions per verdict.
+# Fixed values that must equal the reference's: verdicts, the not-measured marker and the gate
+# display labels.
 PASS, WARN, FAIL, INCOMPLETE = "PASS", "WARN", "FAIL", "INCOMPLETE"
 NOT_MEASURED = "NOT_MEASURED"
 NOT_APPLICABLE = "N/A"
-CONCLUSIONS = {
-    PASS: "Gold refresh APPROVED — entropy distribution is stable.",
-    WARN: "Gold refresh approved with WARNINGS — review drifted columns.",
-    FAIL: "Gold refresh BLOCKED — entropy drift exceeds threshold.",
-    INCOMPLETE: "Gold refresh BLOCKED — incomplete gate measurements.",
-}
-
-# Fixed values that must equal the reference's: the metric names a gate can refer to.
-METRICS = (
-    "entropy_health_score",
-    "entropy_columns_drifted_ratio",
-    "bronze_record_fidelity_ratio",
-    "silver_quality_pass_ratio",
-    "silver_quarantine_ratio",
-    "provenance_field_coverage",
-)
 
 
 def compare(value: Column, op: Column, threshold: Column) -> Column:
@@ -58,10 +42,3 @@ def label(passed: Column, gate_type: Column) -> Column:
 def gold_allowed(verdict: Column) -> Column:
     """Publication decision (SCL6): PASS and WARN publish, FAIL and INCOMPLETE block."""
     return verdict.isin(PASS, WARN)
-
-
-def conclusion(verdict: Column) -> Column:
-    expr = None
-    for v, text in CONCLUSIONS.items():
-        expr = F.when(verdict == v, F.lit(text)) if expr is None else expr.when(verdict == v, F.lit(text))
-    return expr

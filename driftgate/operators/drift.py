@@ -45,19 +45,30 @@ def paired(baseline: DataFrame, current: DataFrame) -> DataFrame:
     One grouped aggregate over the union of both profiles instead of a join plus a
     separate table list: each profile is referenced once, so neither is recomputed.
     """
-    u = baseline.select(*KEYS, "entropy", F.lit(0).alias("_side")).unionByName(
-        current.select(*KEYS, "entropy", F.lit(1).alias("_side"))
-    )
+    u = _measured(baseline).withColumn("_side", F.lit(0)).unionByName(_measured(current).withColumn("_side", F.lit(1)))
     return paired_union(u)
 
 
+def _measured(profile: DataFrame) -> DataFrame:
+    at = F.col("measurement_ts") if "measurement_ts" in profile.columns else F.lit(None)
+    return profile.select(*KEYS, "entropy", at.cast("timestamp").alias("_at"))
+
+
+def _newest(where: Column | None = None) -> Column:
+    """The entropy of a column's row: of several, the newest; of equally new ones, the largest."""
+    row = F.struct("_at", "_e")
+    return F.max(row if where is None else F.when(where, row))["_e"]
+
+
 def paired_union(u: DataFrame) -> DataFrame:
     """``paired`` over one frame of both profiles with ``_side`` 0 (baseline) / 1 (current)."""
     side = "_side"
     u = u.withColumnRenamed("entropy", "_e")
+    if "_at" not in u.columns:
+        u = u.withColumn("_at", F.lit(None).cast("timestamp"))
     return u.groupBy(*KEYS).agg(
-        F.max(F.when(F.col(side) == 0, F.col("_e"))).alias("baseline_entropy"),
-        F.max(F.when(F.col(side) == 1, F.col("_e"))).alias("current_entropy"),
+        _newest(F.col(side) == 0).alias("baseline_entropy"),
+        _newest(F.col(side) == 1).alias("current_entropy"),
         (F.count_if(F.col(side) == 0) > 0).alias("_in_b"),
         (F.count_if(F.col(side) == 1) > 0).alias("_in_c"),
     )
@@ -158,25 +169,6 @@ _DETAIL_FIELDS = [
 ]
 
 
-def health_from_drift(
-    drift: DataFrame,
-    tables: DataFrame | None = None,
-    weights: DataFrame | Mapping | None = None,
-    health_floor: Column | float = DEFAULT_HEALTH_FLOOR,
-    thresholds: DataFrame | None = None,
-) -> DataFrame:
-    """Weighted table health from per-column drift (AGG8, AGG9, AGG11, JN2).
-
-    ``tables`` (a frame with ``table_name``) lists tables that must get a row even
-    without common columns: score 0.0, not passed, 0 checked.
-    """
-    d = drift.withColumn("_matched", F.lit(True))
-    if tables is not None:
-        extra = tables.select("table_name").withColumn("_matched", F.lit(False))
-        d = d.unionByName(extra, allowMissingColumns=True)
-    return _health(d, weights, health_floor, thresholds)
-
-
 def _health(d: DataFrame, weights, health_floor, thresholds, rounded: bool = True, by=("table_name",)) -> DataFrame:
     """Health per table from rows with drift columns and ``_matched``; unmatched rows only
     make their table appear."""
@@ -251,7 +243,7 @@ def health_history(
     joined to it on (table, column); adaptive execution broadcasts it when it is small.
     Columns of a load without a baseline are ignored; a load with no common column scores 0.
     """
-    b = baseline.select(*KEYS, F.col("entropy").alias("baseline_entropy"))
+    b = _measured(baseline).withColumnRenamed("entropy", "_e").groupBy(*KEYS).agg(_newest().alias("baseline_entropy"))
     h = history.select("table_name", "measurement_ts", "column_name", F.col("entropy").alias("current_entropy"))
     j = h.join(b, KEYS, "left").withColumns(
         {"_in_b": F.col("baseline_entropy").isNotNull(), "_in_c": F.lit(True)}

@@ -143,9 +143,4 @@ def verdicts(runs: DataFrame, evaluations: DataFrame) -> DataFrame:
         verdict.alias("overall_verdict"),
         F.coalesce(F.col("gates_evaluated"), F.lit(0)).cast("long").alias("gates_evaluated"),
         unmeasured.alias("unmeasured_gates"),
-    ).withColumns(
-        {
-            "gold_allowed": G.gold_allowed(F.col("overall_verdict")),
-            "conclusion": G.conclusion(F.col("overall_verdict")),
-        }
-    )
+    ).withColumn("gold_allowed", G.gold_allowed(F.col("overall_verdict")))

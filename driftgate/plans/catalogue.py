@@ -654,16 +654,3 @@ def sql_fidelity():
         "false AS columns_match, 'missing_in_target:o_orderpriority,extra_in_target:o_priority' AS mismatched_columns "
         "FROM (SELECT count(*) AS n FROM orders) s, (SELECT count(*) AS n FROM orders WHERE o_orderstatus <> 'P') t"
     )
-
-
-def q_schema_diff(spark, sf):
-    o = fx.orders(spark, sf)
-    return fidelity.schema_diff(spark, o.columns, _fidelity_target(spark, sf).columns)
-
-
-def sql_schema_diff():
-    return (
-        "SELECT 'missing_in_target' AS kind, 'o_orderpriority' AS column_name, "
-        "'missing_in_target:o_orderpriority' AS mismatch FROM (SELECT 1 FROM orders LIMIT 1) "
-        "UNION ALL SELECT 'extra_in_target', 'o_priority', 'extra_in_target:o_priority' FROM (SELECT 1 FROM orders LIMIT 1)"
-    )

@@ -14,7 +14,9 @@ from driftgate.operators import compare, ledger, quality, simulate
 from driftgate.plans import fixtures as fx
 from driftgate.plans import oracle as O
 from driftgate.plans.catalogue import LOADS, ORDER_KEYS, _many_profiles_sql, _r6, config_frame
-from driftgate.plans.release import release_control, release_many
+from driftgate.plans.release import release_control, release_stored
+from driftgate.session import scratch_path
+from driftgate.sources import sinks
 
 EXPERIMENT = "DRIFTGATE_DEMO"
 _CTX = dict(
@@ -51,14 +53,19 @@ GATES_SQL = (
 
 
 class Scenario:
-    """Frames of the multi-run scenario (``plans.release.release_many`` over four loads)."""
+    """Frames of the multi-run scenario: four baselines captured in a history, then the four
+    new loads released against it (``plans.release.release_stored``)."""
 
     def __init__(self, spark: SparkSession, sf: str):
-        rel = release_many(
-            {t: (v[0](spark, sf), v[1](spark, sf)) for t, v in LOADS.items()},
+        columns = {t: v[2] for t, v in LOADS.items()}
+        target = scratch_path(spark, "scenario-baselines")
+        sinks.capture_baseline({t: v[0](spark, sf) for t, v in LOADS.items()}, target, columns)
+        rel = release_stored(
+            sinks.read_baselines(spark, target),
+            {t: v[1](spark, sf) for t, v in LOADS.items()},
             config_frame(spark),
             RUNS,
-            columns={t: v[2] for t, v in LOADS.items()},
+            columns=columns,
             rules=RUN_RULES,
         )
         self.ledger = rel.ledger
@@ -201,9 +208,6 @@ def sql_provenance_coverage():
 
 
 def q_run_ledger(spark, sf):
-    from driftgate.session import scratch_path
-    from driftgate.sources import sinks
-
     path = scratch_path(spark, "run-ledger")
     ledger.append_ledger(Scenario(spark, sf).ledger, path)  # append-only run history (SNK6)
     led = sinks.read(spark, path)
@@ -349,13 +353,12 @@ def sql_release_control_healthy():
 
 def q_stream_audit_log(spark, sf):
     """The events table as a file stream: each micro-batch (one file here) is one load cycle."""
-    from driftgate.session import scratch_path
     from driftgate.streaming.audit import audit_stream, read_stream_audit
 
     schema = fx.table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf}/events[.]parquet")
     target = scratch_path(spark, "stream-audit")
-    audit_stream(stream, "events", target, exclude_columns=[]).awaitTermination()
+    audit_stream(stream, "events", target, scratch_path(spark, "stream-audit-checkpoint"), exclude_columns=[]).awaitTermination()
     return read_stream_audit(spark, target).drop("measurement_ts")
 
 

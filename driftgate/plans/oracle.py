@@ -145,10 +145,6 @@ def health(drift_sql: str, tables_sql: str, weights: dict[str, float] | None = N
     )
 
 
-def relabel(profile_sql: str, table: str) -> str:
-    return f"SELECT * REPLACE ({q(table)} AS table_name) FROM ({profile_sql})"
-
-
 # ----------------------------------------------------------------------------- quality
 
 def first_failure(source: str, rules: Sequence[tuple[str, str]]) -> str:

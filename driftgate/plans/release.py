@@ -1,8 +1,7 @@
 """End-to-end release control (CMP2, CMP4): profile, drift, health, fidelity, ledger, gates.
 
-Everything stays a DataFrame; nothing is collected. Both loads are profiled in one job
-(one unpivot over both scans, shared exchanges). The caller decides when to act on the
-one-row verdict.
+Results are DataFrames; no row of them is collected. Building a release runs jobs: the profiles or
+the health, a few rows per table, are checkpointed because several results read them.
 """
 
 from __future__ import annotations
@@ -14,11 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.functions.entropy import DEFAULT_DROP_PCT, DEFAULT_HEALTH_FLOOR, DEFAULT_SPIKE_PCT
-from driftgate.operators.drift import DRIFT_COLUMNS, _drift_of_pairs, _health, paired_union
+from driftgate.operators.baseline import latest_baseline
+from driftgate.operators.drift import DRIFT_COLUMNS, _drift_of_pairs, _health, paired_union, table_health
 from driftgate.operators.fidelity import fidelity as fidelity_of
+from driftgate.operators.fidelity import row_fidelity_many
 from driftgate.operators.gates import evaluate_gates, run_metrics, verdicts
 from driftgate.operators.ledger import build_ledger, provenance_coverage
 from driftgate.operators.profile import profile_tables
+from driftgate.operators.quality import evaluate as quality_of
 from driftgate.session import materialize_small
 from driftgate.sources.readers import gates_frame, thresholds_frame
 
@@ -170,10 +172,6 @@ def release_many(
     in another; all row counts in one job; quality ratios come from ``rules`` per table
     (tables without rules leave their quality gates NOT_MEASURED).
     """
-    from driftgate.operators import quality as Q
-    from driftgate.operators.drift import table_health
-    from driftgate.operators.fidelity import row_fidelity_many
-
     spark = config.sparkSession
     run_rows = runs_frame(spark, runs)
     keys = run_rows.select("run_id", "table_name")
@@ -184,8 +182,49 @@ def release_many(
     # a few rows per table, read by the ledger and by the metrics: computed once
     health = materialize_small(table_health(base, cur, weights, thresholds=th)).join(keys, "table_name")
     fid = row_fidelity_many(loads).join(keys, "table_name")
+    qual = _quality_ratios({t: c for t, (_, c) in loads.items()}, rules, keys)
+    return _decide(config, run_rows, health, fid, qual)
+
+
+def release_stored(
+    history: DataFrame,
+    loads: Mapping[str, DataFrame],
+    config: DataFrame,
+    runs: Iterable[Mapping],
+    columns: Mapping[str, Iterable[str]] | None = None,
+    exclude_columns: Iterable[str] | Mapping[str, Iterable[str]] | None = None,
+    rules: Mapping[str, list] | None = None,
+    weights: Mapping | DataFrame | None = None,
+) -> ReleaseMany:
+    """Release decisions of new loads against each table's newest stored baseline (``history``,
+    e.g. ``read_baselines``): the old data is not read, and a load is scanned once to profile it
+    and once for its rules. Row counts are those of the profiles. A table without a stored
+    baseline has neither health nor fidelity, so its gates on them are NOT_MEASURED.
+    """
+    run_rows = runs_frame(config.sparkSession, runs)
+    keys = run_rows.select("run_id", "table_name")
+    cols = {t: list(c) for t, c in columns.items()} if columns else None
+    cur = profile_tables(loads, cols, exclude_columns)
+    fields = ["table_name", "column_name", "entropy", "total_count"]
+    base = latest_baseline(history, list(loads)).select(*fields, F.lit(0).alias("_side"))
+    # a few rows per table, read for health and for the row counts: computed once
+    both = materialize_small(base.unionByName(cur.select(*fields, F.lit(1).alias("_side"))))
+    rows = both.groupBy("table_name").agg(
+        F.max(F.when(F.col("_side") == 0, F.col("total_count"))).alias("source_row_count"),
+        F.max(F.when(F.col("_side") == 1, F.col("total_count"))).alias("target_row_count"),
+    ).filter(F.col("source_row_count").isNotNull())
+    ratio = F.try_divide(F.col("target_row_count").cast("double"), F.col("source_row_count").cast("double"))
+    fid = rows.withColumn("row_count_ratio", ratio).join(keys, "table_name")
+    th = run_rows.select("experiment_id", "table_name").join(thresholds_frame(config), "experiment_id", "left")
+    d = _drift_of_pairs(paired_union(both.drop("total_count")), DEFAULT_DROP_PCT, DEFAULT_SPIKE_PCT, th)
+    health = _health(d, weights, DEFAULT_HEALTH_FLOOR, th).join(rows, "table_name", "left_semi").join(keys, "table_name")
+    return _decide(config, run_rows, health, fid, _quality_ratios(loads, rules, keys))
+
+
+def _quality_ratios(loads: Mapping[str, DataFrame], rules: Mapping[str, list] | None, keys: DataFrame) -> DataFrame:
+    """Quality ratios per run of the tables that have rules."""
     ratios = [
-        Q.evaluate(loads[t][1], r).ratios.withColumn("table_name", F.lit(t))
+        quality_of(loads[t], r).ratios.withColumn("table_name", F.lit(t))
         for t, r in (rules or {}).items()
         if r
     ]
@@ -193,9 +232,12 @@ def release_many(
         qual = ratios[0]
         for r in ratios[1:]:
             qual = qual.unionByName(r)
-        qual = qual.join(keys, "table_name")
-    else:
-        qual = spark.createDataFrame([], "run_id string, quality_pass_ratio double, quarantine_ratio double")
+        return qual.join(keys, "table_name")
+    return keys.sparkSession.createDataFrame([], "run_id string, quality_pass_ratio double, quarantine_ratio double")
+
+
+def _decide(config: DataFrame, run_rows: DataFrame, health: DataFrame, fid: DataFrame, qual: DataFrame) -> ReleaseMany:
+    keys = run_rows.select("run_id", "table_name")
     ledger = provenance_coverage(build_ledger(run_rows, health, keys))
     metrics = run_metrics(run_rows, health=health, fidelity=fid, quality=qual, coverage=ledger)
     evaluations = evaluate_gates(gates_frame(config), run_rows, metrics, config)

@@ -17,10 +17,9 @@ from pyspark.sql.types import (
 from driftgate.functions.columns import LINEAGE_COLUMNS
 from driftgate.functions.entropy import DEFAULT_DROP_PCT, DEFAULT_HEALTH_FLOOR, DEFAULT_SPIKE_PCT
 
-# Fixed values that must equal the reference's: gate comparison operators, gate types,
-# the default baseline staleness, and the provenance fields every run must carry.
+# Fixed values that must equal the reference's: gate comparison operators, the
+# default baseline staleness, and the provenance fields every run must carry.
 GATE_OPS = (">=", "<=", ">", "<", "==")
-GATE_TYPES = ("FAIL", "WARN")
 DEFAULT_STALENESS_DAYS = 30
 PROVENANCE_FIELDS = (
     "experiment_id",
@@ -163,12 +162,3 @@ def thresholds_frame(config: DataFrame) -> DataFrame:
         .alias("baseline_staleness_days"),
         excluded.alias("excluded_columns"),
     )
-
-
-def provenance_fields_frame(config: DataFrame) -> DataFrame:
-    """(experiment_id, field): required provenance fields, the reference list by default."""
-    cfg = _experiment(config)
-    fields = F.coalesce(
-        F.col("minimum_provenance_fields"), F.array(*[F.lit(c) for c in PROVENANCE_FIELDS])
-    )
-    return cfg.select("experiment_id", F.explode(fields).alias("field"))

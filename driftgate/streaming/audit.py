@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from driftgate.operators.profile import profile_tables, with_measurement
-from driftgate.session import scratch_path
 from driftgate.sources.sinks import AUDIT_SCHEMA
 
 STREAM_AUDIT_SCHEMA = StructType(AUDIT_SCHEMA.fields + [StructField("batch_id", LongType(), False)])
@@ -43,7 +42,7 @@ def audit_stream(
     stream: DataFrame,
     table_name: str,
     target: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     columns: Sequence[str] | None = None,
     exclude_columns: Iterable[str] | None = None,
     fmt: str = "parquet",
@@ -51,13 +50,14 @@ def audit_stream(
 ) -> StreamingQuery:
     """Start a streaming query that logs a profile of every micro-batch to ``target``.
 
+    ``checkpoint_location`` belongs to the target: batch ids go on from it after a restart, so
+    a new one would overwrite the rows of the earlier batches.
+
     ``available_now`` processes what is there and stops (a scheduled load cycle); set it
     to False for a continuously running query with the default trigger.
     """
-    spark = stream.sparkSession
-    ckpt = checkpoint_location or scratch_path(spark, "stream-audit-checkpoint")
     writer = stream.writeStream.foreachBatch(_writer(table_name, target, columns, exclude_columns, fmt))
-    writer = writer.option("checkpointLocation", ckpt)
+    writer = writer.option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
