@@ -1,21 +1,22 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Text is cut into chunks, a run of spaces and the word after it; no piece of the model crosses a
-chunk (checked), so chunks are encoded on their own and each distinct chunk once. A chunk's
-substrings, of at most the longest piece's length, are exploded and equi-joined to the piece
+Text is cut into chunks, a run of spaces and the word after it, and chunks into units between
+neighbouring characters that no piece of the model holds side by side. No piece crosses a cut
+(checked), so units are encoded on their own and each distinct unit once. A unit's substrings, of at most the longest piece's length, are exploded and equi-joined to the piece
 table (a vocabulary, so of proven size: broadcast); the matches are the edges of its lattice,
-grouped by chunk, and folded with Spark's ``aggregate``:
+grouped by unit, and folded with Spark's ``aggregate``:
 
 - a unigram model is folded by Viterbi: best score up to each position, over the edges by end;
 - a BPE model scores merges, not paths, and the best path by summed scores differs from what the
   model encodes (README has figures). Its fold applies to the same lattice the edge with the best
-  score that joins two neighbouring symbols, leftmost first, until none is left. That equals the
-  SentencePiece library's ids.
+  score that joins two neighbouring symbols, leftmost first, until none is left: the edges sorted
+  by score are folded over a bit mask of the symbols' ends. That equals the SentencePiece
+  library's ids.
 
 To bring the ids back without moving every word of the corpus, documents are dealt to blocks by
 hash and travel compressed; a block asks each hash bucket of the vocabulary for its distinct
-chunks, once each, and gets packed ids back in the order asked. Group sizes: a block holds about
-``BLOCK_CHARS`` of text, a bucket the chunks of a fraction of a block, whatever the corpus. A chunk
+units, once each, and gets packed ids back in the order asked. Group sizes: a block holds about
+``BLOCK_CHARS`` of text, a bucket the units of a fraction of a block, whatever the corpus. A unit
 of over ``LONG_CHUNK`` characters is encoded where its document is, by the same merges on a heap.
 
 Defined results: null and empty texts have no ids; characters outside the vocabulary are spelt
@@ -27,10 +28,12 @@ the unknown piece. Other columns are not read.
 from __future__ import annotations
 
 import heapq
+import operator
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ from driftgate.llm import common
 BLOCK_CHARS = 10_000_000
 #: Buckets of the vocabulary per block of documents, so that a bucket's edges sort in memory.
 BUCKETS_A_BLOCK = 4
-LONG_CHUNK = 64
+LONG_CHUNK = 60  # positions must fit the bits of a long
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -64,6 +67,11 @@ class Model:
     def longest(self) -> int:
         return max(map(len, self.scores))
 
+    @cached_property
+    def joints(self) -> frozenset[str]:
+        """The pairs of neighbouring characters that some piece holds."""
+        return frozenset(p[i : i + 2] for p in self.scores for i in range(len(p) - 1))
+
 
 def load(path: str) -> Model:
     """Read a model file of type unigram or BPE with the identity normalizer."""
@@ -76,6 +84,8 @@ def load(path: str) -> Model:
     if kind not in (1, 2) or spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces:
         raise ValueError("only unigram and BPE models without normalization are supported")
     scores = {p.piece: (i, p.score) for i, p in enumerate(proto.pieces) if p.type in (1, 4)}
+    if max(map(len, scores)) > LONG_CHUNK or len(proto.pieces) > 1 << 19:
+        raise ValueError("a piece or the vocabulary is too long for packed edges")
     if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in scores):
         raise ValueError("a piece crosses the start of a word")
     by_byte = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == 6}
@@ -90,6 +100,14 @@ def chunks(text: str, prefix: bool = True) -> list[str]:
     return _CHUNK.findall((SPACE if prefix else "") + text.replace(" ", SPACE))
 
 
+def units(model: Model, chunk: str) -> list[str]:
+    """A chunk cut where no piece holds both neighbours, so that no edge of its lattice is cut."""
+    if model.joints.issuperset(map(operator.add, chunk, chunk[1:])):
+        return [chunk]
+    cuts = [0, *(i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in model.joints), len(chunk)]
+    return [chunk[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def spell(model: Model, symbols: list[str]) -> list[int]:
     out = []
     for s in symbols:
@@ -138,56 +156,124 @@ def encode_long(model: Model, chunk: str) -> list[int]:
     return spell(model, [s for s in symbols if s])
 
 
+def late_pieces(model: Model) -> set[str]:
+    """Pieces that two neighbours can form of which one was merged at a score no better than theirs."""
+
+    def no_better(part: str, score: float) -> bool:
+        return len(part) > 1 and model.scores[part][1] <= score
+
+    def splits(piece: str) -> Iterator[tuple[str, str]]:
+        return ((piece[:k], piece[k:]) for k in range(1, len(piece)))
+
+    return {
+        p for p, (_, score) in model.scores.items()
+        if any(
+            all(len(x) == 1 or x in model.scores for x in pair) and any(no_better(x, score) for x in pair)
+            for pair in splits(p)
+        )
+    }
+
+
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """(piece, id, score); the empty piece keeps a chunk that matches nothing else."""
-    rows = [(p, i, float(s)) for p, (i, s) in model.scores.items()] + [("", -1, 0.0)]
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    """(piece, id, score, code): ``code`` orders pieces by falling score (high 32 bits) and holds
+    the length from bit 20, whether the piece is late (bit 19), and the id."""
+    order = {s: i for i, s in enumerate(sorted({s for _, s in model.scores.values()}, reverse=True))}
+    late = late_pieces(model)
+    rows = [(p, i, float(s), order[s] << 32 | len(p) << 20 | (p in late) << 19 | i) for p, (i, s) in model.scores.items()]
+    return spark.createDataFrame(rows, "piece string, id int, score double, code long")
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``value`` computed once under ``name``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _viterbi(model: Model) -> str:
+    """SQL: the best path over ``edges`` as an array of (start, id or null)."""
+    # State: for each position the best score up to it, where its last edge starts, and its piece.
+    worst = min(s for _, s in model.scores.values()) - 10.0
+    reach = (
+        "transform(filter(edges, e -> e.stop = j), e -> "
+        "struct(get(best, e.start).score + e.score as score, -e.start as back, e.id as id))"
+    )
+    unknown = (
+        "if(exists(edges, e -> e.stop = j and e.start = j - 1), array(), "
+        f"array(struct(get(best, j - 1).score + {worst}D as score, 1 - j as back, cast(null as int) as id)))"
+    )
+    root = "array(named_struct('score', 0D, 'back', 0, 'id', cast(null as int)))"
+    forward = f"aggregate(sequence(1, n), {root}, (best, j) -> concat(best, array(array_max(concat({reach}, {unknown})))))"
+    trace = (
+        "aggregate(sequence(1, n), named_struct('at', n, 'out', slice(array(named_struct('start', 0, 'id', cast(null as int))), 1, 0)), "
+        "(s, k) -> if(s.at = 0, s, named_struct('at', -get(best, s.at).back, 'out', "
+        "concat(array(named_struct('start', -get(best, s.at).back, 'id', get(best, s.at).id)), s.out))), s -> s.out)"
+    )
+    return _let("best", forward, trace)
+
+
+def _merges() -> str:
+    """SQL: best merge first over ``codes`` and ``singles``, as an array of (start, id or null).
+
+    The state is a bit mask of the positions where a symbol starts or ends. An edge joins two
+    symbols if its own ends are set and one position between them. One pass over the edges by
+    score is enough unless a merge makes an edge possible that the pass has left behind, which only
+    late pieces allow; bit 62 notes that, and the word is then folded with a fresh search a step.
+    """
+    start, length = "cast(shiftright(c, 26) & 63 as int)", "cast(shiftright(c, 20) & 63 as int)"
+    span = (
+        f"named_struct('code', c, 'span', shiftleft(shiftleft(1L, {length} + 1) - 1, {start}), "
+        f"'ends', shiftleft(1L + shiftleft(1L, {length}), {start}))"
+    )
+    joins = "bit_count({m} & {e}.span) = 3 and ({m} & {e}.ends) = {e}.ends".format
+    joined = "(({m} & ~{e}.span) | {e}.ends)".format
+    late = f"exists(late, f -> f.code < e.code and {joins(m='m', e='f')})"
+    one_pass = (
+        f"aggregate(spans, whole, (s, e) -> if({joins(m='s', e='e')}, "
+        f"{_let('m', joined(m='s', e='e'), f'if({late}, m | {1 << 62}L, m)')}, s))"
+    )
+    searched = (
+        "aggregate(sequence(1, n), whole, (s, k) -> coalesce(get(transform(slice("
+        f"filter(spans, e -> {joins(m='s', e='e')}), 1, 1), e -> {joined(m='s', e='e')}), 0), s))"
+    )
+    cut = _let("late", "filter(spans, e -> (e.code & 524288) != 0)", one_pass)
+    mask = _let("whole", "shiftleft(1L, n + 1) - 1", _let("quick", cut, f"if((quick & {1 << 62}L) = 0, quick, {searched})"))
+    symbols = (
+        "array_sort(concat("
+        "transform(filter(spans, e -> (mask & e.span) = e.ends), e -> "
+        "named_struct('start', cast(shiftright(e.code, 26) & 63 as int), 'id', cast(e.code & 524287 as int))), "
+        "filter(singles, e -> (shiftright(mask, e.start) & 3) = 3)))"
+    )
+    return _let("spans", f"transform(sort_array(codes), c -> {span})", _let("mask", mask, symbols))
 
 
 def lattice_ids(words: DataFrame, model: Model) -> DataFrame:
-    """``words`` (bucket, word; distinct, dealt by bucket) with the column ``ids``."""
-    n = "char_length(word)"
-    parts = f"array_distinct(flatten(transform(sequence(1, {n}), i -> transform(sequence(1, least({model.longest}, {n} - i + 1)), l -> substring(word, i, l)))))"
-    cut = words.select("bucket", "word", F.explode(F.expr(f"concat(array(''), {parts})")).alias("piece"))
-    matched = cut.join(F.broadcast(piece_table(words.sparkSession, model)), "piece")
-    edges = matched.groupBy("bucket", "word").agg(F.map_from_entries(F.collect_list(F.struct("piece", F.struct("id", "score")))).alias("edges"))
-    chars = f"transform(sequence(1, {n}), i -> substring(word, i, 1))"
+    """``words`` (bucket, word of up to ``LONG_CHUNK`` characters; distinct, dealt by bucket) with
+    the column ``ids``."""
+    n = F.char_length("word")
+    cut = words.select("bucket", "word", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    cut = cut.select("bucket", "word", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), n - F.col("start")))).alias("length"))
+    cut = cut.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("length")))
+    found = cut.join(F.broadcast(piece_table(words.sparkSession, model)), "piece", "left").where("id is not null or length = 1")
     if model.unigram:
-        # State: for each position the best score up to it and where its last edge starts.
-        worst = min(s for _, s in model.scores.values()) - 10.0
-        step = (
-            f"concat(best, array(array_max(transform(sequence(greatest(1, j - {model.longest} + 1), j), i -> struct("
-            "get(best, i - 1).score + coalesce(try_element_at(edges, substring(word, i, j - i + 1)).score, "
-            f"if(i = j, {worst}D, double('-infinity'))) as score, i as start)))))"
-        )
-        forward = f"aggregate(sequence(1, {n}), array(named_struct('score', 0D, 'start', 0)), (best, j) -> {step})"
-        edges = edges.withColumn("best", F.expr(forward))
-        back = (
-            "aggregate(sequence(1, char_length(word)), named_struct('at', char_length(word), 'out', array_repeat('', 0)), (s, k) -> if(s.at = 0, s, "
-            "named_struct('at', get(best, s.at).start - 1, 'out', concat(array(substring(word, get(best, s.at).start, s.at - get(best, s.at).start + 1)), s.out))), s -> s.out)"
-        )
-        symbols = F.expr(back)
+        edge = F.struct("start", (F.col("start") + F.col("length")).alias("stop"), "id", "score")
+        lists = [F.collect_list(F.when(F.col("id").isNotNull(), edge)).alias("edges")]
+        symbols = _viterbi(model)
     else:
-        best = (
-            "array_max(transform(sequence(1, size(s.sym) - 1), i -> struct("
-            "try_element_at(edges, concat(get(s.sym, i - 1), get(s.sym, i))).score as score, -i as at)))"
-        )
-        merged = (
-            "concat(slice(s.sym, 1, -b.at - 1), array(concat(get(s.sym, -b.at - 1), get(s.sym, -b.at))), slice(s.sym, 2 - b.at, size(s.sym) + b.at))"
-        )
-        step = (
-            f"if(s.done or size(s.sym) = 1, s, get(transform(array({best}), b -> if(b.score is null, "
-            f"named_struct('sym', s.sym, 'done', true), named_struct('sym', {merged}, 'done', false))), 0))"
-        )
-        symbols = F.expr(f"aggregate(sequence(1, {n}), named_struct('sym', {chars}, 'done', false), (s, k) -> {step}, s -> s.sym)")
-    edges = edges.withColumn("symbols", symbols)
+        code = F.col("code") + F.shiftleft(F.col("start").cast("long"), 26)
+        lists = [
+            F.collect_list(F.when(F.col("length") > 1, code)).alias("codes"),
+            F.collect_list(F.when(F.col("length") == 1, F.struct("start", "id"))).alias("singles"),
+        ]
+        symbols = _merges()
+    lattice = found.groupBy("bucket", "word").agg(*lists)
     if model.byte_ids:
-        edges = edges.withColumn("__dg_bytes", F.lit(list(model.byte_ids)))
-        other = "transform(sequence(1, octet_length(x)), k -> get(__dg_bytes, cast(conv(substring(hex(x), 2 * k - 1, 2), 16, 10) as int)))"
+        octets = "hex(substring(word, x.start + 1, 1))"
+        other = f"transform(sequence(1, length({octets}), 2), k -> get(__dg_bytes, cast(conv(substring({octets}, k, 2), 16, 10) as int)))"
     else:
         other = f"array({model.unknown})"
-    ids = f"flatten(transform(symbols, x -> if(map_contains_key(edges, x), array(try_element_at(edges, x).id), {other})))"
-    return edges.select("bucket", "word", F.expr(ids).alias("ids"))
+    known = "transform(symbols, x -> x.id)"
+    spelt = f"if(exists(symbols, x -> x.id is null), flatten(transform(symbols, x -> if(x.id is null, {other}, array(x.id)))), {known})"
+    lattice = lattice.withColumn("__dg_bytes", F.lit(list(model.byte_ids)).cast("array<int>"))
+    return lattice.select("bucket", "word", F.expr(_let("n", "char_length(word)", _let("symbols", symbols, spelt))).alias("ids"))
 
 
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, keep_text: bool = False) -> DataFrame:
@@ -207,8 +293,9 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield opener.decompress(blob).decode()
 
     def dealt(table: pa.Table) -> list[list[bytes]]:
-        """The block's distinct chunks for each bucket, sorted."""
-        distinct = {c for t in texts(table) for c in chunks(t, model.prefix) if len(c) <= LONG_CHUNK}
+        """The block's distinct units for each bucket, sorted."""
+        found = {c for t in texts(table) for c in chunks(t, model.prefix)}
+        distinct = {u for c in found for u in units(model, c) if len(u) <= LONG_CHUNK}
         out: list[list[bytes]] = [[] for _ in range(n_buckets)]
         for c in sorted(c.encode() for c in distinct):
             out[common.bucket(c, n_buckets)].append(c)
@@ -245,13 +332,15 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         asked_words, table = dealt(rows), {}
         for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
             table |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
-        encoded = []
-        for text in texts(rows):
-            own = chunks(text, model.prefix)
-            for c in own:
-                if len(c) > LONG_CHUNK and c not in table:
-                    table[c] = np.array(encode_long(model, c), np.int32).tobytes()
-            encoded.append(b"".join([table[c] for c in own]))
+
+        class Spelt(dict):
+            def __missing__(self, chunk: str) -> bytes:
+                parts = [table[u] if len(u) <= LONG_CHUNK else np.array(encode_long(model, u), np.int32).tobytes() for u in units(model, chunk)]
+                self[chunk] = out = b"".join(parts)
+                return out
+
+        spelt = Spelt()
+        encoded = [b"".join(map(spelt.__getitem__, chunks(text, model.prefix))) for text in texts(rows)]
         ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in encoded])]).astype(np.int32)
         flat = pa.array(np.frombuffer(b"".join(encoded), np.int32))
         out = {"id": rows.column("id").combine_chunks(), "ids": pa.ListArray.from_arrays(pa.array(ends), flat)}

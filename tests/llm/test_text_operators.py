@@ -194,6 +194,19 @@ def test_long_chunks_equal_the_library(pieces):
         assert [i for c in piece_lattice.chunks(text) for i in piece_lattice.encode_long(pieces, c)] == sp.encode(text)
 
 
+def test_merges_of_a_bpe_model(spark, pieces):
+    """Words with many late pieces, where one pass over the edges is not enough, and unknown characters."""
+    rnd = random.Random(7)
+    late = sorted(piece_lattice.late_pieces(pieces))
+    words = {"".join(rnd.choice("▁abthe\né漢😀aaing") for _ in range(rnd.randint(1, piece_lattice.LONG_CHUNK))) for _ in range(150)}
+    words |= {"".join(rnd.sample(late, 3)) for _ in range(300)}
+    df = spark.createDataFrame([(len(w) % 3, w) for w in words], "bucket long, word string").repartition("bucket")
+    got = {r.word: list(r.ids) for r in piece_lattice.lattice_ids(df, pieces).collect()}
+    for w in words:
+        assert got[w] == piece_lattice.encode_long(pieces, w)
+        assert got[w] == [i for u in piece_lattice.units(pieces, w) for i in piece_lattice.encode_long(pieces, u)]
+
+
 def test_viterbi_of_a_unigram_model(spark):
     scores = {"a": (0, -3.0), "b": (1, -3.1), "ab": (2, -3.5), "ba": (3, -3.2), "aba": (4, -6.0), "▁": (5, -2.0), "▁a": (6, -2.5)}
     model = piece_lattice.Model(True, ("a", "b", "ab", "ba", "aba", "▁", "▁a"), scores, (), 7, True)
