@@ -44,12 +44,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from driftgate.llm import common
 
-BLOCK_CHARS = 10_000_000
+BLOCK_CHARS = 6_000_000
 #: Buckets of the vocabulary per block of documents, so that a bucket's edges sort in memory.
 BUCKETS_A_BLOCK = 4
 LONG_CHUNK = 60  # positions must fit the bits of a long
 SPACE = "▁"
-_CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_AFTER_SPACE = re.compile(" ( *[^ ]*)")
 
 
 @dataclass(frozen=True)
@@ -94,10 +94,28 @@ def load(path: str) -> Model:
     return Model(kind == 1, tuple(p.piece for p in proto.pieces), scores, byte_ids, unknown, spec.add_dummy_prefix)
 
 
-def chunks(text: str, prefix: bool = True) -> list[str]:
+def keys(text: str, prefix: bool = True) -> list[str]:
+    """A short form of the text's chunks: what follows a chunk's first space (a start of text
+    without one is marked by U+2581). Without runs of spaces that is a plain split."""
     if not text:
         return []
-    return _CHUNK.findall((SPACE if prefix else "") + text.replace(" ", SPACE))
+    text = text.replace(SPACE, " ")
+    head = []
+    if not prefix:
+        first, space, text = text.partition(" ")
+        head = [SPACE + first] if first else []
+        if not space:
+            return head
+    words = text.split(" ")
+    return head + (_AFTER_SPACE.findall(" " + text) if "" in words else words)
+
+
+def chunk_of(key: str) -> str:
+    return key[1:] if key[:1] == SPACE else SPACE + key.replace(" ", SPACE)
+
+
+def chunks(text: str, prefix: bool = True) -> list[str]:
+    return [chunk_of(k) for k in keys(text, prefix)]
 
 
 def units(model: Model, chunk: str) -> list[str]:
@@ -294,8 +312,10 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def dealt(table: pa.Table) -> list[list[bytes]]:
         """The block's distinct units for each bucket, sorted."""
-        found = {c for t in texts(table) for c in chunks(t, model.prefix)}
-        distinct = {u for c in found for u in units(model, c) if len(u) <= LONG_CHUNK}
+        found: set[str] = set()
+        for text in texts(table):
+            found.update(keys(text, model.prefix))
+        distinct = {u for k in found for u in units(model, chunk_of(k)) if len(u) <= LONG_CHUNK}
         out: list[list[bytes]] = [[] for _ in range(n_buckets)]
         for c in sorted(c.encode() for c in distinct):
             out[common.bucket(c, n_buckets)].append(c)
@@ -334,13 +354,14 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             table |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
 
         class Spelt(dict):
-            def __missing__(self, chunk: str) -> bytes:
-                parts = [table[u] if len(u) <= LONG_CHUNK else np.array(encode_long(model, u), np.int32).tobytes() for u in units(model, chunk)]
-                self[chunk] = out = b"".join(parts)
+            def __missing__(self, key: str) -> bytes:
+                own = units(model, chunk_of(key))
+                parts = [table[u] if len(u) <= LONG_CHUNK else np.array(encode_long(model, u), np.int32).tobytes() for u in own]
+                self[key] = out = b"".join(parts)
                 return out
 
         spelt = Spelt()
-        encoded = [b"".join(map(spelt.__getitem__, chunks(text, model.prefix))) for text in texts(rows)]
+        encoded = [b"".join(map(spelt.__getitem__, keys(text, model.prefix))) for text in texts(rows)]
         ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in encoded])]).astype(np.int32)
         flat = pa.array(np.frombuffer(b"".join(encoded), np.int32))
         out = {"id": rows.column("id").combine_chunks(), "ids": pa.ListArray.from_arrays(pa.array(ends), flat)}

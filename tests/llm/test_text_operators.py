@@ -194,6 +194,17 @@ def test_long_chunks_equal_the_library(pieces):
         assert [i for c in piece_lattice.chunks(text) for i in piece_lattice.encode_long(pieces, c)] == sp.encode(text)
 
 
+def test_chunks_of_any_spacing():
+    import re
+
+    rnd = random.Random(8)
+    for _ in range(2000):
+        text = "".join(rnd.choice("ab  ▁\n") for _ in range(rnd.randint(0, 9)))
+        for prefix in (True, False):
+            marked = ("▁" if prefix and text else "") + text.replace(" ", "▁")
+            assert piece_lattice.chunks(text, prefix) == re.findall("▁*[^▁]+|▁+", marked)
+
+
 def test_merges_of_a_bpe_model(spark, pieces):
     """Words with many late pieces, where one pass over the edges is not enough, and unknown characters."""
     rnd = random.Random(7)
