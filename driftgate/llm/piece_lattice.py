@@ -28,7 +28,6 @@ the unknown piece. Other columns are not read.
 from __future__ import annotations
 
 import heapq
-import operator
 import re
 import zlib
 from collections.abc import Iterator
@@ -68,9 +67,10 @@ class Model:
         return max(map(len, self.scores))
 
     @cached_property
-    def joints(self) -> frozenset[str]:
-        """The pairs of neighbouring characters that some piece holds."""
-        return frozenset(p[i : i + 2] for p in self.scores for i in range(len(p) - 1))
+    def joints(self) -> np.ndarray:
+        """The pairs of neighbouring characters that some piece holds, as sorted numbers."""
+        pairs = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
+        return np.array(sorted(ord(a) << 21 | ord(b) for a, b in pairs) or [-1], np.int64)
 
 
 def load(path: str) -> Model:
@@ -118,12 +118,19 @@ def chunks(text: str, prefix: bool = True) -> list[str]:
     return [chunk_of(k) for k in keys(text, prefix)]
 
 
-def units(model: Model, chunk: str) -> list[str]:
-    """A chunk cut where no piece holds both neighbours, so that no edge of its lattice is cut."""
-    if model.joints.issuperset(map(operator.add, chunk, chunk[1:])):
-        return [chunk]
-    cuts = [0, *(i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in model.joints), len(chunk)]
-    return [chunk[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+def units(model: Model, parts: list[str]) -> tuple[list[str], list[int]]:
+    """Chunks cut where no piece holds both neighbours, so that no edge of a lattice is cut: all
+    units in order, and how many there are up to the end of each chunk."""
+    whole = "".join(parts)
+    codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+    cut = np.ones(len(codes) + 1, bool)
+    pairs = codes[:-1] << 21 | codes[1:]
+    cut[1:-1] = model.joints[np.minimum(np.searchsorted(model.joints, pairs), len(model.joints) - 1)] != pairs
+    cut[ends] = True
+    at = np.flatnonzero(cut)
+    places = at.tolist()
+    return [whole[a:b] for a, b in zip(places, places[1:], strict=False)], np.searchsorted(at, ends).tolist()
 
 
 def spell(model: Model, symbols: list[str]) -> list[int]:
@@ -310,19 +317,23 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for blob in table.column("blob").to_pylist():
             yield opener.decompress(blob).decode()
 
-    def dealt(table: pa.Table) -> list[list[bytes]]:
-        """The block's distinct units for each bucket, sorted."""
+    def taken(table: pa.Table) -> tuple[list[str], list[str], list[int]]:
+        """The block's distinct keys, with their units as in ``units``."""
         found: set[str] = set()
         for text in texts(table):
             found.update(keys(text, model.prefix))
-        distinct = {u for k in found for u in units(model, chunk_of(k)) if len(u) <= LONG_CHUNK}
+        own = list(found)
+        return own, *units(model, [chunk_of(k) for k in own])
+
+    def dealt(flat: list[str]) -> list[list[bytes]]:
+        """The distinct units for each bucket, sorted."""
         out: list[list[bytes]] = [[] for _ in range(n_buckets)]
-        for c in sorted(c.encode() for c in distinct):
-            out[common.bucket(c, n_buckets)].append(c)
+        for u in sorted(u.encode() for u in set(flat) if len(u) <= LONG_CHUNK):
+            out[common.bucket(u, n_buckets)].append(u)
         return out
 
     def ask(table: pa.Table) -> pa.Table:
-        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(table)) if words]
+        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(taken(table)[1])) if words]
         block = table.column("block")[0].as_py()
         return pa.table({
             "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([i for i, _ in rows], pa.int64()),
@@ -349,18 +360,13 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     replies = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block long, bucket long, ids binary")
 
     def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        asked_words, table = dealt(rows), {}
+        own, flat, last = taken(rows)
+        asked_words, table = dealt(flat), {}
         for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
             table |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
-
-        class Spelt(dict):
-            def __missing__(self, key: str) -> bytes:
-                own = units(model, chunk_of(key))
-                parts = [table[u] if len(u) <= LONG_CHUNK else np.array(encode_long(model, u), np.int32).tobytes() for u in own]
-                self[key] = out = b"".join(parts)
-                return out
-
-        spelt = Spelt()
+        table |= {u: np.array(encode_long(model, u), np.int32).tobytes() for u in set(flat) if len(u) > LONG_CHUNK}
+        parts = list(map(table.__getitem__, flat))
+        spelt = {k: b"".join(parts[a:b]) for k, a, b in zip(own, [0, *last], last, strict=False)}
         encoded = [b"".join(map(spelt.__getitem__, keys(text, model.prefix))) for text in texts(rows)]
         ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in encoded])]).astype(np.int32)
         flat = pa.array(np.frombuffer(b"".join(encoded), np.int32))
