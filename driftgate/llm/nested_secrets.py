@@ -2,8 +2,8 @@
 
 Every whole text is scanned for three kinds of secrets. Then a worklist unwraps layers: URL
 escapes and Unicode escapes are decoded in place, base64 runs become layers of their own, and a
-decoded layer that is compressed (gzip, zlib, bzip2, xz) is decompressed. Each new layer is
-scanned and put on the worklist, until none is left. A layer whose content and place were seen
+decoded layer that is compressed (gzip, zlib, bzip2, xz; one member or several) is decompressed, as
+are compressed bytes written with URL or backslash escapes. Each new layer is scanned and put on the worklist, until none is left. A layer whose content and place were seen
 before is not taken again, so a layer that unwraps to itself ends.
 
 Spans are code points of the original text. In-place decoding maps each character back to the
@@ -37,6 +37,7 @@ from driftgate.llm import common
 
 KINDS = ("assign", "access", "hex")
 MAX_LAYER_BYTES = 16 << 20
+PIECE_BYTES = 1 << 20
 MIN_BASE64 = 16
 
 # The patterns and least lengths of the three kinds.
@@ -48,7 +49,14 @@ _ASSIGN_MIN, _ACCESS_MIN = 6, 20
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
-_MAGIC = ((b"\x1f\x8b", "gzip"), (b"BZh", "bzip2"), (b"\xfd7zXZ\x00", "xz"), (b"\x78\x01", "zlib"), (b"\x78\x9c", "zlib"), (b"\x78\xda", "zlib"))
+_MAGIC = ((b"\x1f\x8b", "gzip"), (b"BZh", "bzip2"), (b"\xfd7zXZ\x00", "xz"))
+_START = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|[\x08\x18\x28\x38\x48\x58\x68\x78](?=.)", re.S)
+# Bytes written with escapes: the characters that need none stand for themselves.
+_URL_TOKEN = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])+")
+_URL_BYTE = re.compile(r"%(..)|()[!-~]")
+_X_TOKEN = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\U000000[0-9A-Fa-f]{2}|\\[abfnrtv0\\'"]|[ -\[\]-~])+""")
+_X_BYTE = re.compile(r"""\\(?:x|u00|U000000)(..)|\\([abfnrtv0\\'"])|[ -~]""")
+_C_ESCAPES = dict(zip("abfnrtv0\\'\"", b"\x07\x08\x0c\n\r\t\x0b\x00\\'\"", strict=True))
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 Finding = tuple[int, int, int]  # start, kind, end
@@ -147,21 +155,98 @@ def unicode_pieces(run: str) -> list[tuple[str, int, int]] | None:
     return None if any(0xD800 <= ord(p[0]) < 0xE000 for p in out) else out
 
 
-def decompress(raw: bytes, limit: int) -> tuple[bytes, bool] | None:
-    """The content of a compressed layer, at most ``limit`` bytes, and whether it was cut."""
-    kind = next((k for magic, k in _MAGIC if raw.startswith(magic)), None)
-    if kind is None:
-        return None
-    try:
+def packed(head: bytes) -> str | None:
+    """How the bytes that start so are compressed; zlib by its header rule (RFC 1950)."""
+    if len(head) > 1 and head[0] & 15 == 8 and head[0] < 128 and (head[0] << 8 | head[1]) % 31 == 0:
+        return "zlib"
+    return next((k for magic, k in _MAGIC if head.startswith(magic)), None)
+
+
+def expand(pieces: Iterator[bytes], used: list[int], size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """The content of compressed bytes in pieces of at most ``size``: one member after the other, up
+    to the end of the input, to what is no member, or to what does not decompress. ``used`` gets
+    the number of input bytes of each member."""
+    data, pulled, begun = b"", 0, 0
+    while True:
+        while len(data) < 6 and (more := next(pieces, None)) is not None:
+            data += more
+            pulled += len(more)
+        kind = packed(data)
+        if kind is None:
+            return
         if kind in ("gzip", "zlib"):
             opener = zlib.decompressobj(31 if kind == "gzip" else 15)
-            out = opener.decompress(raw, limit)
-            return out, bool(opener.unconsumed_tail)
-        opener = bz2.BZ2Decompressor() if kind == "bzip2" else lzma.LZMADecompressor()
-        out = opener.decompress(raw, limit)
-        return out, not opener.eof and len(out) >= limit
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
+        else:
+            opener = bz2.BZ2Decompressor() if kind == "bzip2" else lzma.LZMADecompressor(lzma.FORMAT_XZ)
+        while not opener.eof:
+            try:
+                out = opener.decompress(data, size)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                return
+            data = getattr(opener, "unconsumed_tail", b"")
+            if out:
+                yield out
+            if not opener.eof and not data and len(out) < size:
+                if (data := next(pieces, None)) is None:  # the input ends within a member
+                    used.append(pulled - begun)
+                    return
+                pulled += len(data)
+        data = opener.unused_data
+        if kind == "xz":  # a stream may be padded with zeros
+            while not (data := data.lstrip(b"\x00")) and (more := next(pieces, None)) is not None:
+                data = more
+                pulled += len(more)
+        used.append(pulled - len(data) - begun)
+        begun = pulled - len(data)
+
+
+def slices(raw: bytes, start: int = 0) -> Iterator[bytes]:
+    return (raw[i : i + (1 << 16)] for i in range(start, len(raw), 1 << 16))
+
+
+def decompress(raw: bytes, limit: int, start: int = 0) -> tuple[bytes, bool, int] | None:
+    """The content of the compressed bytes from ``start`` on, at most ``limit`` bytes, whether it
+    was cut, and where the compressed bytes end."""
+    out, used = bytearray(), []
+    for piece in expand(slices(raw, start), used):
+        out += piece
+        if len(out) > limit:
+            return bytes(out[:limit]), True, len(raw)
+    return (bytes(out), False, start + sum(used) if used else len(raw)) if out else None
+
+
+def unpacked(raw: bytes, limit: int) -> tuple[bytes, bool]:
+    """The content under all directly nested archives, and whether one was cut. A content that
+    came before ends the chain."""
+    cut, seen = False, set()
+    while (key := hashlib.blake2b(raw, digest_size=16).digest()) not in seen and (more := decompress(raw, limit)):
+        seen.add(key)
+        raw, cut = more[0], cut or more[1]
+    return raw, cut
+
+
+def escaped(text: str, token: re.Pattern, one: re.Pattern, limit: int) -> Iterator[tuple[bytes, bool, int, int]]:
+    """Contents of compressed bytes written with escapes: (content, whether cut, start, end). They
+    may start at any byte of a token of escapes and plain characters."""
+    for m in token.finditer(text):
+        if "%" not in m[0] and "\\" not in m[0]:
+            continue
+        raw, at = bytearray(), []
+        for e in one.finditer(m[0]):
+            at.append(m.start() + e.start())
+            raw.append(_C_ESCAPES[e[2]] if e[2] else int(e[1], 16) if e[1] else ord(e[0]))
+        at.append(m.end())
+        raw, done = bytes(raw), 0
+        for start in starts(raw):
+            if start >= done and (more := decompress(raw, limit, start)) is not None:
+                inner, cut = unpacked(more[0], limit)
+                yield inner, cut or more[1], at[start], at[more[2]]
+                done = more[2] if readable(inner, cut or more[1]) is not None else done
+
+
+def starts(raw: bytes) -> Iterator[int]:
+    """The places at which compressed bytes may start."""
+    return (m.start() for m in _START.finditer(raw) if packed(raw[m.start() : m.start() + 6]))
 
 
 def readable(raw: bytes, cut: bool = False) -> str | None:
@@ -194,15 +279,17 @@ def nested(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[set[Finding], int,
         for mark, pattern, pieces in (("%", _URL, url_pieces), ("\\", _UNICODE, unicode_pieces)):
             if mark in layer.text and (inner := in_place(layer, pattern, pieces)):
                 below.append(inner)
+        for mark, token, one in (("%", _URL_TOKEN, _URL_BYTE), ("\\", _X_TOKEN, _X_BYTE)):
+            for raw, cut, start, end in escaped(layer.text, token, one, limit) if mark in layer.text else ():
+                if (inner_text := readable(raw, cut)) is not None:
+                    first, last, _ = layer.place(start, end)
+                    below.append(Layer(inner_text, [(0, first, last)]))
+                    n_cut += cut
         for m in _BASE64.finditer(layer.text):
             raw = base64_bytes(m[0])
             if raw is None:
                 continue
-            cut = False
-            chain = 0
-            while (more := decompress(raw, limit)) is not None and chain < 64:  # 64 nested archives: a chain that ends
-                raw, cut = more[0], cut or more[1]
-                chain += 1
+            raw, cut = unpacked(raw, limit)
             if (inner_text := readable(raw, cut)) is not None:
                 first, last, _ = layer.place(m.start(), m.end())
                 below.append(Layer(inner_text, [(0, first, last)]))

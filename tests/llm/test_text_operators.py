@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import zlib
@@ -170,6 +172,36 @@ def test_nested_secrets(spark, docs, no_docs):
     assert out[0].spans == "" and out[1].n_hex == 0
 
 
+SECRET = "password = hunter2hunter2"
+
+
+def planted(inner, text=None):
+    """The nested layers of a text give the assignment at the place of ``inner``."""
+    text = text or f"é😀 before {inner} after"
+    start = text.index(inner)
+    return (start, 0, start + len(inner)) in nested_secrets.nested(text)[0]
+
+
+def test_every_compressed_layer_is_opened():
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    secret = SECRET.encode()
+    for level in range(10):
+        assert planted(b64(zlib.compress(secret, level))), level
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        assert planted(b64(pack(b"nothing here") + pack(secret))), pack
+        assert planted(b64(pack(secret[:12]) + pack(secret[12:]))), pack
+        raw = pack(b"nothing here" * 9) + pack(secret)
+        assert planted("".join(f"%{b:02x}" for b in raw)) and planted("".join(f"\\x{b:02x}" for b in raw)), pack
+        assert planted("".join(f"\\u{b:04x}" for b in raw)), pack
+        mixed = quote(raw, safe="")
+        assert planted(mixed) and any(k == 0 for _, k, _ in nested_secrets.nested(f"https://h/?q={mixed}&r=1")[0]), pack
+        assert any(k == 0 for _, k, _ in nested_secrets.nested(f"data = {raw!r}")[0]), pack
+    raw = secret
+    for _ in range(150):
+        raw = gzip.compress(raw)
+    assert planted(b64(raw))
+
+
 def test_sentencepiece_ids_and_round_trip(spark, docs, rows, no_docs, pieces):
     import sentencepiece
 
