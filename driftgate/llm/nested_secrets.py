@@ -7,8 +7,11 @@ are compressed bytes written with URL or backslash escapes. Each new layer is sc
 before is not taken again, so a layer that unwraps to itself ends.
 
 Spans are code points of the original text. In-place decoding maps each character back to the
-escape it came from; whatever lies in an encoded run is mapped to that run. A decoded finding is
-added if it touches a decoded character and is not already there; base findings stay.
+escape it came from; whatever lies in an encoded run is mapped to that run, or to its part from
+the ``/``, ``-`` or ``_`` on after which all is text. A base64 run is decoded from each of its first
+four characters on, and compressed bytes may start at any byte. What is not UTF-8 or a control
+character stays in the layer, one character a byte; a layer with such ones counts in ``n_layers``
+if something is found in it. A decoded finding is added if it touches a decoded character and is not already there; base findings stay.
 
 A layer is expanded to at most ``MAX_LAYER_BYTES`` (a guard against decompression bombs); a layer
 that would be larger is scanned up to there and counted in ``n_cut_layers``.
@@ -19,7 +22,6 @@ each; an empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bisect
 import bz2
@@ -50,14 +52,16 @@ _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
 _MAGIC = ((b"\x1f\x8b", "gzip"), (b"BZh", "bzip2"), (b"\xfd7zXZ\x00", "xz"))
-_START = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|[\x08\x18\x28\x38\x48\x58\x68\x78](?=.)", re.S)
+# Zlib headers by their rule (RFC 1950): method 8, the two bytes a multiple of 31, no dictionary.
+_ZLIB = [re.escape(bytes([a])) + b"[" + re.escape(bytes(b for b in range(256) if (a << 8 | b) % 31 == 0 and not b & 32)) + b"]" for a in range(8, 128, 16)]
+_START = re.compile(b"|".join([rb"\x1f\x8b\x08", rb"BZh[1-9](?:1AY&SY|\x17rE8P\x90)", rb"\xfd7zXZ\x00", *_ZLIB]))
 # Bytes written with escapes: the characters that need none stand for themselves.
 _URL_TOKEN = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])+")
 _URL_BYTE = re.compile(r"%(..)|()[!-~]")
 _X_TOKEN = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\U000000[0-9A-Fa-f]{2}|\\[abfnrtv0\\'"]|[ -\[\]-~])+""")
 _X_BYTE = re.compile(r"""\\(?:x|u00|U000000)(..)|\\([abfnrtv0\\'"])|[ -~]""")
 _C_ESCAPES = dict(zip("abfnrtv0\\'\"", b"\x07\x08\x0c\n\r\t\x0b\x00\\'\"", strict=True))
-_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+_BAD = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\ud800-\udfff]")  # a byte that is not UTF-8 is a lone surrogate
 
 Finding = tuple[int, int, int]  # start, kind, end
 
@@ -92,7 +96,7 @@ class Layer:
 
 
 def in_place(layer: Layer, pattern: re.Pattern, decoded) -> Layer | None:
-    """The layer with every match replaced by its decoded characters (null: left as it is)."""
+    """The layer with every match replaced by its decoded characters (null: there is no match)."""
     out: list[str] = []
     edges: list[tuple[int, int, int | None]] = []
     at = size = 0
@@ -111,8 +115,6 @@ def in_place(layer: Layer, pattern: re.Pattern, decoded) -> Layer | None:
     changed = False
     for m in pattern.finditer(layer.text):
         pieces = decoded(m[0])
-        if pieces is None:
-            continue
         changed = True
         copy(m.start())
         for piece, a, b in pieces:  # one character and its escape
@@ -127,45 +129,39 @@ def in_place(layer: Layer, pattern: re.Pattern, decoded) -> Layer | None:
     return Layer("".join(out), edges or [(0, 0, None)])
 
 
-def url_pieces(run: str) -> list[tuple[str, int, int]] | None:
-    raw = bytes.fromhex(run.replace("%", ""))
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
+def url_pieces(run: str) -> list[tuple[str, int, int]]:
     out, at = [], 0
-    for ch in text:
-        n = 3 * len(ch.encode())
+    for ch in text_of(bytes.fromhex(run.replace("%", ""))):
+        n = 3 * len(ch.encode("utf-8", "surrogateescape"))
         out.append((ch, at, at + n))
         at += n
     return out
 
 
-def unicode_pieces(run: str) -> list[tuple[str, int, int]] | None:
+def unicode_pieces(run: str) -> list[tuple[str, int, int]]:
     out: list[tuple[str, int, int]] = []
     for m in re.finditer(r"\\(?:u(....)|U(........)|x(..))", run):
         code = int(m[1] or m[2] or m[3], 16)
-        if code > 0x10FFFF:
-            return None
         if out and 0xDC00 <= code < 0xE000 and 0xD800 <= ord(out[-1][0]) < 0xDC00:
             high = out.pop()
             out.append((chr(0x10000 + ((ord(high[0]) - 0xD800) << 10) + code - 0xDC00), high[1], m.end()))
+        elif code > 0x10FFFF:  # no character: the escape stays
+            out += [(ch, m.start() + i, m.start() + i + 1) for i, ch in enumerate(m[0])]
         else:
             out.append((chr(code), m.start(), m.end()))
-    return None if any(0xD800 <= ord(p[0]) < 0xE000 for p in out) else out
+    return out
 
 
 def packed(head: bytes) -> str | None:
-    """How the bytes that start so are compressed; zlib by its header rule (RFC 1950)."""
-    if len(head) > 1 and head[0] & 15 == 8 and head[0] < 128 and (head[0] << 8 | head[1]) % 31 == 0:
-        return "zlib"
-    return next((k for magic, k in _MAGIC if head.startswith(magic)), None)
+    """How the bytes that start so are compressed."""
+    kind = next((k for magic, k in _MAGIC if head.startswith(magic)), None)
+    return kind or ("zlib" if _START.match(head) else None)
 
 
 def expand(pieces: Iterator[bytes], used: list[int], size: int = PIECE_BYTES) -> Iterator[bytes]:
     """The content of compressed bytes in pieces of at most ``size``: one member after the other, up
     to the end of the input, to what is no member, or to what does not decompress. ``used`` gets
-    the number of input bytes of each member."""
+    the number of input bytes of each whole member."""
     data, pulled, begun = b"", 0, 0
     while True:
         while len(data) < 6 and (more := next(pieces, None)) is not None:
@@ -188,7 +184,6 @@ def expand(pieces: Iterator[bytes], used: list[int], size: int = PIECE_BYTES) ->
                 yield out
             if not opener.eof and not data and len(out) < size:
                 if (data := next(pieces, None)) is None:  # the input ends within a member
-                    used.append(pulled - begun)
                     return
                 pulled += len(data)
         data = opener.unused_data
@@ -204,30 +199,44 @@ def slices(raw: bytes, start: int = 0) -> Iterator[bytes]:
     return (raw[i : i + (1 << 16)] for i in range(start, len(raw), 1 << 16))
 
 
-def decompress(raw: bytes, limit: int, start: int = 0) -> tuple[bytes, bool, int] | None:
+def decompress(raw: bytes, limit: int, start: int = 0) -> tuple[bytes, bool, int, bool] | None:
     """The content of the compressed bytes from ``start`` on, at most ``limit`` bytes, whether it
-    was cut, and where the compressed bytes end."""
+    was cut, where the compressed bytes end, and whether that is the end of a whole member."""
     out, used = bytearray(), []
     for piece in expand(slices(raw, start), used):
         out += piece
         if len(out) > limit:
-            return bytes(out[:limit]), True, len(raw)
-    return (bytes(out), False, start + sum(used) if used else len(raw)) if out else None
+            return bytes(out[:limit]), True, len(raw), False
+    return (bytes(out), False, start + sum(used) if used else len(raw), bool(used)) if out else None
 
 
-def unpacked(raw: bytes, limit: int) -> tuple[bytes, bool]:
-    """The content under all directly nested archives, and whether one was cut. A content that
-    came before ends the chain."""
-    cut, seen = False, set()
-    while (key := hashlib.blake2b(raw, digest_size=16).digest()) not in seen and (more := decompress(raw, limit)):
-        seen.add(key)
-        raw, cut = more[0], cut or more[1]
-    return raw, cut
+def digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def contents(raw: bytes, limit: int) -> Iterator[tuple[bytes, bool, int, int]]:
+    """What compressed bytes anywhere in ``raw`` hold, and those in these: (content, whether cut,
+    start, end), with the place in ``raw``. A content that came before at its place is left out."""
+    seen: set[tuple[bytes, int, int]] = {(digest(raw), 0, len(raw))}
+    work: list[tuple[bytes, tuple[int, int] | None]] = [(raw, None)]
+    while work:
+        data, place = work.pop()
+        done = 0
+        for start in (m.start() for m in _START.finditer(data)):
+            if start < done or (more := decompress(data, limit, start)) is None:
+                continue
+            inner, cut, end, whole = more
+            if whole or plain(text_of(inner)):
+                done = end
+            at = place or (start, end)
+            if (key := (digest(inner), *at)) not in seen:
+                seen.add(key)
+                yield inner, cut, *at
+                work.append((inner, at))
 
 
 def escaped(text: str, token: re.Pattern, one: re.Pattern, limit: int) -> Iterator[tuple[bytes, bool, int, int]]:
-    """Contents of compressed bytes written with escapes: (content, whether cut, start, end). They
-    may start at any byte of a token of escapes and plain characters."""
+    """``contents`` of the tokens of escapes and plain characters in a text, with the place in it."""
     for m in token.finditer(text):
         if "%" not in m[0] and "\\" not in m[0]:
             continue
@@ -236,35 +245,56 @@ def escaped(text: str, token: re.Pattern, one: re.Pattern, limit: int) -> Iterat
             at.append(m.start() + e.start())
             raw.append(_C_ESCAPES[e[2]] if e[2] else int(e[1], 16) if e[1] else ord(e[0]))
         at.append(m.end())
-        raw, done = bytes(raw), 0
-        for start in starts(raw):
-            if start >= done and (more := decompress(raw, limit, start)) is not None:
-                inner, cut = unpacked(more[0], limit)
-                yield inner, cut or more[1], at[start], at[more[2]]
-                done = more[2] if readable(inner, cut or more[1]) is not None else done
+        for inner, cut, start, end in contents(bytes(raw), limit):
+            yield inner, cut, at[start], at[end]
 
 
-def starts(raw: bytes) -> Iterator[int]:
-    """The places at which compressed bytes may start."""
-    return (m.start() for m in _START.finditer(raw) if packed(raw[m.start() : m.start() + 6]))
+def text_of(raw: bytes) -> str:
+    """UTF-8 with a lone surrogate for each byte that is none."""
+    return raw.decode("utf-8", "surrogateescape")
 
 
-def readable(raw: bytes, cut: bool = False) -> str | None:
-    try:
-        text = raw.decode("utf-8", "ignore" if cut else "strict")
-    except UnicodeDecodeError:
-        return None
-    return None if not text or _CONTROL.search(text) else text
+def plain(text: str) -> bool:
+    return bool(text) and not _BAD.search(text)
 
 
-def base64_bytes(run: str) -> bytes | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
+def base64_bytes(run: str, shift: int) -> bytes:
+    """A run decoded from its character ``shift`` on; a single character left over is dropped."""
+    body = run.rstrip("=")[shift:].replace("-", "+").replace("_", "/")
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return binascii.a2b_base64(body + "=" * (-len(body) % 4))
+
+
+def payload(run: str, shift: int, raw: bytes, text: str) -> tuple[int, int] | None:
+    """The first part of a run (after ``/``, ``-`` or ``_``) from which all is plain, if what is
+    before is not: (its first character in ``text``, its place in the run)."""
+    bad = _BAD.search(text[::-1])
+    if bad is None:
         return None
+    clean = len(text) - bad.start()
+    before = len(text[:clean].encode("utf-8", "surrogateescape"))
+    for m in re.compile("[/_-]").finditer(run, shift + -(-before // 3) * 4 - 1 if before else 0):
+        at = (m.end() - shift) // 4 * 3
+        if (m.end() - shift) % 4 == 0 and before <= at < len(raw):
+            return clean + len(text_of(raw[before:at])), m.end()
+    return None
+
+
+def base64_layers(layer: Layer, limit: int) -> Iterator[tuple[Layer, bool]]:
+    """The layers of the base64 runs, and whether each was cut. A payload may start anywhere in a
+    run, so each run is decoded from its first four characters on."""
+    for m in _BASE64.finditer(layer.text):
+        for shift in range(4):
+            raw = base64_bytes(m[0], shift)
+            text = text_of(raw)
+            first, last, _ = layer.place(m.start() + shift, m.end())
+            edges: list[tuple[int, int, int | None]] = [(0, first, last)]
+            if part := payload(m[0], shift, raw, text):
+                edges.append((part[0], *layer.place(m.start() + part[1], m.end())[:2]))
+            yield Layer(text, edges), False
+            for inner, cut, start, _ in contents(raw, limit):
+                first, last, _ = layer.place(m.start() + shift + start * 4 // 3, m.end())
+                yield Layer(text_of(inner), [(0, first, last)]), cut
 
 
 def nested(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[set[Finding], int, int, int]:
@@ -281,27 +311,22 @@ def nested(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[set[Finding], int,
                 below.append(inner)
         for mark, token, one in (("%", _URL_TOKEN, _URL_BYTE), ("\\", _X_TOKEN, _X_BYTE)):
             for raw, cut, start, end in escaped(layer.text, token, one, limit) if mark in layer.text else ():
-                if (inner_text := readable(raw, cut)) is not None:
-                    first, last, _ = layer.place(start, end)
-                    below.append(Layer(inner_text, [(0, first, last)]))
-                    n_cut += cut
-        for m in _BASE64.finditer(layer.text):
-            raw = base64_bytes(m[0])
-            if raw is None:
-                continue
-            raw, cut = unpacked(raw, limit)
-            if (inner_text := readable(raw, cut)) is not None:
-                first, last, _ = layer.place(m.start(), m.end())
-                below.append(Layer(inner_text, [(0, first, last)]))
+                first, last, _ = layer.place(start, end)
+                below.append(Layer(text_of(raw), [(0, first, last)]))
                 n_cut += cut
+        for inner, was_cut in base64_layers(layer, limit):
+            below.append(inner)
+            n_cut += was_cut
         for inner in below:
             first, last, _ = inner.place(0, len(inner.text))
-            key = (hashlib.blake2b(inner.text.encode(), digest_size=16).digest(), first, last)
+            key = (digest(inner.text.encode("utf-8", "surrogatepass")), first, last)
             if key in seen:
                 continue
             seen.add(key)
-            n_layers, deepest = n_layers + 1, max(deepest, depth + 1)
-            for start, kind, end in scan(inner.text):
+            secrets = scan(inner.text)
+            if secrets or plain(inner.text):
+                n_layers, deepest = n_layers + 1, max(deepest, depth + 1)
+            for start, kind, end in secrets:
                 a, b, decoded = inner.place(start, end)
                 if decoded:
                     found.add((a, kind, b))

@@ -202,6 +202,26 @@ def test_every_compressed_layer_is_opened():
     assert planted(b64(raw))
 
 
+def test_bad_neighbours_do_not_hide_a_layer():
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    secret = SECRET.encode()
+    for payload in (b64(secret), b64(zlib.compress(secret, 3))):
+        for before in ("https://h/", "payload_", "a/b-c/", "x_y_"):
+            assert planted(payload, f"go {before}{payload} on"), before
+        for before in ("", "a", "ab", "abc", "https://h/"):
+            for after in ("", "/x", "_v2", "-abc", "a"):
+                found = nested_secrets.nested(f"go {before}{payload.rstrip('=')}{after} on")[0]
+                assert any(k == 0 for _, k, _ in found), (payload, before, after)
+    for bad in (b"\x00", b"\x1b[0m", b"\xe9", b"\xff\xfe"):
+        for raw in (bad + b" " + secret, secret + b" " + bad, secret + b" " + bad + b" x"):
+            assert planted(b64(raw)) and planted(b64(gzip.compress(raw))), raw
+            run = "".join(f"%{b:02X}" for b in raw)
+            assert any(k == 0 for _, k, _ in nested_secrets.nested(f"a {run} b")[0]), raw
+    run = "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    assert nested_secrets.nested("\\ud800" + run)[0] == nested_secrets.nested("\\u0041" + run)[0] != set()
+    assert nested_secrets.nested("\\Uffffffff" + run)[0] != set()
+
+
 def test_sentencepiece_ids_and_round_trip(spark, docs, rows, no_docs, pieces):
     import sentencepiece
 
