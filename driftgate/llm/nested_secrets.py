@@ -13,8 +13,10 @@ four characters on, and compressed bytes may start at any byte. What is not UTF-
 character stays in the layer, one character a byte; a layer with such ones counts in ``n_layers``
 if something is found in it. A decoded finding is added if it touches a decoded character and is not already there; base findings stay.
 
-A layer is expanded to at most ``MAX_LAYER_BYTES`` (a guard against decompression bombs); a layer
-that would be larger is scanned up to there and counted in ``n_cut_layers``.
+The content of an archive that is larger than ``MAX_LAYER_BYTES`` is not held: it is scanned whole, in
+pieces that end at a character which no pattern takes, and a longer stretch without one as a stream
+with the unfinished match carried over. Its encoded runs and archives are read again from their
+start. ``n_cut_layers`` counts the contents taken in pieces, and ``n_layers`` each piece for itself.
 
 Defined results: a null text is empty and has no findings; repeated rows get equal results, one
 each; an empty table gives an empty result. Other columns are not read.
@@ -25,11 +27,14 @@ from __future__ import annotations
 import binascii
 import bisect
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
+from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -63,7 +68,13 @@ _X_BYTE = re.compile(r"""\\(?:x|u00|U000000)(..)|\\([abfnrtv0\\'"])|[ -~]""")
 _C_ESCAPES = dict(zip("abfnrtv0\\'\"", b"\x07\x08\x0c\n\r\t\x0b\x00\\'\"", strict=True))
 _BAD = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\ud800-\udfff]")  # a byte that is not UTF-8 is a lone surrogate
 
+_EDGE = re.compile(r"[^\x20-~]")  # no pattern and no token takes one
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_LOOK, _TAIL = 1 << 16, 64  # bytes seen of what may be an archive; characters carried over
+
 Finding = tuple[int, int, int]  # start, kind, end
+Bytes = Callable[[], Iterator[bytes]]  # content read anew by each call
+Texts = Callable[[], Iterator[str]]
 
 
 def scan(text: str) -> list[Finding]:
@@ -199,43 +210,247 @@ def slices(raw: bytes, start: int = 0) -> Iterator[bytes]:
     return (raw[i : i + (1 << 16)] for i in range(start, len(raw), 1 << 16))
 
 
-def decompress(raw: bytes, limit: int, start: int = 0) -> tuple[bytes, bool, int, bool] | None:
-    """The content of the compressed bytes from ``start`` on, at most ``limit`` bytes, whether it
-    was cut, where the compressed bytes end, and whether that is the end of a whole member."""
-    out, used = bytearray(), []
-    for piece in expand(slices(raw, start), used):
-        out += piece
-        if len(out) > limit:
-            return bytes(out[:limit]), True, len(raw), False
-    return (bytes(out), False, start + sum(used) if used else len(raw), bool(used)) if out else None
+def later(source: Bytes, at: int) -> Iterator[bytes]:
+    """The pieces from byte ``at`` on."""
+    for piece in source():
+        if at < len(piece):
+            yield piece[at:]
+        at = max(0, at - len(piece))
+
+
+def windows(source: Bytes) -> Iterator[tuple[bytes, int, int]]:
+    """(window, its place, how many of its bytes are no start of the next window)."""
+    data, base = b"", 0
+    for piece in source():
+        data += piece
+        if len(data) >= 4 * _LOOK:
+            yield data, base, len(data) - _LOOK
+            base, data = base + len(data) - _LOOK, data[-_LOOK:]
+    yield data, base, len(data)
+
+
+class Room:
+    """What is held of a content at most, and how many contents were larger."""
+
+    def __init__(self, limit: int):
+        self.limit, self.piece, self.n_cut = limit, min(limit, PIECE_BYTES), 0
+
+    def hold(self, packed_bytes: Bytes) -> tuple[bytes | Bytes, bytes, int] | None:
+        """The content of compressed bytes, held or to be read anew; its digest; how many bytes
+        its whole members take."""
+        used: list[int] = []
+        out, key, size = bytearray(), hashlib.blake2b(digest_size=16), 0
+        for piece in expand(packed_bytes(), used):
+            key.update(piece)
+            size += len(piece)
+            if size <= self.limit:
+                out += piece
+            else:
+                out = bytearray()
+        if size > self.limit:
+            self.n_cut += 1
+            return (lambda: expand(packed_bytes(), [])), key.digest(), sum(used)
+        return (bytes(out), key.digest(), sum(used)) if size else None
 
 
 def digest(raw: bytes) -> bytes:
     return hashlib.blake2b(raw, digest_size=16).digest()
 
 
-def contents(raw: bytes, limit: int) -> Iterator[tuple[bytes, bool, int, int]]:
-    """What compressed bytes anywhere in ``raw`` hold, and those in these: (content, whether cut,
-    start, end), with the place in ``raw``. A content that came before at its place is left out."""
-    seen: set[tuple[bytes, int, int]] = {(digest(raw), 0, len(raw))}
-    work: list[tuple[bytes, tuple[int, int] | None]] = [(raw, None)]
+def contents(source: Bytes, room: Room, seen: set, place: tuple[int, int] | None = None) -> Iterator[tuple[bytes | Bytes, int, int]]:
+    """What compressed bytes anywhere in ``source`` hold, and those in these: (content, start,
+    end), with the place in the source or the given one. A content seen at its place is left out."""
+    work: list[tuple[Bytes, tuple[int, int] | None]] = [(source, place)]
     while work:
         data, place = work.pop()
         done = 0
-        for start in (m.start() for m in _START.finditer(data)):
-            if start < done or (more := decompress(data, limit, start)) is None:
+        for window, base, mine in windows(data):
+            for m in _START.finditer(window):
+                if m.start() >= mine:
+                    break
+                if (start := base + m.start()) < done:
+                    continue
+                feed = lambda w=window, i=m.start(), d=data, end=base + len(window): chain(slices(w, i), later(d, end))
+                if (held := room.hold(feed)) is None:
+                    continue
+                inner, key, n_used = held
+                end = start + n_used if n_used else base + len(window)
+                if n_used or callable(inner) or plain(text_of(inner)):
+                    done = end
+                at = place or (start, end)
+                if (key, *at) not in seen:
+                    seen.add((key, *at))
+                    yield inner, *at
+                    work.append((inner if callable(inner) else lambda x=inner: iter((x,)), at))
+
+
+def texts_of(content: bytes | Bytes, room: Room, seen: set, at: tuple[int, int]) -> Iterator[str]:
+    """A content as text, in pieces if it is not held."""
+    if callable(content):
+        yield from in_pieces(lambda: decoded(content), room, seen, at)
+    else:
+        yield text_of(content)
+
+
+def decoded(source: Bytes) -> Iterator[str]:
+    decoder = codecs.getincrementaldecoder("utf-8")("surrogateescape")
+    for piece in source():
+        yield decoder.decode(piece)
+    yield decoder.decode(b"", True)
+
+
+def in_pieces(texts: Texts, room: Room, seen: set, at: tuple[int, int]) -> Iterator[str]:
+    """A text in pieces that no match crosses; a long stretch that has no place to cut as what its
+    matches and layers are."""
+    rest, base, long = "", 0, None  # the text not yet given, its place, where a long stretch began
+    for text in chain(texts(), [None]):
+        ends = text is None
+        rest += text or ""
+        if long is not None:
+            edge = _EDGE.search(rest)
+            upto = edge.start() if edge else len(rest)
+            base, rest = base + upto, rest[upto:]
+            if not edge and not ends:
                 continue
-            inner, cut, end, whole = more
-            if whole or plain(text_of(inner)):
-                done = end
-            at = place or (start, end)
-            if (key := (digest(inner), *at)) not in seen:
-                seen.add(key)
-                yield inner, cut, *at
-                work.append((inner, at))
-
-
-def escaped(text: str, token: re.Pattern, one: re.Pattern, limit: int) -> Iterator[tuple[bytes, bool, int, int]]:
+            yield from stretched(lambda a=long, b=base: between(texts, a, b), room, seen, at)
+            long = None
+        if len(rest) < room.piece and not ends:
+            continue
+        edge = None if ends else _EDGE.search(rest[::-1])
+        if ends or edge:
+            upto = len(rest) - edge.start() if edge else len(rest)
+            if upto:
+                yield rest[:upto]
+            base, rest = base + upto, rest[upto:]
+        if len(rest) >= room.piece:
+            long, base, rest = base, base + len(rest), ""
+
+
+def between(texts: Texts, a: int, b: int) -> Iterator[str]:
+    at = 0
+    for text in texts():
+        if at >= b:
+            return
+        if part := text[max(0, a - at) : b - at]:
+            yield part
+        at += len(text)
+
+
+def stretched(texts: Texts, room: Room, seen: set, at: tuple[int, int]) -> Iterator[str]:
+    """The matches of a long stretch of plain ASCII, and the texts of its layers."""
+    yield from matches(texts())
+    if any("%" in t for t in texts()):
+        yield from in_stream(lambda: url_bytes(texts()), room, seen, at)
+    if any("\\" in t for t in texts()):
+        yield from in_pieces(lambda: unicode_texts(texts()), room, seen, at)
+        for inner, *_ in contents(lambda: backslash_bytes(texts()), room, seen, at):
+            yield from texts_of(inner, room, seen, at)
+    for a, b in runs(texts()):
+        run = lambda a=a, b=b: between(texts, a, b)
+        if b - a <= room.piece:
+            yield "".join(run())
+        else:
+            for shift in range(4):
+                yield from in_stream(lambda r=run, s=shift: base64_stream(r(), s), room, seen, at)
+
+
+def in_stream(source: Bytes, room: Room, seen: set, at: tuple[int, int]) -> Iterator[str]:
+    yield from texts_of(source, room, seen, at)
+    for inner, *_ in contents(source, room, seen, at):
+        yield from texts_of(inner, room, seen, at)
+
+
+def matches(texts: Iterator[str]) -> Iterator[str]:
+    """The start of a match of each kind that the text has. Any number of spaces is one."""
+    carry, skip, left = "", 0, {0, 1, 2}
+    for piece in texts:
+        text = re.sub(r"\x20{2,}", " ", carry + piece)
+        done = skip
+        for m in _ASSIGN.finditer(text, skip) if 0 in left else ():
+            if len(m[2]) >= _ASSIGN_MIN:
+                yield m[0][: m.start(2) - m.start() + _ASSIGN_MIN]
+                left.discard(0)
+                break
+            if m.end() < len(text):
+                done = m.end()
+        for kind, pattern, least in ((1, _ACCESS, _ACCESS_MIN), (2, _HEX, 24)):
+            if kind in left and (m := next((m for m in pattern.finditer(text) if len(m[0]) >= least), None)):
+                yield m[0][:least]
+                left.discard(kind)
+        if not left:
+            return
+        carry = text[-_TAIL:]
+        skip = max(0, done - (len(text) - len(carry)))
+
+
+def runs(texts: Iterator[str]) -> Iterator[tuple[int, int]]:
+    """The places of the base64 runs."""
+    at, begun, end = 0, 0, 0
+    for text in texts:
+        for m in _RUN.finditer(text):
+            if at + m.start() > end or end == 0:
+                if end - begun >= MIN_BASE64:
+                    yield begun, end
+                begun = at + m.start()
+            end = at + m.end()
+        at += len(text)
+    if end - begun >= MIN_BASE64:
+        yield begun, end
+
+
+def base64_stream(texts: Iterator[str], shift: int) -> Iterator[bytes]:
+    rest, skip = "", shift
+    for text in texts:
+        skip, rest = max(0, skip - len(text)), rest + text[skip:]
+        upto = len(rest) // 4 * 4
+        if upto:
+            yield base64_bytes(rest[:upto], 0)
+        rest = rest[upto:]
+    yield base64_bytes(rest, 0)
+
+
+def url_bytes(texts: Iterator[str]) -> Iterator[bytes]:
+    rest = ""
+    for text in texts:
+        rest += text
+        upto = rest.rfind("%", max(0, len(rest) - 2))
+        upto = len(rest) if upto < 0 else upto
+        yield unquote_to_bytes(rest[:upto])
+        rest = rest[upto:]
+    yield unquote_to_bytes(rest)
+
+
+def unicode_texts(texts: Iterator[str]) -> Iterator[str]:
+    rest = ""
+    for text in chain(texts, [None]):
+        rest += text or ""
+        upto = rest.find("\\", max(0, len(rest) - 24)) if text is not None else -1
+        upto = len(rest) if upto < 0 else upto
+        if half := re.search(r"\\(?:u|U0000)[dD][89abAB]..\Z", rest[max(0, upto - 10) : upto]) if text is not None else None:
+            upto -= len(half[0])  # half of a pair
+        yield _UNICODE.sub(lambda m: "".join(p[0] for p in unicode_pieces(m[0])), rest[:upto])
+        rest = rest[upto:]
+
+
+def backslash_bytes(texts: Iterator[str]) -> Iterator[bytes]:
+    rest = ""
+    for text in chain(texts, [None]):
+        rest += text or ""
+        out, upto = bytearray(), 0
+        for m in _X_BYTE.finditer(rest):
+            if text is not None and m.start() > len(rest) - 10:
+                break
+            out.append(byte_of(m))
+            upto = m.end()
+        yield bytes(out)
+        rest = rest[upto:]
+
+
+def byte_of(m: re.Match) -> int:
+    return _C_ESCAPES[m[2]] if m[2] else int(m[1], 16) if m[1] else ord(m[0])
+
+
+def escaped(text: str, token: re.Pattern, one: re.Pattern, room: Room) -> Iterator[tuple[bytes | Bytes, int, int]]:
     """``contents`` of the tokens of escapes and plain characters in a text, with the place in it."""
     for m in token.finditer(text):
         if "%" not in m[0] and "\\" not in m[0]:
@@ -243,10 +458,10 @@ def escaped(text: str, token: re.Pattern, one: re.Pattern, limit: int) -> Iterat
         raw, at = bytearray(), []
         for e in one.finditer(m[0]):
             at.append(m.start() + e.start())
-            raw.append(_C_ESCAPES[e[2]] if e[2] else int(e[1], 16) if e[1] else ord(e[0]))
+            raw.append(byte_of(e))
         at.append(m.end())
-        for inner, cut, start, end in contents(bytes(raw), limit):
-            yield inner, cut, at[start], at[end]
+        for inner, start, end in contents(lambda x=bytes(raw): iter((x,)), room, set()):
+            yield inner, at[start], at[min(end, len(raw))]
 
 
 def text_of(raw: bytes) -> str:
@@ -280,9 +495,9 @@ def payload(run: str, shift: int, raw: bytes, text: str) -> tuple[int, int] | No
     return None
 
 
-def base64_layers(layer: Layer, limit: int) -> Iterator[tuple[Layer, bool]]:
-    """The layers of the base64 runs, and whether each was cut. A payload may start anywhere in a
-    run, so each run is decoded from its first four characters on."""
+def base64_layers(layer: Layer, room: Room) -> Iterator[Layer]:
+    """The layers of the base64 runs. A payload may start anywhere in a run, so each run is decoded
+    from each of its first four characters on."""
     for m in _BASE64.finditer(layer.text):
         for shift in range(4):
             raw = base64_bytes(m[0], shift)
@@ -291,47 +506,52 @@ def base64_layers(layer: Layer, limit: int) -> Iterator[tuple[Layer, bool]]:
             edges: list[tuple[int, int, int | None]] = [(0, first, last)]
             if part := payload(m[0], shift, raw, text):
                 edges.append((part[0], *layer.place(m.start() + part[1], m.end())[:2]))
-            yield Layer(text, edges), False
-            for inner, cut, start, _ in contents(raw, limit):
+            yield Layer(text, edges)
+            for inner, start, _ in contents(lambda x=raw: iter((x,)), room, set()):
                 first, last, _ = layer.place(m.start() + shift + start * 4 // 3, m.end())
-                yield Layer(text_of(inner), [(0, first, last)]), cut
+                for piece in texts_of(inner, room, set(), (first, last)):
+                    yield Layer(piece, [(0, first, last)])
+
+
+def layers_in(layer: Layer, room: Room) -> Iterator[Layer]:
+    """The layers that lie directly in a layer."""
+    for mark, pattern, pieces in (("%", _URL, url_pieces), ("\\", _UNICODE, unicode_pieces)):
+        if mark in layer.text and (inner := in_place(layer, pattern, pieces)):
+            yield inner
+    for mark, token, one in (("%", _URL_TOKEN, _URL_BYTE), ("\\", _X_TOKEN, _X_BYTE)):
+        for inner, start, end in escaped(layer.text, token, one, room) if mark in layer.text else ():
+            first, last, _ = layer.place(start, end)
+            for piece in texts_of(inner, room, set(), (first, last)):
+                yield Layer(piece, [(0, first, last)])
+    yield from base64_layers(layer, room)
 
 
 def nested(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[set[Finding], int, int, int]:
-    """Findings of all decoded layers, the number of layers, the deepest one and how many were cut."""
+    """Findings of all decoded layers, the number of layers, the deepest one and how many contents
+    were taken in pieces because they are larger than ``limit``."""
     found: set[Finding] = set()
     seen: set[tuple[bytes, int, int]] = set()
-    n_layers = deepest = n_cut = 0
-    work: list[tuple[Layer, int]] = [(Layer(text, [(0, 0, None)]), 0)]
+    n_layers = deepest = 0
+    room = Room(limit)
+    work = [layers_in(Layer(text, [(0, 0, None)]), room)]
     while work:
-        layer, depth = work.pop()
-        below: list[Layer] = []
-        for mark, pattern, pieces in (("%", _URL, url_pieces), ("\\", _UNICODE, unicode_pieces)):
-            if mark in layer.text and (inner := in_place(layer, pattern, pieces)):
-                below.append(inner)
-        for mark, token, one in (("%", _URL_TOKEN, _URL_BYTE), ("\\", _X_TOKEN, _X_BYTE)):
-            for raw, cut, start, end in escaped(layer.text, token, one, limit) if mark in layer.text else ():
-                first, last, _ = layer.place(start, end)
-                below.append(Layer(text_of(raw), [(0, first, last)]))
-                n_cut += cut
-        for inner, was_cut in base64_layers(layer, limit):
-            below.append(inner)
-            n_cut += was_cut
-        for inner in below:
-            first, last, _ = inner.place(0, len(inner.text))
-            key = (digest(inner.text.encode("utf-8", "surrogatepass")), first, last)
-            if key in seen:
-                continue
-            seen.add(key)
-            secrets = scan(inner.text)
-            if secrets or plain(inner.text):
-                n_layers, deepest = n_layers + 1, max(deepest, depth + 1)
-            for start, kind, end in secrets:
-                a, b, decoded = inner.place(start, end)
-                if decoded:
-                    found.add((a, kind, b))
-            work.append((inner, depth + 1))
-    return found, n_layers, deepest, n_cut
+        if (inner := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        first, last, _ = inner.place(0, len(inner.text))
+        key = (digest(inner.text.encode("utf-8", "surrogatepass")), first, last)
+        if key in seen:
+            continue
+        seen.add(key)
+        secrets = scan(inner.text)
+        if secrets or plain(inner.text):
+            n_layers, deepest = n_layers + 1, max(deepest, len(work))
+        for start, kind, end in secrets:
+            a, b, inside = inner.place(start, end)
+            if inside:
+                found.add((a, kind, b))
+        work.append(layers_in(inner, room))
+    return found, n_layers, deepest, room.n_cut
 
 
 def told(findings: list[Finding]) -> str:

@@ -222,6 +222,31 @@ def test_bad_neighbours_do_not_hide_a_layer():
     assert nested_secrets.nested("\\Uffffffff" + run)[0] != set()
 
 
+def test_large_layers_are_scanned_whole():
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    secret, rnd = SECRET.encode(), random.Random(7)
+    noise = b64(rnd.randbytes(600)).replace("=", "").encode()
+    wraps = {
+        "plain": lambda x: x, "url": lambda x: "".join(f"%{c:02x}" for c in x).encode(), "base64": base64.b64encode, "zip": lambda x: b64(zlib.compress(x, 4)).encode(),
+        "unicode": lambda x: "".join(f"\\u{c:04x}" for c in x).encode(), "hexed": lambda x: "".join(f"\\x{c:02x}" for c in gzip.compress(x)).encode(),
+        "urlzip": lambda x: quote(bz2.compress(x), safe="").encode(), "raw": lambda x: gzip.compress(x),
+    }
+    for a, outer in wraps.items():
+        for b, inner in wraps.items():
+            for gap, fill in ((b"~", noise), (b"\n", b"word\n" * 300)):
+                layer = outer(fill + gap + inner(fill + gap + secret + gap + fill))
+                text = "x " + b64(gzip.compress(b"0\n" * 600 + layer)) + " y"
+                whole, pieces = nested_secrets.nested(text), nested_secrets.nested(text, limit=1000)
+                assert whole[3] == 0 and pieces[3] > 0, (a, b)
+                assert (2, 0, len(text) - 2) in whole[0] and {f for f in whole[0] if f[1] == 0} == {f for f in pieces[0] if f[1] == 0}, (a, b, gap)
+    for kind, one in ((0, b"token" + b" " * 5000 + b"=" + b" " * 5000 + b"abcdef"), (1, b"AKIA" + b"A1" * 8), (2, b"0a" * 12)):
+        for at in range(970, 1030, 3):
+            text = b64(zlib.compress(b"~" * at + one + b"~" * 3000))
+            assert nested_secrets.nested(text, limit=1000)[0] == {(0, kind, len(text))}
+    bomb = b64(gzip.compress(b"0\n" * (12 << 20) + secret))
+    assert planted(bomb) and planted(b64(gzip.compress(b"~" * (24 << 20) + secret)))
+
+
 def test_sentencepiece_ids_and_round_trip(spark, docs, rows, no_docs, pieces):
     import sentencepiece
 
