@@ -149,6 +149,19 @@ def test_line_dedup(docs, no_docs):
     assert site_lines.drop_boilerplate(docs).columns == docs.columns and site_lines.drop_boilerplate(no_docs).count() == 0
 
 
+def test_line_dedup_with_its_own_values(spark):
+    rows, want = [], 0
+    for host, n_pages, share in (("large", 2000, 0.35), ("hot", 20_000, 0.5), ("under", 2000, 0.25), ("small", 12, 1.0), ("tiny", 9, 1.0)):
+        n_footer = int(n_pages * share)
+        rows += [(f"{host}{i}", host, f"own line {i} of {host}" + ("\nfooter" if i < n_footer else "")) for i in range(n_pages)]
+        want += n_footer if host in ("large", "hot", "small") else 0
+    df = spark.createDataFrame(rows, "doc_id string, source string, text string")
+    out = site_lines.drop_boilerplate(df, dropped_col="gone")
+    assert out.agg(F.sum("gone")).first()[0] == want
+    kept = {r.source for r in out.filter(F.col("text").contains("footer")).select("source").distinct().collect()}
+    assert kept == {"under", "tiny"}  # under the ratio, under the page floor
+
+
 def test_copies_are_not_boilerplate(spark):
     df = spark.createDataFrame([(i, "h", "the same page\nof a group of copies") for i in range(60)] + [(100 + i, "h", f"own page {i}") for i in range(30)], "doc_id int, source string, text string")
     assert site_lines.drop_boilerplate(df, dropped_col="gone").agg(F.sum("gone")).first()[0] == 0
