@@ -4,7 +4,8 @@ Labelled page outcomes (bad or not) are counted per host and shrunk through beta
 down the hierarchy all pages > suffix > registered domain > host: each level's prior has the mean
 of the level above and a strength estimated from how much the level's own rates spread (the
 moment estimator of the beta-binomial). A url is blocked if the lower posterior bound of its
-host's bad rate is above ``max_bad_rate``; a host without labels has its domain's posterior.
+host's bad rate is above ``max_bad_rate`` or, if ``times_corpus`` is given, above that multiple of the bad
+rate of all labelled pages; a host without labels has its domain's posterior.
 
 Outcomes are counted per host with partial sums; the levels above are sums of host rows, so a hot
 host is one row. The four numbers of each level's prior are the only rows that reach the driver.
@@ -76,7 +77,7 @@ def strength(groups: DataFrame, prior: str) -> float:
 
 def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """``pages`` (page_id, host), ``outcomes`` (page_id, bad 0/1): one row per host of the pages
-    with its posterior (n, bad, alpha, beta). No labels: no rows."""
+    with its posterior (n, bad, alpha, beta) and the bad rate of all (corpus). No labels: no rows."""
     truth = outcomes.groupBy("page_id").agg(F.max("bad").alias("bad")).filter(F.col("bad").isNotNull())
     domain, suffix = levels(F.col("host"))
     marked = pages.join(truth, "page_id", "left")
@@ -84,7 +85,7 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     hosts = written(hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad"), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     if not total.n:
-        return hosts.select("host", "n", "bad", F.lit(0.0).alias("alpha"), F.lit(0.0).alias("beta")).limit(0)
+        return hosts.select("host", "n", "bad", F.lit(0.0).alias("alpha"), F.lit(0.0).alias("beta"), F.lit(0.0).alias("corpus")).limit(0)
     mean = F.lit((total.bad + 0.5) / (total.n + 1.0))
 
     def level(key: str, above: DataFrame | None, up: str | None) -> DataFrame:
@@ -102,6 +103,7 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     return rated.select(
         "host", "n", "bad", (F.col("bad") + k * F.col("prior")).alias("alpha"),
         (F.col("n") - F.col("bad") + k * (1 - F.col("prior"))).alias("beta"),
+        F.lit(total.bad / total.n).alias("corpus"),
     )
 
 
@@ -111,13 +113,14 @@ def lower_bound(z: float = BOUND_Z) -> Column:
     return F.greatest(F.lit(0.0), a / (a + b) - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, max_bad_rate: float = MAX_BAD_RATE) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, max_bad_rate: float = MAX_BAD_RATE, times_corpus: float | None = None) -> DataFrame:
     """One row per page: (id, host, path, rule, verdict, host_labels, bad_rate_bound)."""
     host, path = url_parts(F.col(url_col))
     thin = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    known = reputation(thin, outcomes).select("host", F.col("n").alias("host_labels"), lower_bound().alias("bound"))
+    known = reputation(thin, outcomes).select("host", F.col("n").alias("host_labels"), lower_bound().alias("bound"), "corpus")
+    most = F.lit(max_bad_rate) if times_corpus is None else F.lit(times_corpus) * F.col("corpus")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    learned = F.when(F.col("bound") > max_bad_rate, "block").otherwise("allow")
+    learned = F.when(F.col("bound") > most, "block").otherwise("allow")
     out = thin.join(known, "host", "left")
     return out.select(
         F.col("page_id").alias(id_col), "host", "path", name.alias("rule"), F.coalesce(verdict, learned).alias("verdict"),

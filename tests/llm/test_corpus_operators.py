@@ -237,6 +237,15 @@ def test_host_levels(spark):
     ]
 
 
+def test_host_reputation_relative_to_the_corpus(spark):
+    hosts = [("bad.org", 200, 80)] + [(f"h{i}.org", 200, 10) for i in range(9)]
+    rows = [(f"{h}-{i}", f"http://{h}/p{i}", int(i < bad)) for h, n, bad in hosts for i in range(n)]
+    df = spark.createDataFrame(rows, "page_id string, url string, bad int")
+    blocked = lambda **how: {r.host for r in host_reputation.judge(df, df.select("page_id", "bad"), rules=(), **how).filter("verdict = 'block'").collect()}
+    assert blocked() == set()  # 0.4 is under the absolute threshold
+    assert blocked(times_corpus=2.0) == {"bad.org"} and blocked(times_corpus=8.0) == set()
+
+
 def test_pipeline_stages(spark, docs, rows, benchmark, labels, tmp_path):
     import corpus_pipeline as C
 
