@@ -6,11 +6,13 @@ non-space with the single space before it, and what is left of longer runs of wh
 library encodes each distinct unit once, and a text's ids are its units' ids in order. This
 equals encoding the text whole (tested over all of Unicode's white space). A text that holds an
 added token's string, or one of the ASCII separators 0x1C to 0x1F on which definitions of white
-space differ, is encoded whole.
+space differ, is encoded whole. So is every text with a tokenizer that is not known to be of that
+kind (``by_units``).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -44,12 +46,25 @@ class _Units(dict):
         return packed
 
 
+def by_units(tokenizer) -> bool:
+    """Whether a tokenizer encodes a text's units one by one as it encodes the text: byte-level BPE
+    with the built-in split pattern and nothing that looks at or changes the whole text."""
+    split = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex") is True and split.get("add_prefix_space") is False
+    added = tokenizer.get_added_tokens_decoder().values()
+    return (
+        usual and tokenizer.normalizer is None and type(tokenizer.model).__name__ == "BPE" and not tokenizer.model.dropout
+        and tokenizer.truncation is None and tokenizer.padding is None and not any(t.lstrip or t.rstrip for t in added)
+    )
+
+
 class Encoder:
     def __init__(self, path: str, offsets: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.offsets = Tokenizer.from_file(path), offsets
+        self.by_units = by_units(self.tokenizer)
         self.added = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain, self.spaced = _Units(self._encode, ""), _Units(self._encode, " ")
 
@@ -91,7 +106,7 @@ class Encoder:
         return packed, lengths
 
     def _whole(self, text: str) -> bool:
-        return bool(_SEPARATORS.search(text)) or any(a in text for a in self.added)
+        return not self.by_units or bool(_SEPARATORS.search(text)) or any(a in text for a in self.added)
 
     def ids(self, text: str) -> bytes:
         """The ids as packed int32."""

@@ -53,6 +53,26 @@ def test_cached_encoding_equals_whole_encoding(library):
         assert rows[:, 0].tolist() == want.ids and [tuple(x) for x in rows[:, 1:].tolist()] == want.offsets, repr(t)
 
 
+def test_other_tokenizers_encode_whole(library, tmp_path):
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    assert tokens.Encoder(tokenizer(BPE)).by_units
+    texts = ["  Two  words\n\nand a third ", "a", " a", "one two", "x  Y"]
+    others = {
+        "prefix": {"pre_tokenizer": pre_tokenizers.ByteLevel(add_prefix_space=True)},
+        "joined": {"pre_tokenizer": pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)},
+        "stripped": {"normalizer": normalizers.Strip()}, "replaced": {"normalizer": normalizers.Replace("o w", "x")},
+    }
+    for name, parts in others.items():
+        other = Tokenizer.from_str(library.to_str())
+        for part, value in parts.items():
+            setattr(other, part, value)
+        other.save(path := str(tmp_path / name))
+        encode = tokens.Encoder(path)
+        for t in texts:
+            assert np.frombuffer(encode.ids(t), np.int32).tolist() == other.encode(t, add_special_tokens=False).ids, (name, t)
+
+
 def test_token_attribution(spark, docs, rows, no_docs, library):
     out = token_attribution.attribute(docs, tokenizer(BPE)).collect()
     by_doc = Counter()
