@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.llm import (
+    contextual_pii,
     decision_list,
     decontaminate,
     host_reputation,
     nested_secrets,
+    oracle_sql as long_sql,
     phrase_automata,
     piece_lattice,
     simhash_ring,
     site_lines,
     token_attribution,
     token_frames,
+    turn_repair,
+    whitening,
 )
 from driftgate.llm.common import read
 from driftgate.session import scratch_path
@@ -87,6 +91,20 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(read(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contextual_pii.find(read(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in contextual_pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_found")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 SQL = {}
 
 SQL["op4_substring_dedup"] = """
@@ -149,6 +167,9 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(hit.n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+SQL["op11_conversation_repair"] = long_sql.CONVERSATION_REPAIR
+SQL["op12_pii"] = long_sql.pii_sql()
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scans": op2_secret_scans,
@@ -160,6 +181,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_pii": op12_pii,
+    "op13_whitening": op13_whitening,
 }
 
 
