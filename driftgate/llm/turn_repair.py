@@ -42,6 +42,8 @@ from driftgate.llm.common import ship
 #: A segment ends at this many rows or characters.
 SEGMENT_ROWS = 256
 SEGMENT_CHARS = 4_000_000
+#: A task remembers this many searches over up to so many rows.
+REMEMBERED, REMEMBERED_ROWS = 100_000, 16
 
 # Fixed values of the contract: costs of the edits, and what counts as space and as a sentence's end.
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 3, 4, 3, 3
@@ -132,11 +134,25 @@ def replay(codes: list[str], edits: str, entry: int) -> Iterator[tuple[int | Non
         state, at = state_after, at + used
 
 
+class _Solved(dict):
+    """Searches done before by a task: most conversations are short, and their codes recur."""
+
+    def search(self, codes: list[str], entry: int, goals: tuple[int, ...], tail: bool) -> tuple[int, str, int] | None:
+        if len(codes) > REMEMBERED_ROWS:
+            return search(codes, entry, goals, tail)
+        key = (*codes, entry, goals, tail)
+        if key not in self:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = search(codes, entry, goals, tail)
+        return self[key]
+
+
 class _Conversation:
     """One conversation, read row by row in order."""
 
-    def __init__(self, conv_id):
-        self.id = conv_id
+    def __init__(self, conv_id, solved: _Solved):
+        self.id, self.solved = conv_id, solved
         self.counts = {"blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0}
         self.low = self.high = self.last_turn = self.initial = None
         self.turns = 0
@@ -170,7 +186,7 @@ class _Conversation:
         found = {}
         for entry, (cost, edits, digest) in self.ways.items():
             for goal in goals:
-                piece = search(self.codes, entry, (goal,), tail)
+                piece = self.solved.search(self.codes, entry, (goal,), tail)
                 if piece:
                     whole = (cost + piece[0], edits + piece[1])
                     if goal not in found or whole < found[goal][0]:
@@ -246,7 +262,7 @@ def _repair(rows: DataFrame) -> DataFrame:
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_one, out, conv_type = None, [], pa.null()
+        open_one, out, conv_type, solved = None, [], pa.null(), _Solved()
 
         def batch_of(results: list[tuple]) -> pa.RecordBatch:
             ids, *columns = zip(*results, strict=True)
@@ -262,7 +278,7 @@ def _repair(rows: DataFrame) -> DataFrame:
                     if open_one is None or conv != open_one.id:
                         if open_one:
                             out.append(open_one.result())
-                        open_one = _Conversation(conv)
+                        open_one = _Conversation(conv, solved)
                     if here:
                         open_one.add(turn, role, text, fault)
                 if len(out) >= SEGMENT_ROWS:
