@@ -1,4 +1,4 @@
-"""Gate expressions: comparison by op string, details text, labels, publication decision."""
+"""Gate expressions: measured values, comparison by op string, details text, labels, publication decision."""
 
 from __future__ import annotations
 
@@ -12,8 +12,15 @@ NOT_MEASURED = "NOT_MEASURED"
 NOT_APPLICABLE = "N/A"
 
 
+def measured(value: Column) -> Column:
+    """The value, or NULL where it is not a number. Spark orders NaN above every number, so an
+    unchecked NaN would pass every ``>=`` gate; nothing that is not a number counts as measured."""
+    return F.when(~F.isnan(value.cast("double")), value)
+
+
 def compare(value: Column, op: Column, threshold: Column) -> Column:
-    """``value {op} threshold``; NULL for an unknown op or a NULL value (SCL4)."""
+    """``value {op} threshold``; NULL for an unknown op, a NULL or a NaN on either side (SCL4)."""
+    value, threshold = measured(value), measured(threshold)
     return (
         F.when(op == ">=", value >= threshold)
         .when(op == "<=", value <= threshold)
@@ -26,7 +33,7 @@ def compare(value: Column, op: Column, threshold: Column) -> Column:
 def details(value: Column, op: Column, threshold: Column) -> Column:
     """"{measured} {op} {threshold}" or NOT_MEASURED (SCL5)."""
     text = F.concat_ws(" ", value.cast("string"), op, threshold.cast("string"))
-    return F.when(value.isNull(), F.lit(NOT_MEASURED)).otherwise(text)
+    return F.when(measured(value).isNull(), F.lit(NOT_MEASURED)).otherwise(text)
 
 
 def label(passed: Column, gate_type: Column) -> Column:

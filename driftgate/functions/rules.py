@@ -2,7 +2,8 @@
 
 A rule names the rows that *fail* it. Row rules are boolean Columns, so Catalyst sees
 and optimises them; the duplicate rule is a marker that the engine expands into a
-partition-bounded ranking (see ``driftgate.operators.quality``).
+partition-bounded ranking (see ``driftgate.operators.quality``); a rule on rows gets the frame
+itself and returns its failing rows, so it may join another table.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import datetime as _dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftgate.functions.columns import ref
@@ -35,14 +36,23 @@ class Duplicates:
     order_by: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class FailingRows:
+    """``find`` gets the rows that passed every earlier rule, with their identity, and the rule's
+    column, and returns those that fail: any frame that still has the identity. A row returned
+    twice fails once."""
+
+    find: Callable[[DataFrame, str], DataFrame]
+
+
 @dataclass(frozen=True, eq=False)
 class Rule:
     """``check`` is a boolean Column (true = fails), a function column-name -> Column,
-    or a ``Duplicates`` marker. A NULL check result counts as passing."""
+    a ``Duplicates`` marker or ``FailingRows``. A NULL check result counts as passing."""
 
     name: str
     column: str
-    check: Column | Callable[[str], Column] | Duplicates
+    check: Column | Callable[[str], Column] | Duplicates | FailingRows
     action: str = "QUARANTINE"
 
     def __post_init__(self):
@@ -53,11 +63,16 @@ class Rule:
     def is_duplicates(self) -> bool:
         return isinstance(self.check, Duplicates)
 
+    @property
+    def is_predicate(self) -> bool:
+        """Whether a row fails by its own values alone."""
+        return not isinstance(self.check, (Duplicates, FailingRows))
+
     def failing(self) -> Column:
         if isinstance(self.check, Column):
             return self.check
-        if isinstance(self.check, Duplicates):
-            raise TypeError("duplicate rules are not row predicates")
+        if not self.is_predicate:
+            raise TypeError("rules that compare rows are not row predicates")
         return self.check(self.column)
 
 
@@ -118,3 +133,32 @@ def no_duplicates(
 def custom(name: str, column: str, check: Column | Callable[[str], Column], action: str = "QUARANTINE") -> Rule:
     """QR5: a user rule; ``check`` marks failing rows."""
     return Rule(name, column, check, action)
+
+
+def custom_rows(
+    name: str, column: str, find: Callable[[DataFrame, str], DataFrame], action: str = "QUARANTINE"
+) -> Rule:
+    """QR5 over rows: ``find(rows, column)`` returns the failing rows of the frame it is given, e.g.
+    by a join with another table. The frame needs a row identity (``operators.identity``)."""
+    return Rule(name, column, FailingRows(find), action)
+
+
+def reference(
+    column: str,
+    other: DataFrame,
+    other_column: str | None = None,
+    name: str | None = None,
+    action: str = "QUARANTINE",
+    nulls_fail: bool = False,
+) -> Rule:
+    """QR5 as a foreign key: a value that ``other`` does not have fails; NULL passes unless ``nulls_fail``.
+
+    Only the identity and the column meet the distinct keys of ``other``, by an equi-join.
+    """
+
+    def find(rows: DataFrame, name_: str) -> DataFrame:
+        keys = other.select(ref(other_column or name_).alias("_key")).distinct()
+        known = rows if nulls_fail else rows.filter(ref(name_).isNotNull())
+        return known.join(keys, ref(name_) == F.col("_key"), "left_anti")
+
+    return custom_rows(name or f"{column}_reference", column, find, action)

@@ -1,10 +1,11 @@
 """Category comparison of two loads of a column (JN5, TOPK1).
 
-Counts per value on each side are map-side combined aggregates; they meet in a full
-outer join on the value. The top-k picks use ``orderBy(...).limit(k)``, which Spark
-plans as a per-task top-k followed by one merge of k rows per task, so no task ever
-sees all values. Only the final handful of rows (at most ``max_categories``, or
-``keep`` + Others) is ranked by a window without partitioning.
+Counts per value of both loads are one map-side combined aggregate, written once. The
+top-k picks use ``orderBy(...).limit(k)``, which Spark plans as a per-task top-k followed
+by one merge of k rows per task, so no task ever sees all values; the picked rows carry their
+counts, and "Others" is the totals less the picked rows, so nothing is joined with all values.
+Only the final handful of rows (at most ``max_categories``, or ``keep`` + Others) is ranked
+by a window without partitioning.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftgate.functions.columns import ref
+from driftgate.session import written
 
 # Fixed values that must equal the reference's chart rule: more than 8 categories over
 # both loads -> top 4 of each load, first 5 of those in that order, rest as "Others".
@@ -39,7 +41,7 @@ def category_counts(baseline: DataFrame, current: DataFrame, column: str) -> Dat
 def _top(counts: DataFrame, count_col: str, k: int, offset: int) -> DataFrame:
     top = counts.filter(F.col(count_col) > 0).orderBy(F.col(count_col).desc(), F.col("value").asc()).limit(k)
     w = Window.orderBy(F.col(count_col).desc(), F.col("value").asc())
-    return top.select("value", (F.row_number().over(w) + F.lit(offset)).alias("pick"))
+    return top.select("value", "baseline_count", "current_count", (F.row_number().over(w) + F.lit(offset)).alias("pick"))
 
 
 def category_comparison(
@@ -57,39 +59,29 @@ def category_comparison(
     first ``keep`` distinct of those in that order, the rest summed as "Others" (only
     when there is a rest).
     """
-    counts = category_counts(baseline, current, column)
-    n_values = counts.select(F.count(F.lit(1))).scalar()
+    counts = written(category_counts(baseline, current, column), "category_counts")
+    pair = ["baseline_count", "current_count"]
+    totals = counts.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in pair])
+    many = totals.select(F.col("n") > max_categories).scalar()
     picks = (
         _top(counts, "baseline_count", top_each, 0)
         .unionByName(_top(counts, "current_count", top_each, top_each))
         .groupBy("value")
-        .agg(F.min("pick").alias("pick"))
+        .agg(F.min("pick").alias("pick"), *[F.first(c).alias(c) for c in pair])
         .orderBy("pick")
         .limit(keep)
     )
-    few = n_values <= F.lit(max_categories)
-    # broadcast of at most ``keep`` picked values: a fixed, small size
-    picks = picks.withColumnRenamed("value", "_picked")
-    labeled = counts.join(F.broadcast(picks), F.col("value").eqNullSafe(F.col("_picked")), "left").select(
-        "value",
-        "baseline_count",
-        "current_count",
-        F.when(few, F.lit(None).cast("int")).otherwise(F.col("pick")).alias("pick"),
-    )
-    grouped = labeled.withColumns(
-        {
-            "category": F.when(few | F.col("pick").isNotNull(), F.col("value")).otherwise(F.lit(OTHERS)),
-            "_others": ~few & F.col("pick").isNull(),
-        }
-    ).groupBy("category", "_others").agg(
-        F.sum("baseline_count").alias("baseline_count"),
-        F.sum("current_count").alias("current_count"),
-        F.min("pick").alias("pick"),
-    )
-    order = Window.orderBy(F.col("_others").asc(), F.col("pick").asc_nulls_last(), F.col("category").asc())
-    return grouped.select(
+    # every value if there are few (a limit above their number takes all of them)
+    every = counts.orderBy("value").limit(max_categories).filter(~many)
+    chosen = every.select("value", *pair, F.lit(None).cast("int").alias("pick")).unionByName(picks.select("value", *pair, "pick").filter(many))
+    rest = totals.select("n", *pair).unionByName(picks.select(F.lit(-1).cast("long").alias("n"), *[(-F.col(c)).alias(c) for c in pair]))
+    left = rest.agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in pair]).filter(many & (F.col("n") > 0))
+    others = left.select(F.lit(OTHERS).alias("value"), *pair, F.lit(None).cast("int").alias("pick"), F.lit(True).alias("_others"))
+    rows = chosen.withColumn("_others", F.lit(False)).unionByName(others)
+    order = Window.orderBy(F.col("_others").asc(), F.col("pick").asc_nulls_last(), F.col("value").asc())
+    return rows.select(
         F.row_number().over(order).cast("int").alias("position"),
-        "category",
+        F.col("value").alias("category"),
         F.col("baseline_count").cast("long").alias("baseline_count"),
         F.col("current_count").cast("long").alias("current_count"),
     )

@@ -2,7 +2,7 @@
 
 Runs meet their experiment's gates by an equi-join on ``experiment_id`` (the gate list
 is read from a small configuration file) and their measured metrics by a left join on
-(run_id, metric); a metric that is missing or NULL is NOT_MEASURED.
+(run_id, metric); a metric that is missing, NULL or NaN is NOT_MEASURED.
 """
 
 from __future__ import annotations
@@ -96,7 +96,7 @@ def evaluate_gates(gates: DataFrame, runs: DataFrame, metrics: DataFrame, config
         listed = config.filter(F.size("gates") == 0).select(F.coalesce("experiment_id", F.lit("")).alias("_none")).distinct()
         pairs = pairs.join(listed, F.col("experiment_id") == F.col("_none"), "left").filter(F.col("_x").isNotNull() | F.col("_none").isNull()).drop("_none")
     pairs = pairs.withColumns({"position": F.coalesce("position", F.lit(0)), "gate_id": F.coalesce("gate_id", F.lit(UNMATCHED))}).drop("_x")
-    m = metrics.select("run_id", "metric", F.col("value").cast("double").alias("measured_value"))
+    m = metrics.select("run_id", "metric", G.measured(F.col("value").cast("double")).alias("measured_value"))
     j = pairs.join(m, ["run_id", "metric"], "left")
     v, op, t = F.col("measured_value"), F.col("op"), F.col("threshold")
     passed = F.when(v.isNull(), F.lit(None).cast("boolean")).otherwise(G.compare(v, op, t))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.sources.readers import PROVENANCE_FIELDS
-from driftgate.sources.sinks import append
+from driftgate.sources.sinks import append, read, replace_rows
 
 LEDGER_COLUMNS = [
     "experiment_id",
@@ -89,13 +89,24 @@ def build_ledger(
     )
 
 
+STARTED_ON = "started_on"
+
+
 def append_ledger(ledger: DataFrame, target: str, fmt: str = "parquet", replace_runs: bool = False) -> None:
     """Append ledger rows (append-only run history).
 
-    ``replace_runs`` partitions the ledger by ``run_id`` and overwrites only the runs
-    being written, so re-recording a run after a failure keeps one row per run.
+    ``replace_runs`` keeps one row per run when a run is recorded again: the ledger is partitioned by
+    the date a run started on, and of the dates being written the rows of the same runs are replaced
+    (``sinks.replace_rows``). Runs without a start time share a partition.
     """
+    rows = ledger.select(LEDGER_COLUMNS)
     if replace_runs:
-        append(ledger.select(LEDGER_COLUMNS), target, fmt, ("run_id",), replace_partitions=True)
+        dated = rows.withColumn(STARTED_ON, F.coalesce(F.substring("started_at_utc", 1, 10), F.lit("")))
+        dated = dated.withColumn(STARTED_ON, F.when(F.col(STARTED_ON) == "", "none").otherwise(F.col(STARTED_ON)))
+        replace_rows(dated, target, STARTED_ON, ("run_id",), fmt)
     else:
-        append(ledger.select(LEDGER_COLUMNS), target, fmt)
+        append(rows, target, fmt)
+
+
+def read_ledger(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+    return read(spark, target, fmt).select(LEDGER_COLUMNS)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from driftgate.functions import rules as R
 from driftgate.operators import bronze, drift, fidelity, quality
-from driftgate.operators.baseline import latest_baseline
+from driftgate.operators.identity import identified
 from driftgate.operators.profile import PROFILE_COLUMNS, column_entropy, profile, profile_tables, value_frequencies
 from driftgate.plans import fixtures as fx
 from driftgate.plans import oracle as O
@@ -177,14 +177,23 @@ def sql_audit_log():
     return f"({a}) UNION ALL ({b})"
 
 
+def _schema(spark, name: str) -> str:
+    """A fresh database below the shared folder."""
+    base = scratch_path(spark, name)
+    schema = os.path.basename(base).replace("-", "_")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{base}'")
+    return schema
+
+
 def q_latest_baseline(spark, sf):
-    path = scratch_path(spark, "baselines")
+    table = _schema(spark, "baselines") + ".baselines"
     sinks.capture_baseline(
         {"orders": fx.orders(spark, sf), "customer": fx.table(spark, sf, "customer")},
-        path, exclude_columns=ORDER_KEYS + ["c_custkey"], measurement_ts=T1,
+        table, exclude_columns=ORDER_KEYS + ["c_custkey"], measurement_ts=T1,
     )
-    sinks.capture_baseline({"orders": fx.orders_drifted(spark, sf)}, path, exclude_columns=ORDER_KEYS, measurement_ts=T2)
-    return _history_view(latest_baseline(sinks.read_baselines(spark, path)))
+    for _ in range(2):  # a retried capture is stored once
+        sinks.capture_baseline({"orders": fx.orders_drifted(spark, sf)}, table, exclude_columns=ORDER_KEYS, measurement_ts=T2)
+    return _history_view(sinks.latest(spark, table))
 
 
 def sql_latest_baseline():
@@ -440,7 +449,8 @@ DOC_OUT = ["doc_id", "lang", "source", "n_chars"]
 
 
 def q_rule_no_duplicates(spark, sf):
-    return _quarantine_of(fx.table(spark, sf, "documents"), [R.no_duplicates("text", "doc_id")], DOC_OUT)
+    docs = identified(fx.table(spark, sf, "documents"))
+    return _quarantine_of(docs, [R.no_duplicates("text", "doc_id")], DOC_OUT)
 
 
 def sql_rule_no_duplicates():
@@ -470,6 +480,12 @@ def _customer_outcome(spark, sf):
     return quality.evaluate(fx.customer_dirty(spark, sf), CUSTOMER_RULES)
 
 
+def _customer_routed(spark, sf):
+    """Both sides and the counts of one pass over the identified rows."""
+    out = quality.evaluate(identified(fx.customer_dirty(spark, sf)), CUSTOMER_RULES)
+    return quality.route(out, scratch_path(spark, "routed"))
+
+
 def _customer_tagged_sql():
     t = O.first_failure(
         O.CUSTOMER_DIRTY,
@@ -479,7 +495,7 @@ def _customer_tagged_sql():
 
 
 def q_quality_clean(spark, sf):
-    return _customer_outcome(spark, sf).clean
+    return _customer_routed(spark, sf).clean
 
 
 def sql_quality_clean():
@@ -487,7 +503,7 @@ def sql_quality_clean():
 
 
 def q_quality_quarantine(spark, sf):
-    return _customer_outcome(spark, sf).quarantine
+    return _customer_routed(spark, sf).quarantine
 
 
 def sql_quality_quarantine():
@@ -510,7 +526,7 @@ def _results_sql(tagged: str, rules: list[tuple[int, str, str, str]]) -> str:
 
 
 def q_quality_results(spark, sf):
-    return _customer_outcome(spark, sf).results
+    return _customer_routed(spark, sf).results
 
 
 def sql_quality_results():
@@ -519,7 +535,7 @@ def sql_quality_results():
 
 
 def q_quality_ratios(spark, sf):
-    return _r6(_customer_outcome(spark, sf).ratios, "quality_pass_ratio", "quarantine_ratio")
+    return _r6(_customer_routed(spark, sf).ratios, "quality_pass_ratio", "quarantine_ratio")
 
 
 def sql_quality_ratios():
@@ -541,7 +557,7 @@ DOC_RULES = [
 
 
 def q_quality_duplicates_midway(spark, sf):
-    return quality.evaluate(fx.table(spark, sf, "documents"), DOC_RULES).results
+    return quality.evaluate(identified(fx.table(spark, sf, "documents")), DOC_RULES).results
 
 
 def sql_quality_duplicates_midway():
@@ -586,7 +602,7 @@ def sql_quarantine_union():
 
 # ============================================================================ bronze and fidelity
 
-def _bronze(spark, sf, name="nation"):
+def _bronze(spark, sf, name):
     view = f"bronze_src_{name}"
     fx.table(spark, sf, name).createOrReplaceTempView(view)
     base = scratch_path(spark, "bronze")
@@ -600,37 +616,40 @@ def _bronze(spark, sf, name="nation"):
 
 
 def q_bronze_materialize(spark, sf):
-    view, target, args = _bronze(spark, sf)
+    view, target, args = _bronze(spark, sf, "customer")
     bronze.materialize(spark, view, target, **args)
     return spark.table(target).drop("ingest_ts")
 
 
 def sql_bronze_materialize():
-    return "SELECT *, 'tpch' AS source_system, 'tpch.nation' AS source_file_path FROM nation"
+    return "SELECT *, 'tpch' AS source_system, 'tpch.customer' AS source_file_path FROM customer"
 
 
 def q_bronze_report(spark, sf):
-    view, target, args = _bronze(spark, sf)
+    """Orders landed: dry run, landing and a second call, next to what the landed table holds."""
+    view, target, args = _bronze(spark, sf, "orders")
     dry = bronze.materialize(spark, view, target, dry_run=True, **args).withColumn("call", F.lit(1))
     first = bronze.materialize(spark, view, target, **args).withColumn("call", F.lit(2))
     again = bronze.materialize(spark, view, target, **args).withColumn("call", F.lit(3))
-    rows = spark.table(target).count()  # the landed table is checked by bronze_materialize
-    return (
-        dry.unionByName(first).unionByName(again)
-        .drop("target")
-        .withColumn("target_rows", F.when(F.col("call") > 1, F.lit(rows)).cast("long"))
+    held = spark.table(target).groupBy("source_file_path").agg(
+        F.count(F.lit(1)).alias("target_rows"), F.countDistinct("o_custkey").alias("customers"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )
+    report = dry.unionByName(first).unionByName(again).drop("target").withColumn("landed_from", F.when(F.col("call") > 1, F.lit("tpch.orders")))
+    return report.join(held, report["landed_from"] == held["source_file_path"], "left").drop("landed_from")
 
 
 def sql_bronze_report():
     return (
         "WITH v AS (SELECT * FROM (VALUES (false, false, false, 2, 0, 1), (true, false, true, 2, 2, 2), "
         "(true, true, true, 2, 2, 3)) AS t(executed, target_exists_before, target_exists_after, "
-        "statements_attempted, statements_executed, call_no)) "
+        "statements_attempted, statements_executed, call_no)), "
+        "held AS (SELECT 'tpch.orders' AS source_file_path, CAST(count(*) AS BIGINT) AS target_rows, "
+        "CAST(count(DISTINCT o_custkey) AS BIGINT) AS customers, round(sum(o_totalprice), 2) AS total FROM orders) "
         "SELECT executed, target_exists_before, target_exists_after, "
         "CAST(statements_attempted AS INTEGER) AS statements_attempted, "
         "CAST(statements_executed AS INTEGER) AS statements_executed, CAST(call_no AS INTEGER) AS call, "
-        "CAST(CASE WHEN call_no > 1 THEN (SELECT count(*) FROM nation) END AS BIGINT) AS target_rows FROM v"
+        "CASE WHEN call_no = 2 THEN target_rows END AS rows_landed, source_file_path, target_rows, customers, total "
+        "FROM v LEFT JOIN held ON call_no > 1"
     )
 
 

@@ -15,7 +15,7 @@ from driftgate.plans import fixtures as fx
 from driftgate.plans import oracle as O
 from driftgate.plans.catalogue import LOADS, ORDER_KEYS, _many_profiles_sql, _r6, config_frame
 from driftgate.plans.release import release_control, release_stored
-from driftgate.session import scratch_path
+from driftgate.session import materialize_small, scratch_path
 from driftgate.sources import sinks
 
 EXPERIMENT = "DRIFTGATE_DEMO"
@@ -208,9 +208,12 @@ def sql_provenance_coverage():
 
 
 def q_run_ledger(spark, sf):
+    """The runs' ledger, recorded twice: one row per run stays (SNK6)."""
     path = scratch_path(spark, "run-ledger")
-    ledger.append_ledger(Scenario(spark, sf).ledger, path)  # append-only run history (SNK6)
-    led = sinks.read(spark, path)
+    rows = materialize_small(Scenario(spark, sf).ledger)
+    ledger.append_ledger(rows, path, replace_runs=True)
+    ledger.append_ledger(rows, path, replace_runs=True)
+    led = ledger.read_ledger(spark, path)
     return led.select(
         "experiment_id", "run_id", "git_commit", "git_branch", "catalog_name", "operator",
         "started_at_utc", "completed_at_utc", "entropy_health_score",

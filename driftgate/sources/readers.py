@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -17,9 +17,10 @@ from pyspark.sql.types import (
 from driftgate.functions.columns import LINEAGE_COLUMNS
 from driftgate.functions.entropy import DEFAULT_DROP_PCT, DEFAULT_HEALTH_FLOOR, DEFAULT_SPIKE_PCT
 
-# Fixed values that must equal the reference's: gate comparison operators, the
+# Fixed values that must equal the reference's: gate comparison operators and types, the
 # default baseline staleness, and the provenance fields every run must carry.
 GATE_OPS = (">=", "<=", ">", "<", "==")
+GATE_TYPES = ("FAIL", "WARN")
 DEFAULT_STALENESS_DAYS = 30
 PROVENANCE_FIELDS = (
     "experiment_id",
@@ -110,6 +111,39 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONFIG_SCHEMA).option("multiLine", True).json(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_configs(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Every gate document below ``path`` (a folder, file or glob on any store), read by the executors.
+
+    Columns: those of ``read_config``, then ``source_file``, ``modified`` and ``_corrupt_record``. A file
+    holds one document or an array of them, or with ``lines`` one document a line. A document
+    that is no JSON of this shape has its text in ``_corrupt_record``.
+    """
+    schema = StructType([*CONFIG_SCHEMA.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(schema).option("multiLine", not lines).option("mode", "PERMISSIVE")
+    docs = reader.option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True).json(path)
+    names = CONFIG_SCHEMA.fieldNames()
+    return docs.select(*names, F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("modified"), CORRUPT)
+
+
+def current_configs(documents: DataFrame) -> DataFrame:
+    """One document per experiment of ``read_configs``: the last modified file's, of equally old
+    files that with the greatest path, of one file's the ASCII-greatest document. Corrupt documents take
+    no part; see ``corrupt_configs``."""
+    names = CONFIG_SCHEMA.fieldNames()
+    rank = F.struct("modified", "source_file", F.to_json(F.struct(*names)))
+    good = _experiment(documents.filter(F.col(CORRUPT).isNull()))
+    return good.groupBy("experiment_id").agg(F.max_by(F.struct(*names), rank).alias("c")).select("c.*")
+
+
+def corrupt_configs(documents: DataFrame) -> DataFrame:
+    """(source_file, experiment_id, document) of the documents that could not be read; the experiment
+    if that much could be made out."""
+    return documents.filter(F.col(CORRUPT).isNotNull()).select("source_file", "experiment_id", F.col(CORRUPT).alias("document"))
+
+
 def config_from_text(spark: SparkSession, text: str) -> DataFrame:
     """The gate configuration from JSON text held by the driver (a small local file)."""
     raw = spark.createDataFrame([(text,)], "json string")
@@ -124,21 +158,24 @@ def gates_frame(config: DataFrame) -> DataFrame:
     """One row per configured gate, in file order (SRC3, SCL5).
 
     Columns: experiment_id, position (1-based), gate_id ("{type}-{position}"), metric,
-    gate_type, op, threshold, reason. An unknown op raises when the frame is evaluated.
+    gate_type, op, threshold, reason. An unknown op or type raises when the frame is evaluated: a
+    misspelt type would not vote, so its gate could be passed by.
     """
     cfg = _experiment(config)
     g = cfg.select("experiment_id", F.posexplode("gates").alias("_pos", "_g"))
-    op = F.col("_g.op")
-    checked_op = F.when(op.isin(*GATE_OPS), op).otherwise(
-        F.raise_error(F.concat(F.lit("unknown gate op: "), F.coalesce(op, F.lit("NULL"))))
-    )
+
+    def checked(value: Column, known: tuple[str, ...], what: str) -> Column:
+        unknown = F.raise_error(F.concat(F.lit(f"unknown gate {what}: "), F.coalesce(value, F.lit("NULL"))))
+        return F.when(value.isin(*known), value).otherwise(unknown)
+
+    gate_type = checked(F.col("_g.type"), GATE_TYPES, "type")
     return g.select(
         "experiment_id",
         (F.col("_pos") + 1).cast("int").alias("position"),
-        F.concat(F.col("_g.type"), F.lit("-"), (F.col("_pos") + 1).cast("string")).alias("gate_id"),
+        F.concat(gate_type, F.lit("-"), (F.col("_pos") + 1).cast("string")).alias("gate_id"),
         F.col("_g.metric").alias("metric"),
-        F.col("_g.type").alias("gate_type"),
-        checked_op.alias("op"),
+        gate_type.alias("gate_type"),
+        checked(F.col("_g.op"), GATE_OPS, "op").alias("op"),
         F.col("_g.threshold").alias("threshold"),
         F.col("_g.reason").alias("reason"),
     )

@@ -124,7 +124,6 @@ def test_provenance_coverage(spark):
     assert cov == {"r1": 1.0, "r2": 5 / 7}
 
 
-def test_other_gate_type_is_evaluated_without_a_vote(spark):
-    v, ev = verdict(spark, [g("entropy_health_score", type_="INFO")], entropy_health_score=0.1)
-    assert ev[0].passed is False and ev[0].gate_id == "INFO-1"
-    assert v.overall_verdict == "PASS"
+def test_other_gate_type_raises(spark):
+    with pytest.raises(PySparkException, match="unknown gate type: INFO"):
+        verdict(spark, [g("entropy_health_score", type_="INFO")], entropy_health_score=0.1)

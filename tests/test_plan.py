@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from driftgate.operators.baseline import latest_baseline
+from driftgate.functions import rules as R
+from driftgate.operators import quality
+from driftgate.operators.identity import identified
 from driftgate.operators.profile import profile
 from driftgate.sources import sinks
 
@@ -37,9 +40,6 @@ def jobs_of(spark, build) -> int:
 
 
 def test_nothing_runs_while_building(spark):
-    from driftgate.functions import rules as R
-    from driftgate.operators import quality
-
     orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
     items = spark.read.parquet(os.path.join(SF_SMALL, "lineitem.parquet"))
     joined = orders.join(items, orders["o_orderkey"] == items["l_orderkey"])
@@ -52,21 +52,47 @@ def test_nothing_runs_while_building(spark):
     assert jobs_of(spark, lambda: orders.count()) > 0
 
 
-def test_latest_baseline_prunes_partitions(spark, tmp_path):
+def test_latest_reads_one_date_of_a_catalog_history(spark, tmp_path):
     orders = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
-    path = str(tmp_path / "hist")
-    sinks.capture_baseline({"orders": orders, "other": orders}, path, exclude_columns=[], measurement_ts="2024-01-01 00:00:00")
-    hist = sinks.read_baselines(spark, path)
-    latest = latest_baseline(hist, "orders")
+    schema = "hist_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{tmp_path}/{schema}'")
+    target = f"{schema}.baselines"
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        sinks.capture_baseline({"orders": orders, "other": orders}, target, exclude_columns=[], measurement_ts=f"{day} 00:00:00")
+        sinks.capture_baseline({"orders": orders}, target, exclude_columns=[], measurement_ts=f"{day} 01:00:00")
+    latest = sinks.latest(spark, target, "orders")
     p = plan_of(latest)
-    assert "PartitionFilters: [isnotnull(table_name" in p and "orders" in p
-    assert {r.table_name for r in latest.collect()} == {"orders"}
+    assert "PartitionFilters: [isnotnull(measured_on" in p and "2024-01-03" in p and "2024-01-02" not in p
+    assert {(r.table_name, str(r.measurement_ts)) for r in latest.collect()} == {("orders", "2024-01-03 01:00:00")}
+    folders = [f for f in os.listdir(f"{tmp_path}/{schema}/baselines") if f.startswith("measured_on=")]
+    assert len(folders) == 3  # a folder a day, not a measurement
+
+
+def test_identified_duplicates_shuffle_no_text(spark):
+    docs = identified(spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet")))
+    ids = quality._failing_ids(docs.withColumn("_rule_pos", F.lit(None).cast("int")), R.no_duplicates("text", "doc_id"))
+    out = quality.evaluate(docs, [R.no_duplicates("text", "doc_id")])
+    p = plan_of(out.tagged)
+    assert "hashpartitioning" not in p and "BroadcastExchange" in p  # the rows themselves stay where they are
+    assert ids.columns == ["_row_id"] and 0 < ids.count() == out.quarantine.count()
+    thin = quality._losers(docs.select("_row_id", quality._dup_key(docs, ["text"]).alias("_dk"), "doc_id"), F.lit(True), ["doc_id"])[0]
+    for line in plan_of(thin).splitlines():
+        if "Exchange" in line or "Window" in line:
+            assert "text" not in line
+
+
+def test_routed_write_scans_once(spark, tmp_path):
+    docs = identified(spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet")))
+    out = quality.evaluate(docs, [R.custom("short", "n_chars", lambda c: F.col(c) < 200)])
+    assert plan_of(out.tagged).count("FileScan") == 1
+    routed = quality.route(out, str(tmp_path / "routed"))
+    for side in (routed.results, routed.ratios):
+        assert "FileScan" not in plan_of(side)  # observed by the write
+    p = plan_of(routed.quarantine)
+    assert "PartitionFilters: [isnotnull(route" in p
 
 
 def test_duplicate_rule_has_no_window_over_the_bare_key(spark):
-    from driftgate.functions import rules as R
-    from driftgate.operators import quality
-
     docs = spark.read.parquet(os.path.join(SF_SMALL, "documents.parquet"))
     p = plan_of(quality.evaluate(docs, [R.no_duplicates("text", "doc_id")]).tagged)
     assert "hashpartitioning(_dk" in p and "_sp" in p and "Join" not in p
