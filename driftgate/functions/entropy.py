@@ -69,23 +69,21 @@ def _q(name: str) -> str:
 SECOND_SEED = 7
 
 
-def category_key_sql(name: str, data_type: DataType) -> str:
-    """SQL text of ``category_key`` (built as one expression: one call to the JVM)."""
+def category_key_sql(name: str, data_type: DataType) -> tuple[str, str]:
+    """SQL text of the two numbers of ``category_key``."""
     c = _q(name)
-    nl, nd, nh, ns = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS BIGINT)", "CAST(NULL AS INT)"
     if isinstance(data_type, (ByteType, ShortType, IntegerType, LongType)):
-        parts = (f"CAST({c} AS BIGINT)", nd, nh, ns)
+        parts = (f"CAST({c} AS BIGINT)", "0L")
     elif isinstance(data_type, BooleanType):
-        parts = (f"CAST(CAST({c} AS INT) AS BIGINT)", nd, nh, ns)
+        parts = (f"CAST(CAST({c} AS INT) AS BIGINT)", "0L")
     elif isinstance(data_type, DateType):
-        parts = (f"CAST(unix_date({c}) AS BIGINT)", nd, nh, ns)
+        parts = (f"CAST(unix_date({c}) AS BIGINT)", "0L")
     elif isinstance(data_type, TimestampType):
-        parts = (f"unix_micros({c})", nd, nh, ns)
+        parts = (f"unix_micros({c})", "0L")
     elif isinstance(data_type, TimestampNTZType):
-        # Its 64 bits, hashed: XXH64 maps 64-bit values one to one, and no time zone has a part in it.
-        parts = (f"xxhash64({c})", nd, nh, ns)
+        parts = (f"xxhash64({c})", "0L")
     elif isinstance(data_type, (DoubleType, FloatType)):
-        parts = (nl, f"CAST({c} AS DOUBLE)", nh, ns)
+        parts = (f"xxhash64(CAST({c} AS DOUBLE))", "0L")
     else:
         if isinstance(data_type, BinaryType):
             text = c
@@ -93,27 +91,24 @@ def category_key_sql(name: str, data_type: DataType) -> str:
             text = f"to_json(named_struct('v', {c}), map('ignoreNullFields', 'false'))"
         else:
             text = f"CAST({c} AS STRING)"
-        parts = (f"xxhash64({text})", nd, f"xxhash64({SECOND_SEED}, {text})", f"octet_length({text})")
-    fields = ", ".join(f"'{n}', {p}" for n, p in zip(("l", "d", "h", "n"), parts))
-    return f"CASE WHEN {c} IS NULL THEN CAST(NULL AS {key_type()}) ELSE named_struct({fields}) END"
+        parts = (f"xxhash64({text})", f"xxhash64({SECOND_SEED}, octet_length({text}), {text})")
+    return tuple(f"CASE WHEN {c} IS NOT NULL THEN {p} END" for p in parts)
 
 
 def category_key(name: str, data_type: DataType) -> Column:
-    """A typed grouping key of fixed width for the category of a value; NULL for NULL.
-
-    struct<l bigint, d double, h bigint, n int>: integers, booleans, dates and timestamps go to
-    ``l`` (timestamps as microseconds), floating point to ``d`` (Spark folds -0.0 into 0.0
-    and groups NaN in grouping keys), both exact. Everything else (binary, text, and arrays, structs and
-    maps as JSON, which tells ``["a, b"]`` from ``["a", "b"]``) goes to two 64-bit XXH64 with different
-    seeds (``l``, ``h``) and the length in bytes (``n``). Grouping by the key equals grouping by the
-    value but for two texts of one length that agree in 128 bits of hash: by chance with a probability
-    of about 1e-19 among 10^10 different texts. XXH64 is no defence against texts made to collide.
+    """A grouping key of two numbers for the category of a value: struct<l bigint, h bigint>, both
+    NULL for NULL, so that grouping stays on Spark's fast path for primitive keys.
+
+    Exact, in ``l`` alone: integers, booleans and dates as themselves, timestamps as microseconds;
+    floating point and zone-free timestamps as the XXH64 of their 64 bits, which maps 64-bit values one to
+    one (Spark hashes -0.0 as 0.0 and every NaN alike). Everything else (binary, text, and arrays,
+    structs and maps as JSON, which tells ``["a, b"]`` from ``["a", "b"]``) becomes two 64-bit XXH64
+    with different seeds, the second over the length too: grouping by the key equals grouping by the
+    value but for two texts that agree in all 128 bits, by chance with a probability of about 1e-19
+    among 10^10 different texts. XXH64 is no defence against texts made to collide.
     """
-    return F.expr(category_key_sql(name, data_type))
-
-
-def key_type() -> str:
-    return "struct<l:bigint,d:double,h:bigint,n:int>"
+    l, h = category_key_sql(name, data_type)
+    return F.expr(f"named_struct('l', {l}, 'h', {h})")
 
 
 def group_key(value: Column) -> Column:

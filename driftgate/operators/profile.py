@@ -32,7 +32,7 @@ from pyspark.sql.types import (
 from driftgate.functions.columns import monitored_columns
 from driftgate.functions.entropy import (
     category,
-    category_key,
+    category_key_sql,
     entropy_class_sql,
     round_exact_sql,
 )
@@ -62,21 +62,23 @@ _SPINE_SCHEMA = StructType(
 )
 
 
-def _long_form(df: DataFrame, cols: Sequence[str], table_index: int, typed: bool = True) -> DataFrame:
-    """(_t, _c, _v): one row per (row, monitored column).
-
-    ``_v`` is the typed category key (``typed``) or the category string (for outputs that
-    show values).
-    """
+def _long_form(df: DataFrame, cols: Sequence[str], table_index: int) -> DataFrame:
+    """(_t, _c, _v): one row per (row, monitored column) with the category as a string."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    make = category_key if typed else category
-    wide = df.select([make(c, types[c]).alias(str(i)) for i, c in enumerate(cols)])
+    wide = df.select([category(c, types[c]).alias(str(i)) for i, c in enumerate(cols)])
     long = wide.unpivot([], [str(i) for i in range(len(cols))], "_c", "_v")
     return long.select(
         F.lit(table_index).alias("_t"), F.col("_c").cast("int").alias("_c"), F.col("_v")
     )
 
 
+def _keys(df: DataFrame, cols: Sequence[str], table_index: int) -> DataFrame:
+    """(_t, _c, _l, _h): one row per (row, monitored column) with the category's key."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rows = ", ".join(f"{i}, {', '.join(category_key_sql(c, types[c]))}" for i, c in enumerate(cols))
+    return df.selectExpr(f"{table_index} AS _t", f"stack({len(cols)}, {rows}) AS (_c, _l, _h)")
+
+
 def _plan(frames: Mapping[str, DataFrame], columns, exclude_columns):
     spine_rows, longs = [], []
     for t, (name, df) in enumerate(frames.items()):
@@ -86,7 +88,7 @@ def _plan(frames: Mapping[str, DataFrame], columns, exclude_columns):
         if not cols:
             continue
         spine_rows += [(t, i, name, c) for i, c in enumerate(cols)]
-        longs.append(_long_form(df, cols, t))
+        longs.append(_keys(df, cols, t))
     return spine_rows, longs
 
 
@@ -120,13 +122,13 @@ def profile_tables(
         return spark.createDataFrame([], PROFILE_SCHEMA)
 
     long = _union_all(longs)
-    freq = long.groupBy("_t", "_c", F.col("_v").alias("_k")).agg(F.count(F.lit(1)).alias("_f"))
+    freq = long.groupBy("_t", "_c", "_l", "_h").agg(F.count(F.lit(1)).alias("_f"))
     f = F.col("_f")
     stats = freq.groupBy("_t", "_c").agg(
         F.sum(f).alias("_n"),
         F.count(F.lit(1)).alias("_d"),
         F.sum(f * F.log2(f.cast("double"))).alias("_s"),
-        F.sum(F.when(F.col("_k").isNull(), f).otherwise(F.lit(0))).alias("_null"),
+        F.sum(F.when(F.col("_l").isNull(), f).otherwise(F.lit(0))).alias("_null"),
     )
     joined = _spine(spark, spine_rows).join(F.broadcast(stats), ["_t", "_c"], "left")
     return _finish(joined)
@@ -185,7 +187,7 @@ def value_frequencies(
         schema = "table_name string, column_name string, value string, frequency bigint"
         return spark.createDataFrame([], schema)
     freq = (
-        _long_form(df, cols, 0, typed=False)
+        _long_form(df, cols, 0)
         .groupBy("_t", "_c", "_v")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )
