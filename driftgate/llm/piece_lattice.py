@@ -27,6 +27,7 @@ the unknown piece. Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 import zlib
@@ -301,8 +302,36 @@ def lattice_ids(words: DataFrame, model: Model) -> DataFrame:
     return lattice.select("bucket", "word", F.expr(_let("n", "char_length(word)", _let("symbols", symbols, spelt))).alias("ids"))
 
 
-def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, keep_text: bool = False) -> DataFrame:
-    """One row per document: (id, ids); with ``keep_text`` also the text."""
+def spelling(model: Model) -> list[bytes]:
+    """The text of each id."""
+    spelt = {i: p.replace(SPACE, " ").encode() for p, (i, _) in model.scores.items()} | {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
+    return [spelt.get(i, b"" if i != model.unknown else " ⁇ ".encode()) for i in range(len(model.pieces))]
+
+
+def decoded(table: list[bytes], ids: np.ndarray, prefix: bool) -> bytes:
+    """The UTF-8 text of a list of ids (bytes that are none become U+FFFD)."""
+    raw = b"".join(map(table.__getitem__, ids.tolist()))
+    raw = raw[1:] if prefix and raw[:1] == b" " else raw
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        raw = raw.decode("utf-8", "replace").encode()
+    return raw
+
+
+#: What ``encode`` can return beside the id: column -> type.
+RESULTS = {"ids": "array<int>", "n_ids": "long", "ids_crc32": "long", "decoded": "string", "decoded_sha256": "string", "round_trip": "boolean"}
+
+
+def encode(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, results: tuple[str, ...] = ("ids",)
+) -> DataFrame:
+    """One row per document: the id and the named columns of ``RESULTS``: the ids, their number, the crc32
+    of them as little-endian uint32, and, decoded from the ids again, the text, its SHA-256, and
+    whether it is the text given (a null text counts as empty)."""
+    if set(results) - set(RESULTS):
+        raise ValueError(f"unknown results {sorted(set(results) - set(RESULTS))}")
+    table = spelling(model)
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = thin.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     n_blocks = total // block_chars + 1
@@ -317,13 +346,17 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for blob in table.column("blob").to_pylist():
             yield opener.decompress(blob).decode()
 
-    def taken(table: pa.Table) -> tuple[list[str], list[str], list[int]]:
-        """The block's distinct keys, with their units as in ``units``."""
-        found: set[str] = set()
+    def taken(table: pa.Table) -> tuple[list[np.ndarray], list[str], list[int]]:
+        """Each text as numbers of the block's distinct keys, and the keys' units as in ``units``."""
+        number: dict[str, int] = {}
+        numbered = []
         for text in texts(table):
-            found.update(keys(text, model.prefix))
-        own = list(found)
-        return own, *units(model, [chunk_of(k) for k in own])
+            own = keys(text, model.prefix)
+            for k in own:
+                if k not in number:
+                    number[k] = len(number)
+            numbered.append(np.fromiter(map(number.__getitem__, own), np.int32, len(own)))
+        return numbered, *units(model, [chunk_of(k) for k in number])
 
     def dealt(flat: list[str]) -> list[list[bytes]]:
         """The distinct units for each bucket, sorted."""
@@ -360,60 +393,52 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     replies = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block long, bucket long, ids binary")
 
     def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        own, flat, last = taken(rows)
-        asked_words, table = dealt(flat), {}
+        numbered, flat, last = taken(rows)
+        asked_words, known = dealt(flat), {}
         for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
-            table |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
-        table |= {u: np.array(encode_long(model, u), np.int32).tobytes() for u in set(flat) if len(u) > LONG_CHUNK}
-        parts = list(map(table.__getitem__, flat))
-        spelt = {k: b"".join(parts[a:b]) for k, a, b in zip(own, [0, *last], last, strict=False)}
-        encoded = [b"".join(map(spelt.__getitem__, keys(text, model.prefix))) for text in texts(rows)]
-        ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in encoded])]).astype(np.int32)
-        flat = pa.array(np.frombuffer(b"".join(encoded), np.int32))
-        out = {"id": rows.column("id").combine_chunks(), "ids": pa.ListArray.from_arrays(pa.array(ends), flat)}
-        return pa.table(out | ({"text": pa.array(list(texts(rows)), pa.string())} if keep_text else {}))
-
-    schema = f"id {id_type}, ids array<int>" + (", text string" if keep_text else "")
+            known |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
+        known |= {u: np.array(encode_long(model, u), np.int32).tobytes() for u in set(flat) if len(u) > LONG_CHUNK}
+        parts = list(map(known.__getitem__, flat))
+        spelt = [b"".join(parts[a:b]) for a, b in zip([0, *last], last, strict=False)]
+        del asked_words, known, parts, flat
+        out: dict[str, list] = {name: [] for name in results}
+        for text, key_numbers in zip(texts(rows), numbered, strict=True):
+            raw = b"".join(map(spelt.__getitem__, key_numbers.tolist()))
+            ids = np.frombuffer(raw, "<i4")
+            back = decoded(table, ids, model.prefix) if {"decoded", "decoded_sha256", "round_trip"} & set(results) else b""
+            values = {
+                "ids": lambda: raw, "n_ids": lambda: len(ids), "ids_crc32": lambda: zlib.crc32(raw), "decoded": lambda: back,
+                "decoded_sha256": lambda: hashlib.sha256(back).hexdigest(), "round_trip": lambda: back == text.encode(),
+            }
+            for name, column in out.items():
+                column.append(values[name]())
+        return pa.table({"id": rows.column("id").combine_chunks()} | {name: _column(name, column) for name, column in out.items()})
+
+    schema = ", ".join([f"id {id_type}", *[f"{name} {RESULTS[name]}" for name in results]])
     out = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(assemble, schema)
     return out.withColumnRenamed("id", id_col)
 
 
+def _column(name: str, values: list) -> pa.Array:
+    if name == "ids":
+        ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in values])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(values), "<i4")))
+    if name == "decoded":
+        return pa.array(values, pa.binary()).cast(pa.string())
+    return pa.array(values, {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}[RESULTS[name]])
+
+
 def decode(encoded: DataFrame, model: Model, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns of ``encoded`` plus the decoded text (a null list: null)."""
-    spelt = {i: p.replace(SPACE, " ").encode() for p, (i, _) in model.scores.items()} | {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
-    table = [spelt.get(i, b"" if i != model.unknown else " ⁇ ".encode()) for i in range(len(model.pieces))]
-    at = encoded.columns.index(ids_col)
+    table, at = spelling(model), encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for ids in batch.column(at):
-                if ids.as_py() is None:
-                    texts.append(None)
-                    continue
-                raw = b"".join(map(table.__getitem__, ids.values.to_numpy().tolist()))
-                texts.append((raw[1:] if model.prefix and raw[:1] == b" " else raw).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
+            lists = batch.column(at)
+            texts = [decoded(table, x.values.to_numpy(), model.prefix) if x.is_valid else None for x in lists]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*batch.schema.names, out])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(out, StringType())]))
 
 
-def digest(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_ids, ids_crc32 of the ids as little-endian uint32, decoded_sha256)."""
-    thin = decoded.select(F.col(id_col).alias("id"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
-    id_type = thin.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            flat, ends = lists.values.to_numpy(zero_copy_only=False).astype("<i4"), lists.offsets.to_numpy()
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64()), batch.column(2)],
-                names=["id", "n_ids", "ids_crc32", "decoded_sha256"],
-            )
-
-    return thin.mapInArrow(run, f"id {id_type}, n_ids long, ids_crc32 long, decoded_sha256 string").withColumnRenamed("id", id_col)
-
-
 common.ship(__name__)

@@ -58,8 +58,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_lattice.load(tokenizer("piece_bpe_32k.model"))
-    encoded = piece_lattice.encode(read(spark, sf_dir, "documents"), model)
-    return piece_lattice.digest(piece_lattice.decode(encoded, model))
+    return piece_lattice.encode(read(spark, sf_dir, "documents"), model, results=("n_ids", "ids_crc32", "decoded_sha256"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

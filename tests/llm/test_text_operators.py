@@ -278,6 +278,12 @@ def test_sentencepiece_ids_and_round_trip(spark, docs, rows, no_docs, pieces):
         want.setdefault(doc_id, []).append((sp.encode(text or ""), text or ""))
     for r in out:
         assert (list(r.ids), r.decoded) in want[r.doc_id]
+    whole = piece_lattice.encode(docs, pieces, block_chars=20_000, results=tuple(piece_lattice.RESULTS)).collect()
+    assert sorted((r.doc_id or -1, r.ids, r.decoded) for r in whole) == sorted((r.doc_id or -1, r.ids, r.decoded) for r in out)
+    for r in whole:
+        raw = b"".join(i.to_bytes(4, "little") for i in r.ids)
+        assert (r.n_ids, r.ids_crc32, r.decoded_sha256) == (len(r.ids), zlib.crc32(raw), hashlib.sha256(r.decoded.encode()).hexdigest())
+        assert r.round_trip
     assert piece_lattice.encode(no_docs, pieces).count() == 0
 
 
