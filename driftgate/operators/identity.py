@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from driftgate.session import written
 
-ROW_ID = "_row_id"
+#: The prefix ``__dg_`` is reserved.
+ROW_ID = "__dg_row_id"
 #: Identities of failing rows are broadcast up to this many (about 150 bytes each), else joined by shuffle.
 BROADCAST_ROWS = 100_000
 
 
 def identified(df: DataFrame) -> DataFrame:
-    """``df`` (a Parquet scan, possibly with columns added) with ``_row_id`` struct<file, at>."""
+    """``df`` (a Parquet scan, possibly with columns added or rows filtered, but no row repeated by a
+    join or an explode) with ``__dg_row_id`` struct<file, at>."""
     try:
         return df.withColumn(ROW_ID, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")))
     except AnalysisException as e:
@@ -31,7 +33,7 @@ def identified(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str = "rows") -> DataFrame:
-    """``df`` written once and read back with ``_row_id``."""
+    """``df`` written once and read back with ``__dg_row_id``."""
     return identified(written(df, name))
 
 
@@ -41,7 +43,7 @@ def is_identified(df: DataFrame) -> bool:
 
 def flagged(df: DataFrame, ids: DataFrame, flag: str) -> DataFrame:
     """``df`` plus ``flag``: true where the row's identity is in ``ids`` (a written frame of distinct
-    ``_row_id``), else NULL."""
+    ``__dg_row_id``), else NULL."""
     marks = ids.select(F.col(ROW_ID).alias("_marked"), F.lit(True).alias(flag))
     if ids.count() <= BROADCAST_ROWS:
         marks = F.broadcast(marks)

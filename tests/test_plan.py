@@ -74,8 +74,8 @@ def test_identified_duplicates_shuffle_no_text(spark):
     out = quality.evaluate(docs, [R.no_duplicates("text", "doc_id")])
     p = plan_of(out.tagged)
     assert "hashpartitioning" not in p and "BroadcastExchange" in p  # the rows themselves stay where they are
-    assert ids.columns == ["_row_id"] and 0 < ids.count() == out.quarantine.count()
-    thin = quality._losers(docs.select("_row_id", quality._dup_key(docs, ["text"]).alias("_dk"), "doc_id"), F.lit(True), ["doc_id"])[0]
+    assert ids.columns == ["__dg_row_id"] and 0 < ids.count() == out.quarantine.count()
+    thin = quality._losers(docs.select("__dg_row_id", quality._dup_key(docs, ["text"]).alias("_dk"), "doc_id"), F.lit(True), ["doc_id"])[0]
     for line in plan_of(thin).splitlines():
         if "Exchange" in line or "Window" in line:
             assert "text" not in line

@@ -46,7 +46,7 @@ def test_rules_on_rows_need_an_identity_and_must_keep_it(spark):
     plain = spark.createDataFrame([(1,)], "id int")
     with pytest.raises(ValueError, match="identity"):
         quality.evaluate(plain, [R.reference("id", plain)])
-    with pytest.raises(ValueError, match="_row_id"):
+    with pytest.raises(ValueError, match="__dg_row_id"):
         quality.evaluate(identity.stored(plain), [R.custom_rows("lost", "id", lambda df, c: df.select(c))])
     with pytest.raises(ValueError, match="stored"):
         identity.identified(plain)
