@@ -36,6 +36,8 @@ MAX_RULES = 8
 MAX_CONDITIONS = 3
 MIN_PRECISION = 0.9
 MIN_COVERED = 5
+#: Ids of labelled documents are broadcast up to this many.
+BROADCAST_IDS = 1_000_000
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _MORE = ["n_lines", "n_distinct_words", "n_upper", "n_digits", "n_marks"]
@@ -228,10 +230,15 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that pass, all columns as they are. The texts are read twice, to learn and to
-    judge, and never shuffled."""
-    thin = with_statistics(docs.select(F.col(id_col).alias("__dg_id"), F.col(text_col).alias("__dg_text")), "__dg_text")
-    rules = learn(written(thin.drop("__dg_text").withColumnRenamed("__dg_id", id_col), "statistics"), labels, id_col)
+    """The documents that pass, all columns as they are. Texts are never shuffled: the labelled ones are
+    read to learn (picked by a broadcast of their ids if there are at most ``BROADCAST_IDS``, else
+    the statistics of all texts are taken), then all are read to be judged."""
+    thin = docs.select(F.col(id_col).alias("__dg_id"), F.col(text_col).alias("__dg_text"))
+    known = labels.select(F.col(id_col).alias("__dg_known")).filter("__dg_known is not null").distinct()
+    if known.count() <= BROADCAST_IDS:
+        thin = thin.join(F.broadcast(known), F.col("__dg_id") == F.col("__dg_known"), "left_semi")
+    learning = written(with_statistics(thin, "__dg_text").drop("__dg_text").withColumnRenamed("__dg_id", id_col), "statistics")
+    rules = learn(learning, labels, id_col)
     judged = docs.select(F.struct(*docs.columns).alias("__dg_row"), F.col(text_col).alias("__dg_text"))
     # A filter on the statistics would be pushed below them, computing them anew for every use; a
     # generated row (none for a rejected text) is not.

@@ -126,14 +126,18 @@ WITH l AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS lines,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS worded
   FROM documents),
-pages AS (SELECT DISTINCT source, worded FROM l WHERE text IS NOT NULL),
+pages AS (SELECT source, worded FROM l WHERE text IS NOT NULL),
 totals AS (SELECT source, count(*) AS n_pages FROM pages GROUP BY source),
 counted AS (
   SELECT source, line, count(*) AS n FROM (SELECT source, unnest(list_distinct(worded)) AS line FROM pages)
-  GROUP BY source, line HAVING count(*) >= {site_lines.MIN_PAGES}),
+  GROUP BY source, line HAVING count(*) > 1),
+shares AS (
+  SELECT c.source, c.line, t.n_pages::DOUBLE - 1.0::DOUBLE AS n, (c.n::DOUBLE - 1.0::DOUBLE) / (t.n_pages::DOUBLE - 1.0::DOUBLE) AS p, {site_lines.Z * site_lines.Z}::DOUBLE AS zz
+  FROM counted c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source),
 over AS (
-  SELECT c.source, list(c.line) AS dropped FROM counted c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
-  WHERE c.n > {site_lines.RATIO} * t.n_pages GROUP BY c.source),
+  SELECT source, list(line) AS dropped FROM shares
+  WHERE (p + zz / (n * 2.0::DOUBLE) - sqrt(p * (1.0::DOUBLE - p) / n + zz / (n * n * 4.0::DOUBLE)) * {site_lines.Z}::DOUBLE) / (zz / n + 1.0::DOUBLE) > {site_lines.RATIO}::DOUBLE
+  GROUP BY source),
 kept AS (
   SELECT l.doc_id, l.source, l.lines, list_filter(l.lines, lambda x: NOT list_contains(coalesce(o.dropped, []), x)) AS kept
   FROM l LEFT JOIN over o ON l.source IS NOT DISTINCT FROM o.source)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from driftgate.llm import common
+from driftgate.operators import identity
 from driftgate.session import written
 
 SHINGLE_WORDS = 3
@@ -147,13 +148,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """Keep one document of each near-duplicate group: the one with the smallest id (of repeated
-    rows, one). All columns of ``docs`` are kept as they are."""
-    marked = with_fingerprint(docs, text_col, "__dg_fp", shingle_words)
-    found = components(written(marked.select(F.col(id_col).alias("id"), F.col("__dg_fp").alias("fp")), "prints"), max_bits)
-    found = found.select(F.col("fp").alias("__dg_fp"), F.col("root").alias("__dg_root"), F.col("component_id").alias("__dg_low"))
-    first = marked.join(found, "__dg_fp").filter(F.col(id_col).eqNullSafe(F.col("__dg_low"))).dropDuplicates(["__dg_root"])
-    return first.select(*docs.columns)
+    """Keep one document of each near-duplicate group: the one with the smallest id (null ids last), of
+    several rows with that id the one with the smallest fingerprint, then the first in its file. All
+    columns of ``docs`` are kept as they are.
+
+    Rows are chosen on a table of (row identity, id, fingerprint); the texts only learn which rows
+    go, by a join on the identity (broadcast up to a bound, see ``operators.identity``). Give rows read
+    from files their identity; any other frame is written once for it. The result does not carry it."""
+    rows = docs if identity.is_identified(docs) else identity.stored(docs)
+    thin = with_fingerprint(rows.select(identity.ROW_ID, F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", "fp", shingle_words)
+    thin = written(thin.drop("text"), "prints")
+    found = components(thin.select("fp", "id"), max_bits)
+    grouped = thin.join(found.select("fp", "root"), "fp")
+    first = F.struct(F.col("id").isNull().alias("n"), "id", "fp", identity.ROW_ID)
+    keep = grouped.groupBy("root").agg(F.min(first).alias("o")).select(f"o.{identity.ROW_ID}")
+    gone = written(thin.join(keep, identity.ROW_ID, "left_anti").select(identity.ROW_ID), "copies")
+    return identity.flagged(rows, gone, "__dg_gone").filter(F.col("__dg_gone").isNull()).select(*[c for c in docs.columns if c != identity.ROW_ID])
 
 
 common.ship(__name__)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from driftgate.llm import decision_list, decontaminate, host_reputation, phrase_automata, simhash_ring, site_lines
 from driftgate.llm.queries import QUERIES, SQL
+from driftgate.operators import identity
 from llm_fixtures import benchmark, docs, labels, no_docs, rows  # noqa: F401
 from oracle_compare import compare, duck
 
@@ -84,6 +85,7 @@ def test_simhash_on_edge_cases(docs, rows, no_docs):
     assert Counter(tuple(r) for r in simhash_ring.near_duplicates(docs).collect()) == want
     assert simhash_ring.near_duplicates(no_docs).count() == 0 and simhash_ring.one_of_each(no_docs).count() == 0
     kept = simhash_ring.one_of_each(docs)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, simhash_ring.one_of_each(identity.identified(docs)).collect()))
     assert kept.columns == docs.columns
     groups = {(c if c is not None else p) for _, p, c in want}
     assert kept.count() == len(groups) and {r.doc_id for r in kept.collect()} - {None} == {c for _, _, c in want if c is not None}
@@ -142,29 +144,54 @@ def test_decontamination_edge_cases(docs, rows, no_docs, benchmark):
     assert kept.columns == docs.columns and kept.count() == sum(n for k, n in want.items() if not k[2])
 
 
-def test_line_dedup(docs, no_docs):
-    out = {r.doc_id: r for r in site_lines.drop_boilerplate(docs, ratio=0.2, min_pages=3, lines_col="n", dropped_col="gone").collect()}
-    assert any("Cookie" in (r.text or "") for r in docs.collect()) and not any("Cookie" in (r.text or "") for r in out.values())
-    assert out[0].text is None and out[0].n == 0 and out[1].text == "" and out[2].text == " \t\n "
+def brute_lines(table, once=False):
+    """(host, text, text without boilerplate, dropped lines) of (host, text) rows."""
+    worded = lambda t: [x for x in t.split("\n") if WORDS.search(x)]
+    pages = [(h, tuple(worded(t))) for h, t in table if t is not None]
+    pages = list(set(pages)) if once else pages
+    totals, counts = Counter(h for h, _ in pages), Counter((h, x) for h, lines in pages for x in set(lines))
+
+    def boilerplate(host, line):
+        n, k, z = totals[host] - 1, counts[host, line] - 1, 1.96
+        if k < 1:
+            return False
+        p = k / n
+        return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n) > 0.065
+
+    out = Counter()
+    for host, t in table:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if not WORDS.search(x) or not boilerplate(host, x)]
+        out[host, None if t is None else "\n".join(kept), len(lines) - len(kept)] += 1
+    return out
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("once", [False, True])
+def test_line_dedup(docs, rows, no_docs, once, limit, monkeypatch):
+    monkeypatch.setattr(site_lines, "BROADCAST_LINES", limit)
+    want = brute_lines([(r[3], r[1]) for r in rows], once)
+    out = site_lines.drop_boilerplate(docs, once=once, lines_col="n", dropped_col="gone").collect()
+    assert Counter((r.source, r.text, r.gone) for r in out) == want and any(k[2] for k in want)
+    assert not any("Cookie" in (r.text or "") for r in out)
     assert site_lines.drop_boilerplate(docs).columns == docs.columns and site_lines.drop_boilerplate(no_docs).count() == 0
 
 
-def test_line_dedup_with_its_own_values(spark):
-    rows, want = [], 0
-    for host, n_pages, share in (("large", 2000, 0.35), ("hot", 20_000, 0.5), ("under", 2000, 0.25), ("small", 12, 1.0), ("tiny", 9, 1.0)):
-        n_footer = int(n_pages * share)
-        rows += [(f"{host}{i}", host, f"own line {i} of {host}" + ("\nfooter" if i < n_footer else "")) for i in range(n_pages)]
-        want += n_footer if host in ("large", "hot", "small") else 0
-    df = spark.createDataFrame(rows, "doc_id string, source string, text string")
+def test_line_dedup_treats_hosts_of_any_size_alike(spark):
+    shares = {"large": (2000, 700), "hot": (20_000, 10_000), "under": (2000, 100), "small": (12, 12), "tiny": (9, 9), "pair": (2, 2), "one": (1, 1), "few": (10, 2)}
+    table = [(host, f"own line {i} of {host}" + ("\nfooter" if i < n else "")) for host, (pages, n) in shares.items() for i in range(pages)]
+    df = spark.createDataFrame(table, "source string, text string")
     out = site_lines.drop_boilerplate(df, dropped_col="gone")
-    assert out.agg(F.sum("gone")).first()[0] == want
+    assert Counter((r.source, r.text, r.gone) for r in out.collect()) == brute_lines(table)
     kept = {r.source for r in out.filter(F.col("text").contains("footer")).select("source").distinct().collect()}
-    assert kept == {"under", "tiny"}  # under the ratio, under the page floor
+    assert kept == {"under", "one", "few"}
 
 
-def test_copies_are_not_boilerplate(spark):
-    df = spark.createDataFrame([(i, "h", "the same page\nof a group of copies") for i in range(60)] + [(100 + i, "h", f"own page {i}") for i in range(30)], "doc_id int, source string, text string")
-    assert site_lines.drop_boilerplate(df, dropped_col="gone").agg(F.sum("gone")).first()[0] == 0
+def test_copies_are_not_boilerplate_if_they_count_once(spark):
+    table = [("h", "the same page\nof a group of copies")] * 60 + [("h", f"own page {i}") for i in range(30)]
+    df = spark.createDataFrame(table, "source string, text string")
+    gone = lambda **how: site_lines.drop_boilerplate(df, dropped_col="gone", **how).agg(F.sum("gone")).first()[0]
+    assert gone(once=True) == 0 and gone() == 120
 
 
 def brute_stats(text):
