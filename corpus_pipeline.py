@@ -5,8 +5,9 @@ result as Parquet in the shared folder and gives the reread table to the next. A
 return the columns of ``documents``. What a stage drops:
 
 1. quality rules: documents that the base rule or the learned decision list rejects;
-2. line dedup: boilerplate lines of a source (the text changes, documents stay; ``n_chars``, if
-   there is one, is recounted for changed texts);
+2. line dedup: boilerplate lines of a source, pages with equal lines counted once, since copies
+   go only in the next stage (the text changes, documents stay; ``n_chars``, if there is one, is
+   recounted for changed texts);
 3. SimHash near-dedup: all but the smallest id of each group;
 4. benchmark decontamination: documents with an occurrence of a benchmark window;
 5. SentencePiece: nothing; each document's ids, their number, and whether they decode to its text.
@@ -33,8 +34,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" not in docs.columns:
-        return site_lines.drop_boilerplate(docs, "source", "text")
-    out = site_lines.drop_boilerplate(docs, "source", "text", dropped_col="__dg_dropped")
+        return site_lines.drop_boilerplate(docs, "source", "text", once=True)
+    out = site_lines.drop_boilerplate(docs, "source", "text", once=True, dropped_col="__dg_dropped")
     n_chars = F.when(F.col("__dg_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(*docs.columns)
 
@@ -49,9 +50,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = piece_lattice.load(tokenizer("piece_bpe_32k.model"))
-    decoded = piece_lattice.decode(piece_lattice.encode(docs.select("doc_id", "text"), model, keep_text=True), model)
-    same = F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")
-    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
+    return piece_lattice.encode(docs, model, results=("ids", "n_ids", "round_trip"))
 
 
 STAGES = [
