@@ -37,6 +37,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -339,34 +340,34 @@ def encode(
     id_type = thin.schema["id"].dataType.simpleString()
     thin = thin.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)).alias("block"))
 
-    blocks = common.squeezed(thin)
+    blocks, hash_of = common.squeezed(thin), xxhash.xxh64_intdigest
 
     def texts(table: pa.Table) -> Iterator[str]:
         opener = zstandard.ZstdDecompressor()
         for blob in table.column("blob").to_pylist():
             yield opener.decompress(blob).decode()
 
-    def taken(table: pa.Table) -> tuple[list[np.ndarray], list[str], list[int]]:
-        """Each text as numbers of the block's distinct keys, and the keys' units as in ``units``."""
-        number: dict[str, int] = {}
-        numbered = []
-        for text in texts(table):
-            own = keys(text, model.prefix)
-            for k in own:
-                if k not in number:
-                    number[k] = len(number)
-            numbered.append(np.fromiter(map(number.__getitem__, own), np.int32, len(own)))
-        return numbered, *units(model, [chunk_of(k) for k in number])
+    def split(table: pa.Table) -> list[list[str]]:
+        """The keys of each text."""
+        return [keys(text, model.prefix) for text in texts(table)]
+
+    def taken(found: set[str]) -> tuple[list[str], list[str], list[int]]:
+        """Distinct keys in some order, with their units as in ``units``."""
+        own = list(found)
+        return own, *units(model, [chunk_of(k) for k in own])
 
     def dealt(flat: list[str]) -> list[list[bytes]]:
         """The distinct units for each bucket, sorted."""
         out: list[list[bytes]] = [[] for _ in range(n_buckets)]
-        for u in sorted(u.encode() for u in set(flat) if len(u) <= LONG_CHUNK):
-            out[common.bucket(u, n_buckets)].append(u)
+        for u in sorted([u.encode() for u in set(flat) if len(u) <= LONG_CHUNK]):
+            out[hash_of(u) % n_buckets].append(u)
         return out
 
     def ask(table: pa.Table) -> pa.Table:
-        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(taken(table)[1])) if words]
+        found: set[str] = set()
+        for text in texts(table):
+            found.update(keys(text, model.prefix))
+        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(taken(found)[1])) if words]
         block = table.column("block")[0].as_py()
         return pa.table({
             "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([i for i, _ in rows], pa.int64()),
@@ -393,25 +394,22 @@ def encode(
     replies = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block long, bucket long, ids binary")
 
     def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        numbered, flat, last = taken(rows)
+        each = split(rows)
+        own, flat, last = taken(set().union(*each))
         asked_words, known = dealt(flat), {}
         for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
             known |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
         known |= {u: np.array(encode_long(model, u), np.int32).tobytes() for u in set(flat) if len(u) > LONG_CHUNK}
         parts = list(map(known.__getitem__, flat))
-        spelt = [b"".join(parts[a:b]) for a, b in zip([0, *last], last, strict=False)]
-        del asked_words, known, parts, flat
+        spelt = {k: b"".join(parts[a:b]) for k, a, b in zip(own, [0, *last], last, strict=False)}
+        del asked_words, known, parts, flat, own
         out: dict[str, list] = {name: [] for name in results}
-        for text, key_numbers in zip(texts(rows), numbered, strict=True):
-            raw = b"".join(map(spelt.__getitem__, key_numbers.tolist()))
-            ids = np.frombuffer(raw, "<i4")
-            back = decoded(table, ids, model.prefix) if {"decoded", "decoded_sha256", "round_trip"} & set(results) else b""
-            values = {
-                "ids": lambda: raw, "n_ids": lambda: len(ids), "ids_crc32": lambda: zlib.crc32(raw), "decoded": lambda: back,
-                "decoded_sha256": lambda: hashlib.sha256(back).hexdigest(), "round_trip": lambda: back == text.encode(),
-            }
+        decoding = {"decoded", "decoded_sha256", "round_trip"} & set(results)
+        for text, own_keys in zip(texts(rows), each, strict=True):
+            raw = b"".join(map(spelt.__getitem__, own_keys))
+            back = decoded(table, np.frombuffer(raw, "<i4"), model.prefix) if decoding else b""
             for name, column in out.items():
-                column.append(values[name]())
+                column.append(_result(name, raw, back, text))
         return pa.table({"id": rows.column("id").combine_chunks()} | {name: _column(name, column) for name, column in out.items()})
 
     schema = ", ".join([f"id {id_type}", *[f"{name} {RESULTS[name]}" for name in results]])
@@ -419,6 +417,18 @@ def encode(
     return out.withColumnRenamed("id", id_col)
 
 
+def _result(name: str, raw: bytes, back: bytes, text: str):
+    if name == "n_ids":
+        return len(raw) // 4
+    if name == "ids_crc32":
+        return zlib.crc32(raw)
+    if name == "decoded_sha256":
+        return hashlib.sha256(back).hexdigest()
+    if name == "round_trip":
+        return back == text.encode()
+    return raw if name == "ids" else back
+
+
 def _column(name: str, values: list) -> pa.Array:
     if name == "ids":
         ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in values])]).astype(np.int32)
