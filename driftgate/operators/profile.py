@@ -72,11 +72,12 @@ def _long_form(df: DataFrame, cols: Sequence[str], table_index: int) -> DataFram
     )
 
 
-def _keys(df: DataFrame, cols: Sequence[str], table_index: int) -> DataFrame:
-    """(_t, _c, _l, _h): one row per (row, monitored column) with the category's key."""
+def _keys(df: DataFrame, cols: Sequence[str], first: int) -> DataFrame:
+    """(_n, _l, _h): one row per (row, monitored column) with the category's key; the columns are
+    numbered from ``first`` over all tables, so that one number names table and column."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    rows = ", ".join(f"{i}, {', '.join(category_key_sql(c, types[c]))}" for i, c in enumerate(cols))
-    return df.selectExpr(f"{table_index} AS _t", f"stack({len(cols)}, {rows}) AS (_c, _l, _h)")
+    rows = ", ".join(f"{i}, {', '.join(category_key_sql(c, types[c]))}" for i, c in enumerate(cols, start=first))
+    return df.selectExpr(f"stack({len(cols)}, {rows}) AS (_n, _l, _h)")
 
 
 def _plan(frames: Mapping[str, DataFrame], columns, exclude_columns):
@@ -87,8 +88,8 @@ def _plan(frames: Mapping[str, DataFrame], columns, exclude_columns):
         cols = monitored_columns(df, cols_for, excl_for)
         if not cols:
             continue
-        spine_rows += [(t, i, name, c) for i, c in enumerate(cols)]
-        longs.append(_keys(df, cols, t))
+        longs.append(_keys(df, cols, len(spine_rows)))
+        spine_rows += [(t, len(spine_rows) + i, name, c) for i, c in enumerate(cols)]
     return spine_rows, longs
 
 
@@ -122,15 +123,15 @@ def profile_tables(
         return spark.createDataFrame([], PROFILE_SCHEMA)
 
     long = _union_all(longs)
-    freq = long.groupBy("_t", "_c", "_l", "_h").agg(F.count(F.lit(1)).alias("_f"))
+    freq = long.groupBy("_n", "_l", "_h").agg(F.count(F.lit(1)).alias("_f"))
     f = F.col("_f")
-    stats = freq.groupBy("_t", "_c").agg(
+    stats = freq.groupBy(F.col("_n").alias("_c")).agg(
         F.sum(f).alias("_n"),
         F.count(F.lit(1)).alias("_d"),
         F.sum(f * F.log2(f.cast("double"))).alias("_s"),
         F.sum(F.when(F.col("_l").isNull(), f).otherwise(F.lit(0))).alias("_null"),
     )
-    joined = _spine(spark, spine_rows).join(F.broadcast(stats), ["_t", "_c"], "left")
+    joined = _spine(spark, spine_rows).join(F.broadcast(stats), "_c", "left")
     return _finish(joined)
 
 
