@@ -8,7 +8,9 @@ host's bad rate is above ``max_bad_rate`` or, if ``times_corpus`` is given, abov
 rate of all labelled pages; a host without labels has its domain's posterior.
 
 Outcomes are counted per host with partial sums; the levels above are sums of host rows, so a hot
-host is one row. The four numbers of each level's prior are the only rows that reach the driver.
+host is one row. One row of sums for each level's prior is all that reaches the driver. An IP address
+is a domain of its own under one suffix for all addresses; ports, user names and trailing dots count in
+the host of the result, not in its levels.
 
 Defined results: a null url or one without ``://`` has an empty host and path, which no rule
 fits, and is judged by its own (empty) host's reputation; repeated rows get equal results, one
@@ -30,8 +32,17 @@ RULES = (
 )
 MAX_BAD_RATE = 0.5
 BOUND_Z = 1.645  # one-sided 95 %
-#: Second-level labels under which names are registered, for two-letter country suffixes.
-SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
+#: Second-level labels under which names are registered, for two-letter country suffixes.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "go", "gov", "mil", "ne", "net", "or", "org")
+#: Further suffixes under which different owners hold names. Others may be passed, the
+#: whole public list too; of up to ``MAX_LABELS`` labels each.
+SUFFIXES = (
+    "appspot.com", "azurewebsites.net", "blogspot.com", "firebaseapp.com", "github.io", "gitlab.io", "herokuapp.com",
+    "netlify.app", "pages.dev", "vercel.app", "web.app", "wordpress.com", "workers.dev",
+)
+MAX_LABELS = 4
+#: The suffix of hosts that are IP addresses; each address is a domain of its own.
+ADDRESS = "[ip]"
 MIN_STRENGTH, MAX_STRENGTH = 1.0, 1000.0
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,13 +67,22 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return (none, none) if name is None else (name, verdict)
 
 
-def levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host."""
-    bare = F.regexp_replace(host, r":[0-9]*$", "")
-    deep = bare.rlike(r"[^.]\.(%s)\.[a-z]{2}$" % "|".join(SECOND_LEVEL))
-    suffix = F.when(deep, F.substring_index(bare, ".", -2)).otherwise(F.substring_index(bare, ".", -1))
-    domain = F.when(deep, F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
-    return domain, suffix
+def levels(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host, its user, port and trailing dots left out: the longest of
+    ``suffixes`` that the host ends with, else a country's second level, else the last label, and
+    for the domain one label more."""
+    bare = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"\.*(:[0-9]*)?$", "")
+    tail = lambda k: F.substring_index(bare, ".", -k)
+    address = bare.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$") | bare.startswith("[")
+    suffix, domain = F.when(address, ADDRESS), F.when(address, bare)
+    for k in range(MAX_LABELS, 0, -1):
+        own = [x for x in suffixes if x.count(".") == k - 1]
+        if own:
+            suffix, domain = suffix.when(tail(k).isin(own), tail(k)), domain.when(tail(k).isin(own), tail(k + 1))
+        if k == 2:
+            deep = bare.rlike(r"[^.]\.(%s)\.[a-z]{2}$" % "|".join(SECOND_LEVEL))
+            suffix, domain = suffix.when(deep, tail(2)), domain.when(deep, tail(3))
+    return domain.otherwise(tail(2)), suffix.otherwise(tail(1))
 
 
 def strength(groups: DataFrame, prior: str) -> float:
@@ -75,11 +95,11 @@ def strength(groups: DataFrame, prior: str) -> float:
     return MAX_STRENGTH if rho <= 0 else min(MAX_STRENGTH, max(MIN_STRENGTH, 1 / rho - 1))
 
 
-def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
+def reputation(pages: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """``pages`` (page_id, host), ``outcomes`` (page_id, bad 0/1): one row per host of the pages
     with its posterior (n, bad, alpha, beta) and the bad rate of all (corpus). No labels: no rows."""
     truth = outcomes.groupBy("page_id").agg(F.max("bad").alias("bad")).filter(F.col("bad").isNotNull())
-    domain, suffix = levels(F.col("host"))
+    domain, suffix = levels(F.col("host"), suffixes)
     marked = pages.join(truth, "page_id", "left")
     hosts = marked.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     hosts = written(hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad"), "hosts")
@@ -96,8 +116,7 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
         rate = (F.col("bad") + k * F.col("prior")) / (F.col("n") + k)
         return groups.select(*keys, rate.alias("prior"))
 
-    suffixes = level("suffix", None, None)
-    domains = level("domain", suffixes, "suffix").select("domain", "prior")
+    domains = level("domain", level("suffix", None, None), "suffix").select("domain", "prior")
     rated = hosts.join(domains, "domain")
     k = strength(rated, "prior")
     return rated.select(
@@ -113,11 +132,11 @@ def lower_bound(z: float = BOUND_Z) -> Column:
     return F.greatest(F.lit(0.0), a / (a + b) - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, max_bad_rate: float = MAX_BAD_RATE, times_corpus: float | None = None) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, max_bad_rate: float = MAX_BAD_RATE, times_corpus: float | None = None, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """One row per page: (id, host, path, rule, verdict, host_labels, bad_rate_bound)."""
     host, path = url_parts(F.col(url_col))
     thin = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    known = reputation(thin, outcomes).select("host", F.col("n").alias("host_labels"), lower_bound().alias("bound"), "corpus")
+    known = reputation(thin, outcomes, suffixes).select("host", F.col("n").alias("host_labels"), lower_bound().alias("bound"), "corpus")
     most = F.lit(max_bad_rate) if times_corpus is None else F.lit(times_corpus) * F.col("corpus")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("bound") > most, "block").otherwise("allow")

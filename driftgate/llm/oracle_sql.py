@@ -1,5 +1,6 @@
 """DuckDB SQL of the queries whose result takes more than a few joins to state.
 
+``url_sql()`` states rules, host levels, priors and posterior bounds level by level;
 ``CONVERSATION_REPAIR`` finds the least repair by going through the rows with the best (cost, edits)
 per state, so without the operator's search; ``pii()`` scans with the plain patterns and scores the
 pattern graph over texts instead of hashes.
@@ -7,7 +8,7 @@ pattern graph over texts instead of hashes.
 
 from __future__ import annotations
 
-from driftgate.llm import contextual_pii as pii
+from driftgate.llm import contextual_pii as pii, host_reputation as hosts
 
 CONVERSATION_REPAIR = """
 WITH RECURSIVE keyed AS (
@@ -163,3 +164,59 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.KINDS)}, s
        coalesce(n_found, 0) AS n_found
 FROM d LEFT JOIN listed USING (r)
 """
+
+
+def _strength(groups: str) -> str:
+    """The strength of a level's prior, as one number."""
+    return f"""(
+  SELECT CASE WHEN coalesce(w, 0) = 0 OR s <= c THEN {hosts.MAX_STRENGTH}::DOUBLE
+              ELSE least({hosts.MAX_STRENGTH}::DOUBLE, greatest({hosts.MIN_STRENGTH}::DOUBLE, w / (s - c) - 1.0::DOUBLE)) END
+  FROM (SELECT sum((bad - n * prior) * (bad - n * prior)) AS s, sum(n * prior * (1 - prior)) AS c, sum(n * (n - 1) * prior * (1 - prior)) AS w FROM {groups}))"""
+
+
+def url_sql(pages: str = "pages", bad: str = "CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0 END") -> str:
+    """Of the query over ``labels``, whose outcome is ``bad``."""
+    rules = sorted(hosts.RULES, key=lambda r: (-len(r[0] + r[1]), r))
+    fits = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN" for h, p, _ in rules]
+    name = " ".join(f"{f} '{h}{p}'" for f, (h, p, _) in zip(fits, rules, strict=True))
+    verdict = " ".join(f"{f} '{v}'" for f, (_, _, v) in zip(fits, rules, strict=True))
+    listed = ", ".join(f"'{x}'" for x in hosts.SUFFIXES)
+    return f"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {pages}),
+cut AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM parts),
+urls AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM cut),
+truth AS (SELECT doc_id AS page_id, max({bad}) AS bad FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT host, count(t.bad) AS n, coalesce(sum(t.bad), 0)::BIGINT AS bad, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), '\\.*(:[0-9]*)?$', ''), '.') AS l
+  FROM urls LEFT JOIN truth t USING (page_id) GROUP BY host),
+-- how many labels the suffix has; 0: an address
+sized AS (
+  SELECT *, CASE WHEN regexp_matches(array_to_string(l, '.'), '^([0-9]{{1,3}}\\.){{3}}[0-9]{{1,3}}$') OR starts_with(l[1], '[') THEN 0
+                 WHEN array_to_string(l[-4:], '.') IN ({listed}) THEN least(4, len(l)) WHEN array_to_string(l[-3:], '.') IN ({listed}) THEN least(3, len(l))
+                 WHEN array_to_string(l[-2:], '.') IN ({listed}) THEN least(2, len(l))
+                 WHEN len(l) > 2 AND l[-3] <> '' AND list_contains({list(hosts.SECOND_LEVEL)}, l[-2]) AND regexp_full_match(l[-1], '[a-z]{{2}}') THEN 2
+                 ELSE 1 END AS k
+  FROM counted),
+leveled AS (
+  SELECT host, n, bad, CASE WHEN k = 0 THEN '{hosts.ADDRESS}' ELSE array_to_string(l[-k:], '.') END AS suffix,
+         CASE WHEN k = 0 THEN array_to_string(l, '.') ELSE array_to_string(l[-least(len(l), k + 1):], '.') END AS domain
+  FROM sized),
+total AS (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1.0::DOUBLE) AS mean FROM leveled HAVING sum(n) > 0),
+s0 AS (SELECT suffix, any_value(mean) AS prior, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM leveled, total GROUP BY suffix),
+s1 AS (SELECT suffix, (bad + k * prior) / (n + k) AS prior FROM s0, (SELECT {_strength("s0")} AS k)),
+d0 AS (
+  SELECT domain, any_value(s1.prior) AS prior, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
+  FROM leveled JOIN s1 USING (suffix) GROUP BY suffix, domain),
+d1 AS (SELECT domain, (bad + k * prior) / (n + k) AS prior FROM d0, (SELECT {_strength("d0")} AS k)),
+h0 AS (SELECT host, n::DOUBLE AS n, bad::DOUBLE AS bad, prior FROM leveled JOIN d1 USING (domain)),
+post AS (SELECT host, n, bad + k * prior AS a, n - bad + k * (1 - prior) AS b FROM h0, (SELECT {_strength("h0")} AS k)),
+bounds AS (SELECT host, n, greatest(0.0::DOUBLE, a / (a + b) - {hosts.BOUND_Z}::DOUBLE * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))) AS bound FROM post)
+SELECT page_id, host, path, CASE {name} END AS rule,
+       coalesce(CASE {verdict} END, CASE WHEN bound > {hosts.MAX_BAD_RATE}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(n, 0)::BIGINT AS host_labels, round(coalesce(bound, 0.0::DOUBLE), 6) AS bad_rate_bound
+FROM urls LEFT JOIN bounds USING (host)
+"""

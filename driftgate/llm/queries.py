@@ -170,6 +170,7 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(hit.n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+SQL["op8_url_filters"] = long_sql.url_sql()
 SQL["op11_conversation_repair"] = long_sql.CONVERSATION_REPAIR
 SQL["op12_pii"] = long_sql.pii_sql()
 

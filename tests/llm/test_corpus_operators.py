@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import re
 import sys
+import unicodedata
 from collections import Counter
 
+import duckdb
 import pytest
+import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
 from driftgate.llm import decision_list, decontaminate, host_reputation, phrase_automata, simhash_ring, site_lines
-from driftgate.llm.queries import QUERIES, SQL
+from driftgate.llm.queries import QUERIES, SQL, tokenizer
 from driftgate.operators import identity
-from llm_fixtures import benchmark, docs, labels, no_docs, rows  # noqa: F401
+from llm_fixtures import BENCH, SCHEMA, benchmark, docs, labels, no_docs, rows  # noqa: F401
 from oracle_compare import compare, duck
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -144,8 +148,8 @@ def test_decontamination_edge_cases(docs, rows, no_docs, benchmark):
     assert kept.columns == docs.columns and kept.count() == sum(n for k, n in want.items() if not k[2])
 
 
-def brute_lines(table, once=False):
-    """(host, text, text without boilerplate, dropped lines) of (host, text) rows."""
+def brute_boilerplate(table, once=False):
+    """Whether a line of a host is boilerplate, of (host, text) rows."""
     worded = lambda t: [x for x in t.split("\n") if WORDS.search(x)]
     pages = [(h, tuple(worded(t))) for h, t in table if t is not None]
     pages = list(set(pages)) if once else pages
@@ -158,7 +162,12 @@ def brute_lines(table, once=False):
         p = k / n
         return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n) > 0.065
 
-    out = Counter()
+    return boilerplate
+
+
+def brute_lines(table, once=False):
+    """(host, text without boilerplate, dropped lines) of (host, text) rows."""
+    boilerplate, out = brute_boilerplate(table, once), Counter()
     for host, t in table:
         lines = (t or "").split("\n")
         kept = [x for x in lines if not WORDS.search(x) or not boilerplate(host, x)]
@@ -258,10 +267,38 @@ def test_url_filters(spark):
 
 
 def test_host_levels(spark):
-    df = spark.createDataFrame([("a.b.co.uk:80",), ("x.example.com",), ("localhost",), ("",)], "h string")
-    assert [tuple(r) for r in df.select(*host_reputation.levels(F.col("h"))).collect()] == [
-        ("b.co.uk", "co.uk"), ("example.com", "com"), ("localhost", "localhost"), ("", ""),
+    want = {
+        "a.b.co.uk:80": ("b.co.uk", "co.uk"), "x.example.com": ("example.com", "com"), "localhost": ("localhost", "localhost"), "": ("", ""),
+        "10.0.0.1": ("10.0.0.1", "[ip]"), "10.0.0.1:8080": ("10.0.0.1", "[ip]"), "[2001:db8::1]:80": ("[2001:db8::1]", "[ip]"), "1.2.3.4.com": ("4.com", "com"),
+        "a.x.github.io": ("x.github.io", "github.io"), "github.io": ("github.io", "github.io"), "notgithub.io": ("notgithub.io", "io"),
+        "b.a.or.jp": ("a.or.jp", "or.jp"), "co.uk": ("co.uk", "uk"), "www.example.com.": ("example.com", "com"), "example.com..:80": ("example.com", "com"),
+        "me:pw@example.com": ("example.com", "com"), "...": ("", ""),
+    }
+    df = spark.createDataFrame([(h,) for h in want], "h string")
+    assert {r.h: (r.d, r.s) for r in df.select("h", *[c.alias(n) for c, n in zip(host_reputation.levels(F.col("h")), "ds", strict=True)]).collect()} == want
+    own = host_reputation.levels(F.lit("a.b.c.d.example"), ("c.d.example", "d.example", "b.c.d.example"))
+    assert tuple(df.select(*own).first()) == ("a.b.c.d.example", "b.c.d.example")
+
+
+def test_host_reputation_matches_sql_on_planted_hosts(spark, tmp_path):
+    hosts = [
+        ("spam.github.io", 60, 58), ("a.spam.github.io", 4, 4), ("fine.github.io", 60, 1), ("10.0.0.1:80", 50, 49), ("10.0.0.2", 50, 0), ("X.Bad.or.jp.", 30, 29),
+        ("www.bad.or.jp", 3, 0), ("good.co.uk", 80, 4), ("[::1]:80", 2, 1), ("u:p@bad.org", 40, 38), ("bad.org", 7, 7), ("localhost", 5, 1), ("", 3, 3), ("...", 2, 0), ("github.io", 3, 1),
     ]
+    rows = [(f"http://{h}/p{i}", int(i < bad)) for h, n, bad in hosts for i in range(n)]
+    rows += [(None, 1), ("no host", 0), ("http://sub.spam.github.io/unlabelled", None), ("http://bad.org", None), ("http://x.net/es/", None), ("http://www.example.com/en/?q", 1), ("https://example.com#/en/", 0)]
+    pages = [(i, u, "x") for i, (u, _) in enumerate(rows)]
+    spark.createDataFrame(pages + pages[:3], "page_id long, url string, bound string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, None if b is None else 1 - b, 0, "x") for i, (_, b) in enumerate(rows)] + [(4, 1, 1, "y"), (None, 0, 0, "z"), (5, None, 1, "w")]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int, bad string").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    ok, message, _ = compare(spark, con, "op8_url_filters", QUERIES["op8_url_filters"], SQL["op8_url_filters"], str(tmp_path))
+    assert ok, message
+    blocked = {r.host for r in QUERIES["op8_url_filters"](spark, str(tmp_path)).filter("rule is null and verdict = 'block'").collect()}
+    assert {"spam.github.io", "sub.spam.github.io", "10.0.0.1:80", "u:p@bad.org"} <= blocked
+    assert not blocked & {"fine.github.io", "10.0.0.2", "good.co.uk", "localhost", "github.io"}
 
 
 def test_host_reputation_relative_to_the_corpus(spark):
@@ -294,3 +331,78 @@ def test_pipeline_stages(spark, docs, rows, benchmark, labels, tmp_path):
     assert kept <= {r.doc_id for r in judged.collect()} and sizes[3] < sizes[2]
     assert at.filter("not round_trip").count() == 0 and sizes[5] == sizes[4]
     assert sorted(r.doc_id for r in C.run(spark, str(tmp_path)).collect()) == sorted(r.doc_id for r in at.collect())
+
+
+def brute_features(text):
+    t = text or ""
+    w, lines = WORDS.findall(t), [x for x in t.split("\n") if WORDS.search(x)]
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, _ = brute_stats(t)
+    upper = sum(unicodedata.category(c) == "Lu" for c in t)
+    counts = dict(
+        n_words=n_words, word_chars=word_chars, n_symbols=n_symbols, n_dup_lines=n_dup_lines, n_repeat_words=n_repeat_words, n_lines=len(lines),
+        n_distinct_words=len(set(w)), n_upper=upper, n_digits=sum(c in "0123456789" for c in t), n_marks=t.count("!") + t.count("?"),
+    )
+    return {name: counts[a] / counts[b] if counts[b] else 0.0 for name, (a, b) in decision_list.FEATURES.items()}
+
+
+def test_pipeline_against_brute_force(spark, rows, tmp_path):
+    """All five stages in plain Python; of the operators only the learned rules are taken, and judged here."""
+    import corpus_pipeline as C
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("aeioubcdfg") for _ in range(rnd.randint(3, 9))) for _ in range(900)]
+    prose = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    page = prose(300)
+    texts = [prose(40) + " ### $$$ <> ** " * 6 + prose(20) for _ in range(45)] + [prose(60) for _ in range(60)]
+    texts += [f"{prose(30)}\nAll rights reserved, foot of the site\n{prose(30)}" for _ in range(25)]
+    texts += [page, page, page.replace(" ", "  "), f"{page} {prose(1)}", page + "\nAll rights reserved, foot of the site"]
+    texts += [f"{prose(20)} {item} {prose(25)}" for _, item in BENCH if item and len(item) > 9] + [f"{prose(30)}\n" * 3]
+    more = [(100 + i, t, "en", f"h{i % 3}", len(t), 5, 6, "w", "h", 1, 2) for i, t in enumerate(texts)]
+    table = rows + more
+    labels = [(i, 1, 0) for i in range(0, 30)] + [(r[0], int("###" not in r[1]), 0) for r in more] + [(None, 0, 1), (4, None, None)]
+    docs = spark.createDataFrame(table, SCHEMA).repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(BENCH, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    rules = decision_list.learn(decision_list.with_statistics(at.select("doc_id", "text")), spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    assert rules
+
+    def rejected(text):
+        f = brute_features(text)
+        return any(all((f[c.feature] >= c.threshold) == c.at_least for c in rule.conditions) for rule in rules)
+
+    good = [r for r in table if not brute_stats(r[1])[-1] and not rejected(r[1])]
+    boilerplate, deduped = brute_boilerplate([(r[3], r[1]) for r in good], once=True), []
+    for r in good:
+        text = "\n".join(x for x in r[1].split("\n") if not WORDS.search(x) or not boilerplate(r[3], x))
+        deduped.append((r[0], text, *r[2:4], r[4] if text == r[1] else len(text), *r[5:]))
+    assert deduped != good
+    groups = brute_components([(k, brute_print(r[1])) for k, r in enumerate(deduped)])
+    members = {}
+    for k, _, low in groups:
+        members.setdefault(low, []).append(deduped[k])
+    unique = [min(m, key=lambda r: (r[0] is None, r[0])) for m in members.values()]
+    windows = set()
+    for _, item in BENCH:
+        b = bench_words(item)
+        windows |= {tuple(b[i : i + min(10, len(b))]) for i in range(max(1, len(b) - 9))} if b else set()
+
+    def clean(text):
+        w = bench_words(text)
+        return not any(tuple(w[i : i + n]) in windows for n in {len(x) for x in windows} for i in range(len(w) - n + 1))
+
+    last = [r for r in unique if clean(r[1])]
+    assert len(table) > len(good) > len(unique) > len(last) > 50
+    for i, (_, stage) in enumerate(C.STAGES):
+        stage(spark, at, str(tmp_path)).write.parquet(f"{tmp_path}/stage{i}")
+        at = spark.read.parquet(f"{tmp_path}/stage{i}")
+        if i < 4:
+            assert Counter(map(tuple, at.collect())) == Counter((good, deduped, unique, last)[i]), C.STAGES[i][0]
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer("piece_bpe_32k.model"))
+    want = Counter()
+    for r in last:
+        ids = tuple(sp.encode(r[1]))
+        want[r[0], ids, len(ids), True] += 1
+    assert Counter((r.doc_id, tuple(r.ids), r.n_ids, r.round_trip) for r in C.run(spark, str(tmp_path)).collect()) == want
