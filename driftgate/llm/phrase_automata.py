@@ -6,8 +6,9 @@ everything a task holds is bounded by a block's text or by a bucket's share of t
 
 1. confirm: each block sends every hash bucket its distinct windows as truncated hashes (sorted,
    delta-coded) and learns which of them another block has too; for those, and for windows that
-   two of its own documents share, it sends the full hash and its smallest id; the bucket finds
-   the owner, the smallest id of all, and tells the owner's block which blocks need the window;
+   two of its own documents share, it sends the full hash, its smallest id and where it stands; the
+   bucket finds the owner, the smallest id of all, and tells the owner's block which blocks need
+   the window at that place;
 2. passages: the owner's block joins consecutive windows to passages and sends their text;
 3. automata: each block compiles the passages it was sent to Aho-Corasick automata, in shards of
    ``SHARD_CHARS``, and streams all its documents through them. The patterns are a passage's
@@ -71,7 +72,8 @@ class Block:
     def __init__(self, rows: pa.Table):
         opener = zstandard.ZstdDecompressor()
         pairs = zip(rows.column("id").to_pylist(), rows.column("blob").to_pylist(), strict=True)
-        pairs = sorted(pairs, key=lambda x: (x[0] is None, x[0] or 0))
+        # Texts order rows of one id, so that places mean the same whenever the block is read.
+        pairs = sorted(pairs, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         self.numbers = np.array([i or 0 for i, _ in pairs], np.int64)
         self.nulls = np.array([i is None for i, _ in pairs], bool)
         self.words = [opener.decompress(b).split() for _, b in pairs]
@@ -188,9 +190,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
 
     masks = asked.groupBy("bucket").applyInArrow(elsewhere, "block long, bucket long, mask binary")
 
+    claimed = ["block", "bucket", "hashes", "owners", "places", "several"]
+    claimed_types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+
     def claim(rows: pa.Table, replies: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return _table([], ["block", "bucket", "hashes", "owners", "several"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
+            return _table([], claimed, claimed_types)
         own = Block(rows)
         own.index(common.WordHashes())
         mask = dict(zip(replies.column("bucket").to_pylist(), replies.column("mask").to_pylist(), strict=True))
@@ -199,21 +204,22 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
             bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(mask[b]), np.uint8)
             at = part.start + np.flatnonzero(np.unpackbits(bits, count=part.stop - part.start).astype(bool) | own.several[part])
             if len(at):
-                out.append((block_of(rows), b, pack_sorted(own.hashes[at]), pack_ids(own.owners[at]), np.packbits(own.several[at]).tobytes()))
-        return _table(out, ["block", "bucket", "hashes", "owners", "several"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
+                out.append((block_of(rows), b, pack_sorted(own.hashes[at]), pack_ids(own.owners[at]), pack_ids(own.places[at]), np.packbits(own.several[at]).tobytes()))
+        return _table(out, claimed, claimed_types)
 
-    claims = blocks.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(claim, "block long, bucket long, hashes binary, owners binary, several binary")
+    claims = blocks.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(claim, "block long, bucket long, hashes binary, owners binary, places binary, several binary")
 
     def assign(rows: pa.Table) -> pa.Table:
-        columns = [rows.column(c).to_pylist() for c in ("block", "hashes", "owners", "several")]
-        parts = [[], [], [], []]
-        for block, hashes, owners, several in zip(*columns, strict=True):
+        columns = [rows.column(c).to_pylist() for c in claimed if c != "bucket"]
+        parts = [[], [], [], [], []]
+        for block, hashes, owners, places, several in zip(*columns, strict=True):
             own = unpack_sorted(hashes)
-            for part, x in zip(parts, (own, unpack_ids(owners), np.full(len(own), block, np.int64), np.unpackbits(np.frombuffer(several, np.uint8), count=len(own)).astype(bool)), strict=True):
+            flags = np.unpackbits(np.frombuffer(several, np.uint8), count=len(own)).astype(bool)
+            for part, x in zip(parts, (own, unpack_ids(owners), np.full(len(own), block, np.int64), unpack_ids(places), flags), strict=True):
                 part.append(x)
-        every, owner, block, several = (np.concatenate(p) for p in parts)
+        every, owner, block, place, several = (np.concatenate(p) for p in parts)
         order = np.lexsort((block, owner, every))
-        every, block, several = every[order], block[order], several[order]
+        every, block, place, several = every[order], block[order], place[order], several[order]
         head = np.concatenate([[True], every[1:] != every[:-1]])
         group = np.cumsum(head) - 1
         home = block[head][group]
@@ -221,29 +227,28 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
         needs = ~head | several
         alone = np.bincount(group)[group] == 1
         needs &= ~alone | several
-        home, target, every = home[needs], block[needs], every[needs]
-        order = np.lexsort((every, target, home))
-        home, target, every = home[order], target[order], every[order]
+        home, target, place = home[needs], block[needs], place[head][group][needs]
+        order = np.lexsort((place, target, home))
+        home, target, place = home[order], target[order], place[order]
         cuts = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]])) if len(home) else np.zeros(0, np.int64)
-        # One row for each home block, with (target, hash) pairs: not one for each pair of blocks.
-        out = [(int(home[a]), pack_ids(target[a:b]), pack_ids(every[a:b].view(np.int64))) for a, b in zip(cuts, np.append(cuts[1:], len(home)), strict=False)]
-        return _table(out, ["block", "targets", "hashes"], [pa.int64(), pa.binary(), pa.binary()])
+        # One row for each home block, with (target, place) pairs: not one for each pair of blocks.
+        out = [(int(home[a]), pack_ids(target[a:b]), pack_ids(place[a:b])) for a, b in zip(cuts, np.append(cuts[1:], len(home)), strict=False)]
+        return _table(out, ["block", "targets", "places"], [pa.int64(), pa.binary(), pa.binary()])
 
-    needed = claims.groupBy("bucket").applyInArrow(assign, "block long, targets binary, hashes binary")
+    needed = claims.groupBy("bucket").applyInArrow(assign, "block long, targets binary, places binary")
 
     def passages(rows: pa.Table, wanted: pa.Table) -> pa.Table:
         out = []
         if rows.num_rows and wanted.num_rows:
             own = Block(rows)
-            own.index(common.WordHashes())
             targets: dict[int, list[np.ndarray]] = {}
-            for packed, hashes in zip(wanted.column("targets").to_pylist(), wanted.column("hashes").to_pylist(), strict=True):
-                target, every = unpack_ids(packed), unpack_ids(hashes).view(np.uint64)
+            for packed, places in zip(wanted.column("targets").to_pylist(), wanted.column("places").to_pylist(), strict=True):
+                target, place = unpack_ids(packed), unpack_ids(places)
                 cuts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
                 for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(target)], strict=True):
-                    targets.setdefault(int(target[a]), []).append(every[a:b])
+                    targets.setdefault(int(target[a]), []).append(place[a:b])
             for target, lists in targets.items():
-                at = np.sort(own.places[np.searchsorted(own.hashes, np.concatenate(lists))])
+                at = np.sort(np.concatenate(lists))
                 cuts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
                 found = []
                 for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)], strict=True):
