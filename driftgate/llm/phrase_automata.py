@@ -26,7 +26,9 @@ one each; an empty table gives an empty result. Ids must be integers. Other colu
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import compress
 
 import ahocorasick
 import numpy as np
@@ -134,15 +136,17 @@ class Automata:
             shard.make_automaton()
             self.shards.append(shard)
 
-    def removed(self, doc_id: int, words: list[str]) -> np.ndarray:
-        """Which words are covered by a window of a passage with a smaller owner."""
+    def removed(self, doc_id: int, words: list[str], text: str) -> np.ndarray:
+        """Which words of ``text``, the words with one space before and after each, are covered by
+        a window of a passage with a smaller owner."""
         gone = np.zeros(len(words), bool)
-        text = f" {' '.join(words)} "
-        begins = np.cumsum([0] + [len(w) + 1 for w in words])  # of the space before each word
+        begins: list[int] = []  # of the space before each word, found at the first match
         reach: dict[tuple[int, int], int] = {}  # passage and shift: how far it was extended
         for shard in self.shards:
             for end, (size, places) in shard.iter(text):
-                at = int(np.searchsorted(begins, end + 1 - size))
+                if not begins:
+                    begins = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32).tolist()
+                at = bisect_left(begins, end + 1 - size)
                 for p, offset in places:
                     owner, own = self.passages[p]
                     shift = at - offset
@@ -267,10 +271,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
         out = []
         opener = zstandard.ZstdDecompressor()
         for doc_id, blob in zip(rows.column("id").to_pylist(), rows.column("blob").to_pylist(), strict=True):
-            words = [w.decode() for w in opener.decompress(blob).split()]
-            gone = automata.removed(doc_id, words) if doc_id is not None and len(words) >= WINDOW else np.zeros(len(words), bool)
-            kept = words if not gone.any() else [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-            out.append((doc_id, len(words), len(words) - len(kept), " ".join(kept)))
+            text = b" ".join(opener.decompress(blob).split()).decode()
+            words = text.split(" ") if text else []
+            gone = automata.removed(doc_id, words, f" {text} ") if doc_id is not None and len(words) >= WINDOW else np.zeros(0, bool)
+            if gone.any():
+                text = " ".join(compress(words, ~gone))
+            out.append((doc_id, len(words), int(gone.sum()), text))
         return _table(out, ["id", "n_words", "n_removed", "kept"], [pa.int64(), pa.int64(), pa.int64(), pa.string()])
 
     out = blocks.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(stream, "id long, n_words long, n_removed long, kept string")
