@@ -61,7 +61,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", sentencepiece),
 ]
 
-#: The learned list, XXH64 and the encoder are not SQL; tests hold ``run`` against brute force.
+#: The learned list, XXH64 and the encoder are not SQL; tests hold every stage's rows against plain Python.
 ORACLE_SQL = None
 
 
