@@ -57,6 +57,16 @@ def test_substring_dedup(docs, rows, no_docs, block_chars, monkeypatch):
     assert phrase_automata.dedup(no_docs).count() == 0
 
 
+def test_substring_dedup_of_rows_with_equal_ids(spark):
+    """Different texts under one id stand in the same order whenever a block is read."""
+    rnd = random.Random(3)
+    passages = [" ".join(f"w{rnd.randint(0, 500)}" for _ in range(30)) for _ in range(12)]
+    table = [(rnd.randint(0, 15), " ".join(f"u{rnd.randint(0, 900)}" for _ in range(rnd.randint(0, 20))) + " " + rnd.choice(passages) + " end") for _ in range(80)]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(7)
+    for block_chars in (10**9, 1500, 200):
+        assert Counter(tuple(r) for r in phrase_automata.dedup(df, block_chars=block_chars).collect()) == brute_dedup(table)
+
+
 def brute_print(text):
     w = WORDS.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
     shingles = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
