@@ -8,6 +8,11 @@ equals encoding the text whole (tested over all of Unicode's white space). A tex
 added token's string, or one of the ASCII separators 0x1C to 0x1F on which definitions of white
 space differ, is encoded whole. So is every text with a tokenizer that is not known to be of that
 kind (``by_units``).
+
+Where no offsets are asked for, a new unit of printable characters up to U+024F is itself cut by the
+split pattern (below that code point the classes of characters are the same in all Unicode versions
+since 5.0) and each part goes straight to the library's BPE model, which spares the library's own
+splitting and its bookkeeping of offsets. Other units go through the library's ``encode``.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ import os
 import re
 import sys
 import types
+import unicodedata
 from array import array
 
 import numpy as np
@@ -28,6 +34,23 @@ CACHE_UNITS = 300_000
 _RUNS = re.compile(r"(\s{2,})")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
+_LATIN = [*range(0x21, 0x7F), *range(0xA1, 0x250)]
+_LETTERS, _NUMBERS = (re.escape("".join(chr(c) for c in _LATIN if unicodedata.category(chr(c))[0] == kind)) for kind in "LN")
+_LATIN_WORD = re.compile("[\x21-\x7e\xa1-\u024f]+")
+#: The built-in split pattern of byte-level BPE, for units of such characters.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^ {_LETTERS}{_NUMBERS}]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte -> character of the byte-level alphabet: printable Latin-1 as it is, the rest from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return dict(zip(shown, shown, strict=True)) | {b: 0x100 + i for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+_SPACE = chr(_BYTE_LETTERS[0x20])
+
 
 class _Units(dict):
     """Unit -> packed int32 rows (id, start, end), or ids only; offsets within the unit. A full
@@ -66,7 +89,8 @@ class Encoder:
         self.tokenizer, self.offsets = Tokenizer.from_file(path), offsets
         self.by_units = by_units(self.tokenizer)
         self.added = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain, self.spaced = _Units(self._encode, ""), _Units(self._encode, " ")
+        new = self._encode if offsets or not self.by_units else self._encode_unit
+        self.plain, self.spaced, self.model = _Units(new, ""), _Units(new, " "), self.tokenizer.model
 
     def _encode(self, text: str) -> bytes:
         if not self.offsets:
@@ -78,6 +102,19 @@ class Encoder:
         rows[:, 1:] = np.array(found.offsets, np.int32).reshape(-1, 2)
         return rows.tobytes()
 
+    def _encode_unit(self, unit: str) -> bytes:
+        """The packed ids of a unit, by its parts."""
+        word = unit[1:] if unit[:1] == " " else unit
+        simple = word.isascii()
+        if not (simple and word.isprintable() and " " not in word) and not _LATIN_WORD.fullmatch(word):
+            return self._encode(unit)
+        if not word.isalpha():
+            parts = _PARTS.findall(unit)
+            if len(parts) > 1:
+                return b"".join([self.spaced[p[1:]] if p[0] == " " else self.plain[p] for p in parts])
+        letters = unit.replace(" ", _SPACE) if simple else unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _units(self, text: str) -> tuple[list[bytes], list[int]]:
         """The packed units of a text and, with offsets, their lengths in characters."""
         plain, spaced, packed, lengths = self.plain, self.spaced, [], []

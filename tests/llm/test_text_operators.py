@@ -53,6 +53,16 @@ def test_cached_encoding_equals_whole_encoding(library):
         assert rows[:, 0].tolist() == want.ids and [tuple(x) for x in rows[:, 1:].tolist()] == want.offsets, repr(t)
 
 
+def test_units_by_parts_equal_the_library(library):
+    encode, rnd = tokens.Encoder(tokenizer(BPE)), random.Random(5)
+    latin = [chr(c) for c in [*range(0x20, 0x7F), *range(0xA0, 0x260)]]
+    found = ["", " ", "  ", " a ", "\t", "'s", " 's", "it's", "I'LL", "x'll'd", ". .", "\x7f", "½²³", "aª", "ǅǈ", "漢字", "a漢"]
+    found += [rnd.choice(["", " "]) + "".join(rnd.choice(rnd.choice([latin, "'stremvld.!a1"])) for _ in range(rnd.randint(1, 8))) for _ in range(20_000)]
+    for u in found:
+        ids = np.frombuffer(encode._encode_unit(u), np.int32).tolist()
+        assert ids == library.encode(u, add_special_tokens=False).ids, repr(u)
+
+
 def test_other_tokenizers_encode_whole(library, tmp_path):
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
