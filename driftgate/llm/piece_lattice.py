@@ -31,9 +31,11 @@ import hashlib
 import heapq
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ BLOCK_CHARS = 6_000_000
 BUCKETS_A_BLOCK = 4
 LONG_CHUNK = 60  # positions must fit the bits of a long
 SPACE = "▁"
+NEAR = 0x250  # pairs of characters below are looked up in a table, others searched
+RUNS_AT_ONCE = 1 << 16
 _AFTER_SPACE = re.compile(" ( *[^ ]*)")
 
 
@@ -74,6 +78,25 @@ class Model:
         pairs = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
         return np.array(sorted(ord(a) << 21 | ord(b) for a, b in pairs) or [-1], np.int64)
 
+    @cached_property
+    def near_joints(self) -> np.ndarray:
+        """Whether a piece holds the pair, by first * NEAR + second character, both below NEAR."""
+        first, second = self.joints >> 21, self.joints & 0x1FFFFF
+        near = (first >= 0) & (first < NEAR) & (second < NEAR)
+        table = np.zeros(NEAR * NEAR, bool)
+        table[first[near] * NEAR + second[near]] = True
+        return table
+
+    def joined(self, codes: np.ndarray) -> np.ndarray:
+        """Whether some piece holds each character and the one after it."""
+        a, b = codes[:-1], codes[1:]
+        near = (a < NEAR) & (b < NEAR)
+        out = self.near_joints[np.where(near, a * NEAR + b, 0)]
+        far = np.flatnonzero(~near)
+        pairs = a[far] << 21 | b[far]
+        out[far] = self.joints[np.minimum(np.searchsorted(self.joints, pairs), len(self.joints) - 1)] == pairs
+        return out
+
 
 def load(path: str) -> Model:
     """Read a model file of type unigram or BPE with the identity normalizer."""
@@ -127,8 +150,7 @@ def units(model: Model, parts: list[str]) -> tuple[list[str], list[int]]:
     codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
     cut = np.ones(len(codes) + 1, bool)
-    pairs = codes[:-1] << 21 | codes[1:]
-    cut[1:-1] = model.joints[np.minimum(np.searchsorted(model.joints, pairs), len(model.joints) - 1)] != pairs
+    cut[1:-1] = ~model.joined(codes)
     cut[ends] = True
     at = np.flatnonzero(cut)
     places = at.tolist()
@@ -309,9 +331,34 @@ def spelling(model: Model) -> list[bytes]:
     return [spelt.get(i, b"" if i != model.unknown else " ⁇ ".encode()) for i in range(len(model.pieces))]
 
 
-def decoded(table: list[bytes], ids: np.ndarray, prefix: bool) -> bytes:
+class Runs:
+    """Byte strings in one array, to be joined by their numbers; ``width`` bytes an entry."""
+
+    def __init__(self, parts: list[bytes], width: int = 1):
+        self.values = np.frombuffer(b"".join(parts), f"<u{width}")
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // width
+        self.edges = np.concatenate([[0], ends])
+
+    def grouped(self, ends: list[int]) -> Runs:
+        """The same with the runs up to each end joined to one."""
+        self.edges = self.edges[[0, *ends]]
+        return self
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        return b"".join(self._some(numbers[i : i + RUNS_AT_ONCE]) for i in range(0, len(numbers), RUNS_AT_ONCE))
+
+    def _some(self, numbers: np.ndarray) -> bytes:
+        starts = self.edges[numbers]
+        lengths = self.edges[numbers + 1] - starts
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts - ends + lengths, lengths)
+        at += np.arange(len(at))
+        return self.values[at].tobytes()
+
+
+def decoded(table: Runs, ids: np.ndarray, prefix: bool) -> bytes:
     """The UTF-8 text of a list of ids (bytes that are none become U+FFFD)."""
-    raw = b"".join(map(table.__getitem__, ids.tolist()))
+    raw = table.joined(ids)
     raw = raw[1:] if prefix and raw[:1] == b" " else raw
     try:
         raw.decode()
@@ -332,7 +379,7 @@ def encode(
     whether it is the text given (a null text counts as empty)."""
     if set(results) - set(RESULTS):
         raise ValueError(f"unknown results {sorted(set(results) - set(RESULTS))}")
-    table = spelling(model)
+    table = Runs(spelling(model))
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = thin.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     n_blocks = total // block_chars + 1
@@ -347,15 +394,6 @@ def encode(
         for blob in table.column("blob").to_pylist():
             yield opener.decompress(blob).decode()
 
-    def split(table: pa.Table) -> list[list[str]]:
-        """The keys of each text."""
-        return [keys(text, model.prefix) for text in texts(table)]
-
-    def taken(found: set[str]) -> tuple[list[str], list[str], list[int]]:
-        """Distinct keys in some order, with their units as in ``units``."""
-        own = list(found)
-        return own, *units(model, [chunk_of(k) for k in own])
-
     def dealt(flat: list[str]) -> list[list[bytes]]:
         """The distinct units for each bucket, sorted."""
         out: list[list[bytes]] = [[] for _ in range(n_buckets)]
@@ -367,7 +405,8 @@ def encode(
         found: set[str] = set()
         for text in texts(table):
             found.update(keys(text, model.prefix))
-        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(taken(found)[1])) if words]
+        flat, _ = units(model, [chunk_of(k) for k in found])
+        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(flat)) if words]
         block = table.column("block")[0].as_py()
         return pa.table({
             "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([i for i, _ in rows], pa.int64()),
@@ -394,19 +433,20 @@ def encode(
     replies = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block long, bucket long, ids binary")
 
     def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        each = split(rows)
-        own, flat, last = taken(set().union(*each))
+        number: dict[str, int] = defaultdict(count().__next__)  # of each distinct key, in order of first sight
+        each = [np.array(list(map(number.__getitem__, keys(text, model.prefix))), np.int32) for text in texts(rows)]
+        flat, last = units(model, list(map(chunk_of, number)))
+        del number
         asked_words, known = dealt(flat), {}
         for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
             known |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
         known |= {u: np.array(encode_long(model, u), np.int32).tobytes() for u in set(flat) if len(u) > LONG_CHUNK}
-        parts = list(map(known.__getitem__, flat))
-        spelt = {k: b"".join(parts[a:b]) for k, a, b in zip(own, [0, *last], last, strict=False)}
-        del asked_words, known, parts, flat, own
+        spelt = Runs(list(map(known.__getitem__, flat)), 4).grouped(last)
+        del asked_words, known, flat, last
         out: dict[str, list] = {name: [] for name in results}
         decoding = {"decoded", "decoded_sha256", "round_trip"} & set(results)
         for text, own_keys in zip(texts(rows), each, strict=True):
-            raw = b"".join(map(spelt.__getitem__, own_keys))
+            raw = spelt.joined(own_keys)
             back = decoded(table, np.frombuffer(raw, "<i4"), model.prefix) if decoding else b""
             for name, column in out.items():
                 column.append(_result(name, raw, back, text))
@@ -440,7 +480,7 @@ def _column(name: str, values: list) -> pa.Array:
 
 def decode(encoded: DataFrame, model: Model, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns of ``encoded`` plus the decoded text (a null list: null)."""
-    table, at = spelling(model), encoded.columns.index(ids_col)
+    table, at = Runs(spelling(model)), encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
