@@ -13,10 +13,13 @@ grouped by unit, and folded with Spark's ``aggregate``:
   by score are folded over a bit mask of the symbols' ends. That equals the SentencePiece
   library's ids.
 
-To bring the ids back without moving every word of the corpus, documents are dealt to blocks by
-hash and travel compressed; a block asks each hash bucket of the vocabulary for its distinct
-units, once each, and gets packed ids back in the order asked. Group sizes: a block holds about
-``BLOCK_CHARS`` of text, a bucket the units of a fraction of a block, whatever the corpus. A unit
+To bring the ids back without moving every word of the corpus, documents are cut where they are
+read: a partition's rows make blocks of about ``BLOCK_CHARS`` of text. A block asks each hash bucket
+of the vocabulary for its distinct units, once each, and sends its documents along as numbers of
+its units, so no text is moved or cut again; packed ids come back in the order asked and are gathered by number.
+Questions and numbered documents share one exchange, so both come of one cut; each answer names the
+question's hash, and one that fits another question (rows in another order after a lost task) raises.
+Group sizes: a block has its size and a bucket the units of a fraction of a block, whatever the corpus. A unit
 of over ``LONG_CHUNK`` characters is encoded where its document is, by the same merges on a heap.
 
 Defined results: null and empty texts have no ids; characters outside the vocabulary are spelt
@@ -40,7 +43,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -339,10 +342,13 @@ class Runs:
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // width
         self.edges = np.concatenate([[0], ends])
 
-    def grouped(self, ends: list[int]) -> Runs:
-        """The same with the runs up to each end joined to one."""
-        self.edges = self.edges[[0, *ends]]
-        return self
+    def gathered(self, numbers: np.ndarray, ends: np.ndarray) -> Runs:
+        """The runs of the numbers up to each end, joined to one."""
+        out = Runs([])
+        out.values = np.frombuffer(self.joined(numbers), self.values.dtype)
+        edges = np.concatenate([[0], np.cumsum(np.diff(self.edges)[numbers])])
+        out.edges = np.concatenate([[0], edges[ends]])
+        return out
 
     def joined(self, numbers: np.ndarray) -> bytes:
         return b"".join(self._some(numbers[i : i + RUNS_AT_ONCE]) for i in range(0, len(numbers), RUNS_AT_ONCE))
@@ -376,88 +382,134 @@ def encode(
 ) -> DataFrame:
     """One row per document: the id and the named columns of ``RESULTS``: the ids, their number, the crc32
     of them as little-endian uint32, and, decoded from the ids again, the text, its SHA-256, and
-    whether it is the text given (a null text counts as empty)."""
+    whether it is the text given, by SHA-256 (a null text counts as empty)."""
     if set(results) - set(RESULTS):
         raise ValueError(f"unknown results {sorted(set(results) - set(RESULTS))}")
-    table = Runs(spelling(model))
+    table, prefix = Runs(spelling(model)), model.prefix
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = thin.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    n_blocks = total // block_chars + 1
-    n_buckets = BUCKETS_A_BLOCK * n_blocks
-    id_type = thin.schema["id"].dataType.simpleString()
-    thin = thin.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)).alias("block"))
-
-    blocks, hash_of = common.squeezed(thin), xxhash.xxh64_intdigest
-
-    def texts(table: pa.Table) -> Iterator[str]:
-        opener = zstandard.ZstdDecompressor()
-        for blob in table.column("blob").to_pylist():
-            yield opener.decompress(blob).decode()
-
-    def dealt(flat: list[str]) -> list[list[bytes]]:
-        """The distinct units for each bucket, sorted."""
-        out: list[list[bytes]] = [[] for _ in range(n_buckets)]
-        for u in sorted([u.encode() for u in set(flat) if len(u) <= LONG_CHUNK]):
-            out[hash_of(u) % n_buckets].append(u)
-        return out
-
-    def ask(table: pa.Table) -> pa.Table:
-        found: set[str] = set()
-        for text in texts(table):
-            found.update(keys(text, model.prefix))
-        flat, _ = units(model, [chunk_of(k) for k in found])
-        rows = [(i, common.pack(words)) for i, words in enumerate(dealt(flat)) if words]
-        block = table.column("block")[0].as_py()
-        return pa.table({
-            "block": pa.array([block] * len(rows), pa.int64()), "bucket": pa.array([i for i, _ in rows], pa.int64()),
-            "words": pa.array([w for _, w in rows], pa.binary()),
-        })
+    n_buckets = BUCKETS_A_BLOCK * (total // block_chars + 1)
+    id_type, hash_of = thin.schema["id"].dataType.simpleString(), xxhash.xxh64_intdigest
+    checking = "round_trip" in results
 
-    asked = blocks.groupBy("block").applyInArrow(ask, "block long, bucket long, words binary").repartition(n_buckets, "bucket")
-
-    def distinct(table: pa.Table) -> pa.Table:
-        words = sorted({w for blob in table.column("words").to_pylist() for w in common.unpack(blob)})
-        return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(words), pa.int64()), "word": pa.array(words, pa.binary()).cast(pa.string())})
-
-    words = asked.groupBy("bucket").applyInArrow(distinct, "bucket long, word string").repartition(n_buckets, "bucket")
+    def cut(texts: list[str]) -> tuple[list[tuple[int, bytes]], bytes]:
+        """The distinct units for each bucket, and the texts as numbers of all distinct units."""
+        number: dict[str, int] = defaultdict(count().__next__)  # of each distinct key, in order of first sight
+        each = [np.fromiter(map(number.__getitem__, own), np.int32, len(own)) for own in (keys(t, prefix) for t in texts)]
+        flat, ends = units(model, list(map(chunk_of, number)))
+        del number
+        distinct = set(flat)
+        long = [u for u in distinct if len(u) > LONG_CHUNK]
+        short = sorted(distinct.difference(long))
+        words = [u.encode() for u in short]
+        to = np.fromiter(map(hash_of, words), np.uint64, len(words)) % np.uint64(n_buckets)
+        order = np.argsort(to, kind="stable")
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        position = dict(zip(short, place.tolist(), strict=True)) | {u: len(short) + i for i, u in enumerate(long)}
+        buckets, starts = np.unique(to[order], return_index=True)
+        places, edges = order.tolist(), [*starts.tolist(), len(order)]
+        asked = [(b, common.pack([words[k] for k in places[i:j]])) for b, i, j in zip(buckets.tolist(), edges[:-1], edges[1:], strict=True)]
+        parts = [
+            np.fromiter(map(len, each), np.int64, len(each)).tobytes(), _planes(np.concatenate(each)), np.array(ends, np.int64).tobytes(),
+            _planes(np.fromiter(map(position.__getitem__, flat), np.int32, len(flat))),
+            np.array([b for b, _ in asked], np.int64).tobytes(), np.array([hash_of(w) for _, w in asked], np.uint64).tobytes(),
+            b"".join(hashlib.sha256(t.encode()).digest() for t in texts) if checking else b"",
+        ]
+        return asked, common.pack(parts + [np.array(encode_long(model, u), np.int32).tobytes() for u in long])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Questions under their bucket's number, a block of documents under -1 less the block's."""
+        block = TaskContext.get().partitionId() << 32
+
+        def messages(ids: list[pa.Array], texts: list[str]) -> pa.RecordBatch:
+            asked, numbered = cut(texts)
+            ids = pa.concat_arrays(ids)
+            n = len(asked) + 1
+            return pa.RecordBatch.from_arrays([
+                pa.array([-1 - block] + [b for b, _ in asked], pa.int64()), pa.array([block] * n, pa.int64()),
+                pa.array([numbered] + [w for _, w in asked], pa.binary()),
+                pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.nulls(n - 1, pa.list_(ids.type))]),
+            ], names=["target", "block", "message", "ids"])
+
+        ids, texts, size = [], [], 0
+        for batch in batches:
+            start = 0
+            for i, text in enumerate(batch.column(1).to_pylist(), 1):
+                texts.append(text or "")
+                size += len(texts[-1])
+                if size >= block_chars:
+                    yield messages([*ids, batch.column(0).slice(start, i - start)], texts)
+                    ids, texts, size, start, block = [], [], 0, i, block + 1
+            if start < batch.num_rows:
+                ids.append(batch.column(0).slice(start))
+        if texts:
+            yield messages(ids, texts)
+
+    asked = thin.mapInArrow(ask, f"target long, block long, message binary, ids array<{id_type}>").repartition(n_buckets, "target")
+
+    def questions(rows: pa.Table) -> list[bytes]:
+        return rows.column("message").to_pylist() if rows.column("target")[0].as_py() >= 0 else []
+
+    def distinct(rows: pa.Table) -> pa.Table:
+        words = sorted({w for blob in questions(rows) for w in common.unpack(blob)})
+        return pa.table({"bucket": pa.array([rows.column("target")[0].as_py()] * len(words), pa.int64()), "word": pa.array(words, pa.binary()).cast(pa.string())})
+
+    words = asked.groupBy("target").applyInArrow(distinct, "bucket long, word string").repartition(n_buckets, "bucket")
     known = lattice_ids(words, model)
 
-    def answer(questions: pa.Table, entries: pa.Table) -> pa.Table:
+    def answer(rows: pa.Table, entries: pa.Table) -> pa.Table:
+        blobs = questions(rows)
         column = entries.column("ids").combine_chunks()
         values, ends = column.values.to_numpy(zero_copy_only=False).astype(np.int32), column.offsets.to_numpy()
         names = entries.column("word").combine_chunks().cast(pa.binary()).to_pylist()
         table = {w: values[a:b].tobytes() for w, a, b in zip(names, ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
-        replies = [common.pack([table[w] for w in common.unpack(blob)]) for blob in questions.column("words").to_pylist()]
-        return pa.table({"block": questions.column("block"), "bucket": questions.column("bucket"), "ids": pa.array(replies, pa.binary())})
+        return pa.table({
+            "target": pa.array([-1 - block for block in rows.column("block").to_pylist()[: len(blobs)]], pa.int64()),
+            "bucket": rows.column("target").slice(0, len(blobs)).cast(pa.int64()),
+            "question": pa.array([hash_of(blob).to_bytes(8, "little") for blob in blobs], pa.binary()),
+            "ids": pa.array([common.pack([table[w] for w in common.unpack(blob)]) for blob in blobs], pa.binary()),
+        })
 
-    replies = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answer, "block long, bucket long, ids binary")
+    replies = asked.groupBy("target").cogroup(known.groupBy("bucket")).applyInArrow(answer, "target long, bucket long, question binary, ids binary")
 
     def assemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        number: dict[str, int] = defaultdict(count().__next__)  # of each distinct key, in order of first sight
-        each = [np.array(list(map(number.__getitem__, keys(text, model.prefix))), np.int32) for text in texts(rows)]
-        flat, last = units(model, list(map(chunk_of, number)))
-        del number
-        asked_words, known = dealt(flat), {}
-        for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
-            known |= zip([w.decode() for w in asked_words[bucket]], common.unpack(blob), strict=True)
-        known |= {u: np.array(encode_long(model, u), np.int32).tobytes() for u in set(flat) if len(u) > LONG_CHUNK}
-        spelt = Runs(list(map(known.__getitem__, flat)), 4).grouped(last)
-        del asked_words, known, flat, last
         out: dict[str, list] = {name: [] for name in results}
-        decoding = {"decoded", "decoded_sha256", "round_trip"} & set(results)
-        for text, own_keys in zip(texts(rows), each, strict=True):
-            raw = spelt.joined(own_keys)
-            back = decoded(table, np.frombuffer(raw, "<i4"), model.prefix) if decoding else b""
-            for name, column in out.items():
-                column.append(_result(name, raw, back, text))
-        return pa.table({"id": rows.column("id").combine_chunks()} | {name: _column(name, column) for name, column in out.items()})
+        ids = rows.column("ids").combine_chunks().flatten()
+        if rows.column("target")[0].as_py() < 0:
+            sizes, own, ends, flat, buckets, hashes, digests, *long = common.unpack(rows.column("message")[0].as_py())
+            known = {(a["bucket"], a["question"]): a["ids"] for a in answers.to_pylist()}
+            parts: list[bytes] = []
+            for i, b in enumerate(np.frombuffer(buckets, np.int64).tolist()):
+                if (b, hashes[8 * i : 8 * i + 8]) not in known:
+                    raise RuntimeError("the documents came in another order when they were read again")
+                parts += common.unpack(known[b, hashes[8 * i : 8 * i + 8]])
+            spelt = Runs(parts + long, 4).gathered(_numbers(flat), np.frombuffer(ends, np.int64))
+            del known, parts
+            decoding = {"decoded", "decoded_sha256", "round_trip"} & set(results)
+            at = np.cumsum(np.frombuffer(sizes, np.int64))[:-1]
+            for i, numbers in enumerate(np.split(_numbers(own), at)):
+                raw = spelt.joined(numbers)
+                back = decoded(table, np.frombuffer(raw, "<i4"), prefix) if decoding else b""
+                for name, column in out.items():
+                    column.append(_result(name, raw, back, digests[32 * i : 32 * i + 32]))
+        return pa.table({"id": ids} | {name: _column(name, column) for name, column in out.items()})
 
     schema = ", ".join([f"id {id_type}", *[f"{name} {RESULTS[name]}" for name in results]])
-    out = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(assemble, schema)
+    out = asked.groupBy("target").cogroup(replies.repartition(n_buckets, "target").groupBy("target")).applyInArrow(assemble, schema)
     return out.withColumnRenamed("id", id_col)
 
 
-def _result(name: str, raw: bytes, back: bytes, text: str):
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers with their lowest bytes first, then the next, which compresses better."""
+    return np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def _result(name: str, raw: bytes, back: bytes, digest: bytes):
     if name == "n_ids":
         return len(raw) // 4
     if name == "ids_crc32":
@@ -465,7 +517,7 @@ def _result(name: str, raw: bytes, back: bytes, text: str):
     if name == "decoded_sha256":
         return hashlib.sha256(back).hexdigest()
     if name == "round_trip":
-        return back == text.encode()
+        return hashlib.sha256(back).digest() == digest
     return raw if name == "ids" else back
 
 

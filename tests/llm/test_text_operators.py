@@ -297,6 +297,31 @@ def test_sentencepiece_ids_and_round_trip(spark, docs, rows, no_docs, pieces):
     assert piece_lattice.encode(no_docs, pieces).count() == 0
 
 
+def test_texts_are_cut_once(spark, pieces, monkeypatch, tmp_path):
+    """Blocks over partitions that are empty, hold several blocks, or one text longer than a block."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer(PIECES))
+    rnd, log, cut = random.Random(9), tmp_path / "cuts", piece_lattice.keys
+
+    def counted(text, prefix=True):
+        with open(log, "a") as f:
+            f.write(".")
+        return cut(text, prefix)
+
+    texts = ["".join(rnd.choice("abthe  \né漢😀aaing") for _ in range(rnd.randint(0, 120))) for _ in range(40)]
+    texts += [None, "", "a" * 200, "the same", "the same", "some words " * 100]
+    given = [(None if i % 15 == 0 else f"k{i // 2}", t) for i, t in enumerate(texts)]
+    monkeypatch.setattr(piece_lattice, "keys", counted)
+    for n in (1, 3, 60):
+        log.write_text("")
+        df = spark.createDataFrame(spark.sparkContext.parallelize(given, n), "doc_id string, text string")
+        out = piece_lattice.encode(df, pieces, block_chars=400, results=("ids", "decoded", "round_trip")).collect()
+        want = [(k or "", sp.encode(t or ""), t or "", True) for k, t in given]
+        assert sorted((r.doc_id or "", list(r.ids), r.decoded, r.round_trip) for r in out) == sorted(want)
+        assert len(log.read_text()) == len(given)
+
+
 def test_long_chunks_equal_the_library(pieces):
     import sentencepiece
 
