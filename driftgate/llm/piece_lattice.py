@@ -51,6 +51,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from driftgate.llm import common
 
 BLOCK_CHARS = 6_000_000
+ROW_CHARS = 16  # what a row counts beside its text, so that empty texts end a block too
 #: Buckets of the vocabulary per block of documents, so that a bucket's edges sort in memory.
 BUCKETS_A_BLOCK = 4
 LONG_CHUNK = 60  # positions must fit the bits of a long
@@ -435,9 +436,9 @@ def encode(
         ids, texts, size = [], [], 0
         for batch in batches:
             start = 0
-            for i, text in enumerate(batch.column(1).to_pylist(), 1):
-                texts.append(text or "")
-                size += len(texts[-1])
+            for i, text in enumerate(batch.column(1), 1):  # only a block's texts become strings at a time
+                texts.append(text.as_py() or "")
+                size += len(texts[-1]) + ROW_CHARS
                 if size >= block_chars:
                     yield messages([*ids, batch.column(0).slice(start, i - start)], texts)
                     ids, texts, size, start, block = [], [], 0, i, block + 1
